@@ -125,7 +125,7 @@ WIDE_SQL = _pivot_sql()
 
 
 @register("scan_wide_parquet", with_fx("""
-  SELECT w.*, pg.url AS image_path, CAST(length(pg.html) AS BIGINT) AS image_bytes,
+  SELECT w.*, pg.url AS image_path, CAST(strlen(pg.html) AS BIGINT) AS image_bytes,
          CASE WHEN e.vec_id IS NOT NULL THEN '[0.' || CAST(e.vec_id % 10 AS VARCHAR) || ', 0.' || CAST(e.label % 10 AS VARCHAR) || ', 0.5, 0.5]' END AS bbox
   FROM wide w LEFT JOIN pages pg ON pg.page_id = w.row_id * 3 LEFT JOIN embeddings e ON e.vec_id = w.row_id * 7
 """, "rlhf_qa", "rlhf_rating", extra={"wide": WIDE_SQL}))

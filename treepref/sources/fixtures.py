@@ -205,30 +205,24 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     qa = rlhf_qa(spark, sf_dir)
     rt = rlhf_rating(spark, sf_dir)
-    long = qa.select(
-        "conv_id", "q", "v", "question", "answer", "var_answer",
-        F.lit(None).cast("string").alias("metric"), F.lit(None).cast("string").alias("rating_type"),
-        F.lit(None).cast("string").alias("cell"))
-    long = long.unionByName(rt, allowMissingColumns=True)
-    aggs = []
-    for q in range(1, 5):
-        isq = F.col("q") == q
-        aggs.append(F.max(F.when(isq & F.col("metric").isNull(), F.col("question"))).alias(f"Q{q}"))
-    for q in range(1, 5):
-        isq = F.col("q") == q
-        aggs.append(F.max(F.when(isq & F.col("metric").isNull(), F.col("answer"))).alias(f"A{q}"))
-    for q in range(1, 5):
-        for v in range(1, 4):
-            isqv = (F.col("q") == q) & (F.col("v") == v) & F.col("metric").isNull()
-            aggs.append(F.max(F.when(isqv, F.col("question"))).alias(f"Q{q}.{v}"))
-            aggs.append(F.max(F.when(isqv, F.col("var_answer"))).alias(f"A{q}.{v}"))
-    for q in range(1, 5):
-        for v in range(1, 4):
-            for r in RATING_TYPES:
-                for m in METRICS:
-                    c = (F.col("q") == q) & (F.col("v") == v) & (F.col("rating_type") == r) & (F.col("metric") == m)
-                    aggs.append(F.max(F.when(c, F.col("cell"))).alias(f"QA{q}.{v}_{r}_{m}"))
-    wide = long.groupBy(F.col("conv_id").alias("row_id")).agg(*aggs)
+    q, v = F.col("q").cast("string"), F.col("v").cast("string")
+
+    def kv(k, val):
+        return F.struct(k.alias("k"), val.alias("val"))
+
+    e1 = qa.select("conv_id", F.explode(F.array(
+        kv(F.concat(F.lit("Q"), q), F.col("question")),
+        kv(F.concat(F.lit("A"), q), F.col("answer")),
+        kv(F.concat(F.lit("Q"), q, F.lit("."), v), F.col("question")),
+        kv(F.concat(F.lit("A"), q, F.lit("."), v), F.col("var_answer")))).alias("e"))
+    e2 = rt.select("conv_id", kv(F.concat(F.lit("QA"), q, F.lit("."), v, F.lit("_"), F.col("rating_type"),
+                                          F.lit("_"), F.col("metric")), F.col("cell")).alias("e"))
+    entries = e1.unionByName(e2).where(F.col("e.val").isNotNull())
+    # One aggregate per row id; a row holds at most 120 distinct (name, value)
+    # entries by construction, so the collected set is bounded.
+    m = entries.groupBy(F.col("conv_id").alias("row_id")).agg(
+        F.map_from_entries(F.collect_set("e")).alias("m"))
+    wide = m.select("row_id", *[F.col("m")[c].alias(c) for c in wide_columns()])
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("img_key"),
         F.struct(F.col("html").cast("binary").alias("bytes"), F.col("url").alias("path")).alias("image"))
