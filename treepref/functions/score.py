@@ -21,6 +21,10 @@ def _lit_map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
 
 
+def _contains(word: str):
+    return lambda ln: F.instr(ln, word) > 0
+
+
 def verdict_value(output: Column | str, prompt: Column | str | None = None) -> Column:
     """A1: value of one judge output.
 
@@ -37,7 +41,7 @@ def verdict_value(output: Column | str, prompt: Column | str | None = None) -> C
     exact_val = F.when(F.size(exact) > 0, F.element_at(_lit_map(VERDICT_VALUES), F.element_at(exact, 1)))
     contained = None
     for word in VERDICT_ORDER:
-        cond = F.exists(lines, lambda ln, w=word: F.instr(ln, w) > 0)
+        cond = F.exists(lines, _contains(word))
         contained = (F.when(cond, F.lit(VERDICT_VALUES[word])) if contained is None
                      else contained.when(cond, F.lit(VERDICT_VALUES[word])))
     return F.coalesce(exact_val, contained.otherwise(F.lit(VERDICT_DEFAULT))).cast("double")
