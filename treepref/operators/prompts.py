@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import after_first, before_first, has
+from ..functions.text import WS_CLASS, after_first, before_first, has, strip
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 INPUT_SLOT = "{input}"
@@ -90,23 +90,31 @@ def bbox_eval_prompt(prompt: Column, boxes: Column, suffix: str = REGIONS_SUFFIX
     return F.when(boxes.isNotNull() & (boxes != ""), F.concat(prompt, F.lit(suffix), boxes)).otherwise(prompt)
 
 
+def rstrip(c: Column) -> Column:
+    return F.regexp_replace(c, f"{WS_CLASS}+$", "")
+
+
 def chat_format(df: DataFrame, prompt: str = "prompt", chosen: str = "chosen", rejected: str = "rejected",
                 image: str = "image", bbox: str = "bbox", answer_role: str = "assistant",
                 suffix: str = REGION_SUFFIX) -> DataFrame:
-    """Ensure the prompt ends with ``Answer:``, add the region, normalise
-    path separators and wrap the three texts as chat messages.  The reference
-    gives chosen/rejected the role ``user`` (quirk Q31): pass
-    ``answer_role='user'`` for parity."""
-    p = F.col(prompt)
-    p = F.when(F.endswith(F.rtrim(p), F.lit(ANSWER_CUE)), p).otherwise(F.concat(p, F.lit("\n" + ANSWER_CUE)))
-    p = F.when(F.col(bbox).isNotNull() & (F.col(bbox) != ""), F.concat(p, F.lit(suffix), F.col(bbox))).otherwise(p)
+    """Strip the prompt, make it end with ``Answer:`` (adding a blank
+    line before it), append the region when a box is given, normalise path
+    separators and wrap the texts as chat messages; the prompt message carries
+    an image slot.  The reference gives chosen/rejected the role ``user``
+    (quirk Q31): pass ``answer_role='user'`` for parity."""
+    p = strip(F.coalesce(F.col(prompt), F.lit("")))
+    p = F.when(F.endswith(p, F.lit(ANSWER_CUE)), p).otherwise(F.concat(rstrip(p), F.lit("\n\n" + ANSWER_CUE)))
+    has_box = F.col(bbox).isNotNull() & (F.col(bbox) != "")
+    p = F.when(has_box, F.concat(rstrip(p), F.lit(suffix), F.col(bbox))).otherwise(p)
 
     def msg(text: Column, role: str, with_image: bool) -> Column:
         parts = [F.struct(F.lit(None).cast("string").alias("text"), F.lit("image").alias("type"))] if with_image else []
         parts.append(F.struct(text.alias("text"), F.lit("text").alias("type")))
         return F.array(F.struct(F.array(*parts).alias("content"), F.lit(role).alias("role")))
 
-    img = F.regexp_replace(F.col(image), r"\\", "/")
-    return df.select(msg(p, "user", True).alias("prompt"), msg(F.col(chosen), answer_role, False).alias("chosen"),
-                     msg(F.col(rejected), answer_role, False).alias("rejected"),
-                     F.when(F.col(image).isNotNull(), F.array(img)).alias("images"))
+    has_img = F.col(image).isNotNull() & (F.col(image) != "")
+    img = F.replace(F.col(image), F.lit("\\"), F.lit("/"))
+    return df.select(msg(p, "user", True).alias("prompt"),
+                     msg(F.coalesce(F.col(chosen), F.lit("")), answer_role, False).alias("chosen"),
+                     msg(F.coalesce(F.col(rejected), F.lit("")), answer_role, False).alias("rejected"),
+                     F.when(has_img, F.array(img)).otherwise(F.array().cast("array<string>")).alias("images"))
