@@ -96,7 +96,7 @@ def rstrip(c: Column) -> Column:
 
 def chat_format(df: DataFrame, prompt: str = "prompt", chosen: str = "chosen", rejected: str = "rejected",
                 image: str = "image", bbox: str = "bbox", answer_role: str = "assistant",
-                suffix: str = REGION_SUFFIX) -> DataFrame:
+                suffix: str = REGION_SUFFIX, keep=()) -> DataFrame:
     """Strip the prompt, make it end with ``Answer:`` (adding a blank
     line before it), append the region when a box is given, normalise path
     separators and wrap the texts as chat messages; the prompt message carries
@@ -114,7 +114,7 @@ def chat_format(df: DataFrame, prompt: str = "prompt", chosen: str = "chosen", r
 
     has_img = F.col(image).isNotNull() & (F.col(image) != "")
     img = F.replace(F.col(image), F.lit("\\"), F.lit("/"))
-    return df.select(msg(p, "user", True).alias("prompt"),
+    return df.select(*keep, msg(p, "user", True).alias("prompt"),
                      msg(F.coalesce(F.col(chosen), F.lit("")), answer_role, False).alias("chosen"),
                      msg(F.coalesce(F.col(rejected), F.lit("")), answer_role, False).alias("rejected"),
                      F.when(has_img, F.array(img)).otherwise(F.array().cast("array<string>")).alias("images"))
