@@ -247,3 +247,41 @@ def build_conversations(spark, d):
     return c.select("row_id", "image", F.posexplode("conversations").alias("pos", "m")).select(
         "row_id", "image", F.col("pos").cast("bigint").alias("pos"),
         F.col("m.from").alias("from"), F.col("m.value").alias("value"))
+
+
+def wide_with_twins(spark, d, lang: str = "fr"):
+    """Wide table with language twins ``<col>_<lang>`` filled for rows whose
+    document is in that language, plus the marker column the probe looks for."""
+    w = _wide(spark, d)
+    docs = FX.table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.col("lang").alias("_lang"))
+    w = w.join(docs, "row_id", "left")
+    texts = [c for c in FX.wide_columns() if not c.startswith("QA")]
+    twins = [F.when(F.col("_lang") == lang, F.col(f"`{c}`")).alias(f"{c}_{lang}") for c in texts]
+    return w.select("*", *twins, (F.col("_lang") == lang).alias(lang)).drop("_lang")
+
+
+@register("select_languages", with_fx("""
+  WITH fr AS (SELECT doc_id AS row_id FROM documents WHERE lang = 'fr'),
+  u AS (
+    SELECT * FROM cpairs
+    UNION ALL SELECT row_id, 'fr', kind, q, v, prompt, chosen, rejected, question_id, metric, rating_type,
+                     helpful, honest, harmless, composite FROM cpairs WHERE row_id IN (SELECT row_id FROM fr)
+    UNION ALL SELECT row_id, 'en', kind, q, v, prompt, chosen, rejected, question_id, metric, rating_type,
+                     helpful, honest, harmless, composite FROM tpairs
+    UNION ALL SELECT row_id, 'fr', kind, q, v, prompt, chosen, rejected, question_id, metric, rating_type,
+                     helpful, honest, harmless, composite FROM tpairs)
+  SELECT u.row_id, u.language, u.kind, u.q, u.v,
+         CASE WHEN e.vec_id IS NOT NULL
+              THEN '<image>' || chr(10) || u.prompt || chr(10) || chr(10) || 'Focus on this region: ' ||
+                   '[0.' || CAST(e.vec_id % 10 AS VARCHAR) || ', 0.' || CAST(e.label % 10 AS VARCHAR) || ', 0.5, 0.5]'
+              ELSE u.prompt END AS prompt,
+         u.chosen, u.rejected, u.question_id, u.metric, u.rating_type,
+         round(u.helpful, 6) AS helpful, round(u.honest, 6) AS honest, round(u.harmless, 6) AS harmless,
+         round(u.composite, 6) AS composite,
+         CASE WHEN pg.page_id IS NOT NULL THEN 'img_' || CAST(u.row_id AS VARCHAR) || '.png' END AS image,
+         CASE WHEN e.vec_id IS NOT NULL THEN '[0.' || CAST(e.vec_id % 10 AS VARCHAR) || ', 0.' || CAST(e.label % 10 AS VARCHAR) || ', 0.5, 0.5]' END AS bbox
+  FROM u LEFT JOIN pages pg ON pg.page_id = u.row_id * 3 LEFT JOIN embeddings e ON e.vec_id = u.row_id * 7
+""", "rlhf_qa", "rlhf_rating", **_PAIR_FX))
+def select_languages(spark, d):
+    w = wide_with_twins(spark, d)
+    return _round_scores(R.union_pairs(w, R.available_languages(w)))
