@@ -2,7 +2,7 @@
 
 A wide row carries every question, variation and rating of one item, so all
 pairs of a row are built in-row: one ``select`` creates an array of structs
-from the column names and ``inline`` unpacks it.  No join, no shuffle; the
+from the column names and a ``stack`` generator unpacks it.  No join, no shuffle; the
 only wide operation in pipeline A is the final statistics aggregate (A9),
 which is a map-side partial aggregate plus a one-row merge.
 """
@@ -66,17 +66,8 @@ def _rating(df: DataFrame, q: int, v: int, metric: str) -> Column:
     return F.coalesce(*[parse_rating(_c(df, f"QA{q}.{v}_{rt}_{metric}")) for rt in RATING_TYPES])
 
 
-def _attach(q, qcol, acol, ratings, legacy_position):
-    def attach(s, i):
-        pos = (i + 1) if legacy_position else s["v"].cast("int")
-        r = F.element_at(ratings, pos)
-        return F.struct(F.lit(q).cast("bigint").alias("q"), s["v"].alias("v"),
-                        strip(qcol).alias("question"), strip(acol).alias("answer"),
-                        strip(s["var_question"]).alias("var_question"),
-                        strip(s["var_answer"]).alias("var_answer"),
-                        r["helpful"].alias("helpful"), r["honest"].alias("honest"),
-                        r["harmless"].alias("harmless"))
-    return attach
+RAW_FIELDS = [f"{m}_{rt}" for m in METRICS for rt in RATING_TYPES]
+ITEM_COLUMNS = ["q", "v", "question", "answer", "var_question", "var_answer", *RAW_FIELDS]
 
 
 def variation_items(df: DataFrame, lang: str = "en", legacy_position: bool = False,
@@ -84,26 +75,33 @@ def variation_items(df: DataFrame, lang: str = "en", legacy_position: bool = Fal
     """P1 + P2 + P5 in one pass: one row per (row, question, present variation).
 
     Output: row_id, q, v, question, answer, var_question, var_answer, helpful,
-    honest, harmless, composite.  Ratings are keyed by the true variation
-    number; ``legacy_position=True`` reproduces the reference, which looks them
-    up by position in the list of present variations (quirk Q1).
+    honest, harmless, composite.  A ``stack`` generator unpacks the 4 x 3
+    (question, variation) cells of each wide row; each rating cell is parsed
+    once per output row.  Ratings are keyed by the true variation number;
+    ``legacy_position=True`` reproduces the reference, which looks them up by
+    position among the present variations (quirk Q1), computed in-row.
     """
     sfx = _suffix(lang)
-    per_q = []
+    args = []
     for q in QUESTIONS:
-        qcol, acol = _c(df, f"Q{q}{sfx}"), _c(df, f"A{q}{sfx}")
-        ratings = F.array(*[F.struct(*[_rating(df, q, v, m).alias(m) for m in METRICS]) for v in VARIATIONS])
-        vars_ = F.array(*[F.struct(F.lit(v).cast("bigint").alias("v"),
-                                   _c(df, f"Q{q}.{v}{sfx}").alias("var_question"),
-                                   _c(df, f"A{q}.{v}{sfx}").alias("var_answer")) for v in VARIATIONS])
-        present = F.filter(vars_, lambda s: s["var_question"].isNotNull() & s["var_answer"].isNotNull())
-        main_ok = qcol.isNotNull() & acol.isNotNull()
-
-        per_q.append(F.when(main_ok, F.transform(present, _attach(q, qcol, acol, ratings, legacy_position))))
-    items = F.flatten(F.array(*[F.coalesce(p, F.array().cast(
-        "array<struct<q:bigint,v:bigint,question:string,answer:string,var_question:string,"
-        "var_answer:string,helpful:double,honest:double,harmless:double>>")) for p in per_q]))
-    out = df.select("row_id", *carry, F.inline(items))
+        present = [_c(df, f"Q{q}.{v}{sfx}").isNotNull() & _c(df, f"A{q}.{v}{sfx}").isNotNull() for v in VARIATIONS]
+        for v in VARIATIONS:
+            if legacy_position:
+                pos = F.lit(1)
+                for pv in present[:v - 1]:
+                    pos = pos + pv.cast("int")
+                cells = [F.element_at(F.array(*[_c(df, f"QA{q}.{w}_{rt}_{m}") for w in VARIATIONS]), pos)
+                         for m in METRICS for rt in RATING_TYPES]
+            else:
+                cells = [_c(df, f"QA{q}.{v}_{rt}_{m}") for m in METRICS for rt in RATING_TYPES]
+            args += [F.lit(q).cast("bigint"), F.lit(v).cast("bigint"), _c(df, f"Q{q}{sfx}"), _c(df, f"A{q}{sfx}"),
+                     _c(df, f"Q{q}.{v}{sfx}"), _c(df, f"A{q}.{v}{sfx}"), *cells]
+    raw = df.select("row_id", *carry, F.stack(F.lit(len(QUESTIONS) * len(VARIATIONS)), *args).alias(*ITEM_COLUMNS))
+    raw = raw.where(F.col("question").isNotNull() & F.col("answer").isNotNull()
+                    & F.col("var_question").isNotNull() & F.col("var_answer").isNotNull())
+    ratings = [F.coalesce(*[parse_rating(F.col(f"{m}_{rt}")) for rt in RATING_TYPES]).alias(m) for m in METRICS]
+    out = raw.select("row_id", *carry, "q", "v", *[strip(F.col(c)).alias(c) for c in
+                                                  ("question", "answer", "var_question", "var_answer")], *ratings)
     return out.withColumn("composite", (F.col("helpful") + F.col("honest") + F.col("harmless")) / 3)
 
 
@@ -143,16 +141,15 @@ def rating_text_pairs(df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     cell's own metric and 0.5 on the others, composite 0.8.  Language-free
     (quirk Q4): computed once and crossed with the language list by the caller.
     """
-    cells = []
+    args = []
     for q in QUESTIONS:
         for v in VARIATIONS:
             for m in METRICS:
                 for rt in RATING_TYPES:
-                    cells.append(F.struct(F.lit(q).cast("bigint").alias("q"), F.lit(v).cast("bigint").alias("v"),
-                                          F.lit(m).alias("metric"), F.lit(rt).alias("rating_type"),
-                                          _c(df, f"QA{q}.{v}_{rt}_{m}").alias("cell"),
-                                          _c(df, f"Q{q}").alias("prompt")))
-    x = df.select("row_id", *carry, F.inline(F.array(*cells)))
+                    args += [F.lit(q).cast("bigint"), F.lit(v).cast("bigint"), F.lit(m), F.lit(rt),
+                             _c(df, f"QA{q}.{v}_{rt}_{m}"), _c(df, f"Q{q}")]
+    x = df.select("row_id", *carry, F.stack(F.lit(len(args) // 6), *args).alias(
+        "q", "v", "metric", "rating_type", "cell", "prompt"))
     x = x.where(F.col("cell").isNotNull() & has("cell", CHOSEN_OPEN) & has("cell", REJECT_OPEN)
                 & F.col("prompt").isNotNull())
     x = x.select("*", _between(F.col("cell"), CHOSEN_OPEN, CHOSEN_CLOSE, "A>").alias("chosen"),

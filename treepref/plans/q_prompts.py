@@ -44,7 +44,7 @@ def _demo_text(spark, d, k: int = 4, seed: int = 7):
     cue = F.when(F.contains(F.col("explanation"), F.lit("Step 3")), F.lit("Step 4, ")).otherwise(F.lit("Step 3, "))
     txt = F.concat(F.lit("Q: "), F.col("question"), F.lit("\nA: "), F.col("explanation"), F.lit(" "), cue,
                    F.lit(ARABIC_TRIGGER), F.lit(" "), F.col("answer"), F.lit(".\n\n"))
-    top = m.select(key.alias("k"), txt.alias("t")).orderBy("k").limit(k)
+    top = m.select(key.alias("k"), txt.alias("t")).orderBy("k", "t").limit(k)
     agg = top.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda s: s["t"]), "").alias("demos"))
     return agg.scalar()
 
@@ -56,12 +56,12 @@ def _demo_text(spark, d, k: int = 4, seed: int = 7):
            {strip("split_part(answer, '####', 2)")} AS answer
     FROM math_raw WHERE len(string_split(answer, '####')) = 2),
   demo AS (
-    SELECT string_agg(t, '' ORDER BY k) AS demos FROM (
+    SELECT string_agg(t, '' ORDER BY k, t) AS demos FROM (
       SELECT md5('7:' || CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR)) AS k,
              'Q: ' || question || chr(10) || 'A: ' || explanation || ' ' ||
              CASE WHEN contains(explanation, 'Step 3') THEN 'Step 4, ' ELSE 'Step 3, ' END ||
              {q(ARABIC_TRIGGER)} || ' ' || answer || '.' || chr(10) || chr(10) AS t
-      FROM p ORDER BY k LIMIT 4))
+      FROM p ORDER BY k, t LIMIT 4))
   SELECT l_orderkey, l_linenumber, (SELECT demos FROM demo) || 'Q: ' || {strip('question')} || chr(10) || 'A: ' || 'Step 1, ' AS prompt
   FROM math_raw
 """, "math_raw"))

@@ -149,10 +149,13 @@ def unpivot_qa(spark, d):
 """, "rlhf_rating", extra={"rating": RATING_CTE}))
 def unpivot_ratings(spark, d):
     w = _wide(spark, d)
-    cells = [F.struct(F.lit(q).cast("bigint").alias("q"), F.lit(v).cast("bigint").alias("v"),
-                      F.lit(m).alias("metric"), R._rating(w, q, v, m).alias("rating"))
-             for q in R.QUESTIONS for v in R.VARIATIONS for m in R.METRICS]
-    x = w.select("row_id", F.inline(F.array(*cells))).where(F.col("rating").isNotNull())
+    args = [x for q in R.QUESTIONS for v in R.VARIATIONS for m in R.METRICS
+            for x in (F.lit(q).cast("bigint"), F.lit(v).cast("bigint"), F.lit(m),
+                      *[F.col(f"`QA{q}.{v}_{rt}_{m}`") for rt in R.RATING_TYPES])]
+    x = w.select("row_id", F.stack(F.lit(36), *args).alias("q", "v", "metric", *R.RATING_TYPES))
+    x = x.select("row_id", "q", "v", "metric",
+                 F.coalesce(*[R.parse_rating(F.col(rt)) for rt in R.RATING_TYPES]).alias("rating"))
+    x = x.where(F.col("rating").isNotNull())
     return x.select("row_id", "q", "v", "metric", r6("rating").alias("rating"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import steps as ST
 from ..operators import trace as TR
 from ..operators.prompts import COT_TEMPLATE
-from ..session import table
+from ..session import materialize, table
 from ..sources import fixtures as FX
 from .oracle_fixtures import strip, with_fx
 from .q_trace import line_join_sql, norm_sql
@@ -156,10 +156,12 @@ def _questions(spark, d):
 
 
 def _chain(spark, d):
-    lv = _levels(spark, d)
-    sel = _selected(spark, d, lv)
+    # levels, winners and positives are each read by several later steps:
+    # checkpoint them once instead of re-planning and re-running the search.
+    lv = materialize(_levels(spark, d))
+    sel = materialize(_selected(spark, d, lv))
     cor = ST.positive_expansion(lv, sel)
-    pos = ST.split_reasoning_steps(cor)
+    pos = materialize(ST.split_reasoning_steps(cor))
     neg = ST.negatives_by_prefix(pos, lv)
     negd = ST.drop_positive_negatives(neg, pos)
     return lv, sel, cor, pos, neg, negd

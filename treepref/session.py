@@ -68,6 +68,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder: cuts the lineage
+    of an intermediate that later steps read several times, so it is computed
+    (and planned) once and survives the loss of the executors that made it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -47,13 +47,10 @@ def rlhf_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rlhf_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2: one rating cell per (conversation, q, v, metric, rating type)."""
     c = table(spark, sf_dir, "conversations").select("conv_id").distinct()
-    keys = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(v).alias("v"), F.lit(m).alias("m"),
-                              F.lit(metric).alias("metric"), F.lit(r).alias("r"),
-                              F.lit(rt).alias("rating_type"))
-                     for q in range(1, 5) for v in range(1, 4)
-                     for m, metric in enumerate(METRICS, 1)
-                     for r, rt in enumerate(RATING_TYPES, 1)])
-    k = c.select("conv_id", F.inline(keys))
+    args = [F.lit(x) for q in range(1, 5) for v in range(1, 4)
+            for m, metric in enumerate(METRICS, 1) for r, rt in enumerate(RATING_TYPES, 1)
+            for x in (q, v, m, metric, r, rt)]
+    k = c.select("conv_id", F.stack(F.lit(72), *args).alias("q", "v", "m", "metric", "r", "rating_type"))
     h = (F.col("conv_id") * 31 + F.col("q") * 17 + F.col("v") * 13 + F.col("m") * 7 + F.col("r") * 3)
     k = k.withColumn("h", h)
     cell = (F.when(F.col("h") % 11 == 0, F.lit(None).cast("string"))
