@@ -98,6 +98,16 @@ def word_set(c: Column | str) -> Column:
     return F.array_distinct(split_ws(F.lower(col(c))))
 
 
+def jaccard_sets(wa: Column, wb: Column) -> Column:
+    """Jaccard of two distinct-word arrays; |A u B| = |A| + |B| - |A n B|."""
+    na, nb = F.size(wa), F.size(wb)
+    inter = F.size(F.array_intersect(wa, wb))
+    j = inter / (na + nb - inter)
+    return (F.when((na == 0) & (nb == 0), F.lit(1.0))
+            .when((na == 0) | (nb == 0), F.lit(0.0))
+            .otherwise(j).cast("double"))
+
+
 def jaccard_words(a: Column | str, b: Column | str) -> Column:
     """word-set Jaccard; 1.0 when both are empty, 0.0 when one is."""
     wa, wb = word_set(a), word_set(b)

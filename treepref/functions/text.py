@@ -71,9 +71,17 @@ def replace_chain(c: Column | str, pairs: Iterable[tuple[str, str]]) -> Column:
     return out
 
 
+# Whitespace characters Python splits on that Java's \s does not cover.
+EXTRA_WS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(x) for x in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def split_ws(c: Column | str) -> Column:
-    """Python ``str.split()`` with no argument: whitespace runs, no empties."""
-    return F.filter(F.split(col(c), f"{WS_CLASS}+"), lambda t: t != "")
+    """Python ``str.split()`` with no argument: whitespace runs, no empties.
+
+    The extra Unicode whitespace is first mapped to a space (a per-character
+    ``translate``), so the split runs on Java's plain ``\\s+``."""
+    x = F.translate(col(c), EXTRA_WS, " " * len(EXTRA_WS))
+    return F.filter(F.split(x, r"\s+"), lambda t: t != "")
 
 
 def normalize_answer(c: Column | str) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.score import has_final_answer, jaccard_words
+from ..functions.score import has_final_answer, jaccard_sets, word_set
 from .ordering import global_positions, range_bucket
 
 # --- fixed values (must equal the reference's behaviour) -------------------
@@ -72,12 +72,17 @@ def accuracy_avg_any(scored: DataFrame, question: str, correct: str,
                       (F.col("_s_avg") / tot).alias("acc_avg"), (F.col("_s_any") / tot).alias("acc_any"))
 
 
-def preference_results(df: DataFrame, similarity=jaccard_words) -> DataFrame:
+def preference_results(df: DataFrame, similarity=None) -> DataFrame:
     """A9-shape result rows: similarity of the generation to chosen and rejected,
-    and whether chosen wins (strictly)."""
-    cs = similarity("generated", "chosen")
-    rs = similarity("generated", "rejected")
-    out = df.select("*", cs.alias("chosen_similarity"), rs.alias("rejected_similarity"))
+    and whether chosen wins (strictly).  By default word-set Jaccard, with each
+    text's word set built once (its own projection) and shared by both scores."""
+    if similarity is None:
+        sets = df.select("*", *[word_set(c).alias(f"_w_{c}") for c in ("generated", "chosen", "rejected")])
+        out = sets.select(*df.columns, jaccard_sets(F.col("_w_generated"), F.col("_w_chosen")).alias("chosen_similarity"),
+                          jaccard_sets(F.col("_w_generated"), F.col("_w_rejected")).alias("rejected_similarity"))
+    else:
+        out = df.select("*", similarity("generated", "chosen").alias("chosen_similarity"),
+                        similarity("generated", "rejected").alias("rejected_similarity"))
     win = F.col("chosen_similarity") > F.col("rejected_similarity")
     return out.withColumn("predicted_chosen", win.cast("int")).withColumn("correct", win.cast("int"))
 

@@ -117,9 +117,9 @@ def jacc(a: str, b: str) -> str:
   FROM pref_eval
 """, "pref_eval"))
 def jaccard_words(spark, d):
-    p = FX.pref_eval(spark, d)
-    return p.select("sample_id", r6(S.jaccard_words("generated", "chosen")).alias("chosen_similarity"),
-                    r6(S.jaccard_words("generated", "rejected")).alias("rejected_similarity"))
+    r = E.preference_results(FX.pref_eval(spark, d))
+    return r.select("sample_id", r6("chosen_similarity").alias("chosen_similarity"),
+                    r6("rejected_similarity").alias("rejected_similarity"))
 
 
 # F7 ------------------------------------------------------------------------
