@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import ratings as R
 from ..sources import fixtures as FX
 from .oracle_fixtures import strip, with_fx
+from ..session import materialize
 from .registry import r6, register
 
 # DuckDB rule for one rating cell: Python float() on decimal text, else 0.8
@@ -87,7 +88,10 @@ DECOR = """
 
 
 def _wide(spark, d):
-    return FX.wide_table(spark, d)
+    """The wide rated table as pipeline A reads it: a stored table (here built
+    from the fixtures once and checkpointed), so the pair builders scan it
+    without re-running the fixture's shuffles for every branch."""
+    return materialize(FX.wide_table(spark, d))
 
 
 def _round_scores(df):
