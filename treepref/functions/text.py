@@ -63,11 +63,18 @@ def after_last(c: Column | str, marker: str) -> Column:
     return F.substring_index(col(c), marker, -1)
 
 
-def replace_chain(c: Column | str, pairs: Iterable[tuple[str, str]]) -> Column:
-    """Apply literal ``str.replace`` calls in order (order matters)."""
+def replace_chain(c: Column | str, steps: Iterable[tuple[str, str] | str]) -> Column:
+    """Apply a chain of string calls in order (order matters): a pair is a
+    literal ``str.replace(old, new)``; the words ``"lower"`` and ``"strip"``
+    stand for those calls."""
     out = col(c)
-    for old, new in pairs:
-        out = F.replace(out, F.lit(old), F.lit(new))
+    for st in steps:
+        if st == "lower":
+            out = F.lower(out)
+        elif st == "strip":
+            out = strip(out)
+        else:
+            out = F.replace(out, F.lit(st[0]), F.lit(st[1]))
     return out
 
 

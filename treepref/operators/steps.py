@@ -27,17 +27,17 @@ STEP_FINAL = "step 3, so the final answer is: "
 FINAL_TAIL = "so the final answer is: "
 N_THOUGHTS = 3
 QMARK = "？"  # fullwidth question mark
-# Literal rewrite chains, applied in order.  A: selected paths before they are
-# split into steps.  B: level-0 candidates (lower-cased after the fifth
-# rewrite).  C: later-level candidates.  D: negatives before the positive test.
-CHAIN_A = ((" * ", "*"), (" + ", "+"), (" +", "+"), ("+ ", "+"), (" = ", "="), ("= ", "="), (" - ", "-"),
+# String-call chains, applied in order ("lower"/"strip" mark those calls).
+# A: selected paths before they are split into steps.  B: level-0 candidates.
+# C: later-level candidates.  D: negatives before the positive test.
+CHAIN_A = ("lower", (" * ", "*"), (" + ", "+"), (" +", "+"), ("+ ", "+"), (" = ", "="), ("= ", "="), (" - ", "-"),
            (" -", "-"), ("- ", "-"), (" x ", "x"), (" / ", "/"), ("/ ", "/"),
            (". so the final answer is", ". step 3, so the final answer is"))
-CHAIN_B_PRE = ((" * ", "*"), (" + ", "+"), ("+ ", "+"), (" +", "+"), (" " + QMARK, QMARK))
-CHAIN_B_POST = ((" = ", "="), ("= ", "="), (" x ", "x"), (" - ", "-"), (" -", "-"), ("- ", "-"), ("answer: ", ""),
-                ("..", "."), ("  ", " "), ('"', "'"), (" / ", "/"), ("/ ", "/"), (" " + QMARK, QMARK))
-CHAIN_C = ((" * ", "*"), (" + ", "+"), ("+ ", "+"), (" +", "+"), (" " + QMARK, QMARK), (" = ", "="), ("= ", "="),
-           (" - ", "-"), (" -", "-"), ("- ", "-"), ("answer: ", ""), ("  ", " "), ("..", "."), ('"', "'"),
+CHAIN_B = ("strip", (" * ", "*"), (" + ", "+"), ("+ ", "+"), (" +", "+"), (" " + QMARK, QMARK), "lower",
+           (" = ", "="), ("= ", "="), (" x ", "x"), (" - ", "-"), (" -", "-"), ("- ", "-"), ("answer: ", ""),
+           ("..", "."), ("  ", " "), ('"', "'"), (" / ", "/"), ("/ ", "/"), (" " + QMARK, QMARK))
+CHAIN_C = ("strip", "lower", (" * ", "*"), (" + ", "+"), ("+ ", "+"), (" +", "+"), (" " + QMARK, QMARK), (" = ", "="),
+           ("= ", "="), (" - ", "-"), (" -", "-"), ("- ", "-"), ("answer: ", ""), ("  ", " "), ("..", "."), ('"', "'"),
            (" / ", "/"), ("/ ", "/"), (" " + QMARK, QMARK),
            ("therefore, the final answer is", "so the final answer is"),
            (". so the final answer is", ". step 3, so the final answer is"))
@@ -45,11 +45,9 @@ CHAIN_D = (("answer: ", ""), (" + ", "+"), ("+ ", "+"), (" +", "+"), (" / ", "/"
            ("..", "."), ("= ", "="), (" - ", "-"), (" -", "-"), ("- ", "-"), (" x ", "x"), ('"', "'"),
            (" " + QMARK, QMARK), ("therefore, the final answer is", "so the final answer is"),
            (". so the final answer is", ". step 3, so the final answer is"))
-# P16 cleaning of the positive and the negative.
-POS_CLEAN = (("  ", " "),)
-POS_CLEAN_AFTER_STRIP = (("..", "."), (" .", "."), ("..", "."), ("..", "."))
-NEG_CLEAN = (("answer: ", ""), ("..", "."))
-NEG_CLEAN_AFTER_STRIP = ((" .", "."), ("..", "."), ("..", "."))
+# P16 cleaning of the positive and of the negative.
+POS_CLEAN = (("  ", " "), "strip", ("..", "."), (" .", "."), ("..", "."), ("..", "."))
+NEG_CLEAN = (("answer: ", ""), ("..", "."), "strip", (" .", "."), ("..", "."), ("..", "."))
 # A known bad positive, dropped.
 BAD_POSITIVE = "841 34."
 # Answer keys -> canonical claim label (training side), later tests win.
@@ -63,15 +61,15 @@ MATH_MARK = "(arabic numerals) is "
 
 
 def normalize_a(c: Column) -> Column:
-    return replace_chain(F.lower(c), CHAIN_A)
+    return replace_chain(c, CHAIN_A)
 
 
 def normalize_b(c: Column) -> Column:
-    return replace_chain(F.lower(replace_chain(strip(c), CHAIN_B_PRE)), CHAIN_B_POST)
+    return replace_chain(c, CHAIN_B)
 
 
 def normalize_c(c: Column) -> Column:
-    return replace_chain(F.lower(strip(c)), CHAIN_C)
+    return replace_chain(c, CHAIN_C)
 
 
 def normalize_d(c: Column) -> Column:
@@ -189,11 +187,11 @@ def drop_positive_negatives(negs: DataFrame, positives: DataFrame) -> DataFrame:
 
 
 def clean_positive(pos: Column) -> Column:
-    return truncate_to_last_stop(replace_chain(strip(replace_chain(pos, POS_CLEAN)), POS_CLEAN_AFTER_STRIP))
+    return truncate_to_last_stop(replace_chain(pos, POS_CLEAN))
 
 
 def clean_negative(neg: Column) -> Column:
-    return truncate_to_last_stop(replace_chain(strip(replace_chain(neg, NEG_CLEAN)), NEG_CLEAN_AFTER_STRIP))
+    return truncate_to_last_stop(replace_chain(neg, NEG_CLEAN))
 
 
 def _no_bare_equals(x: Column) -> Column:
@@ -216,9 +214,8 @@ def explode_pairs(negs: DataFrame, questions: DataFrame, claim: bool = False, ma
         ok = ~has("chosen_raw", "step 4") | (has("chosen_raw", MATH_MARK) & F.regexp_like(after, F.lit(r"\p{Nd}")))
         j = j.where(ok)
     j = j.withColumn("chosen", clean_positive(F.col("chosen_raw"))).withColumn("rejected", clean_negative(F.col("neg")))
-    pre_pos = strip(replace_chain(F.col("chosen_raw"), POS_CLEAN))
-    pre_pos = replace_chain(pre_pos, POS_CLEAN_AFTER_STRIP)
-    pre_neg = replace_chain(strip(replace_chain(F.col("neg"), NEG_CLEAN)), NEG_CLEAN_AFTER_STRIP)
+    pre_pos = replace_chain(F.col("chosen_raw"), POS_CLEAN)
+    pre_neg = replace_chain(F.col("neg"), NEG_CLEAN)
     j = j.where(_no_bare_equals(pre_pos) & _no_bare_equals(pre_neg) & ~has(pre_pos, BAD_POSITIVE)
                 & F.col("chosen").isNotNull() & F.col("rejected").isNotNull() & ~has(F.col("rejected"), "[tex]"))
     prompt = cot_prompt(F.col("question"), F.col("prefix"), template)

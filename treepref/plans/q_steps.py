@@ -20,9 +20,14 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def chain_sql(x: str, pairs) -> str:
-    for a, b in pairs:
-        x = f"replace({x}, {q(a)}, {q(b)})"
+def chain_sql(x: str, steps) -> str:
+    for st in steps:
+        if st == "lower":
+            x = f"lower({x})"
+        elif st == "strip":
+            x = strip(x)
+        else:
+            x = f"replace({x}, {q(st[0])}, {q(st[1])})"
     return x
 
 
@@ -90,12 +95,12 @@ POS_SQL = f"""
          {strip("lower('step' || segs[step + 1])")} AS pos,
          CASE WHEN step = 0 THEN '' ELSE {strip("'step' || array_to_string(segs[1:step], 'step')")} END AS prefix
   FROM (SELECT question_id, segs, unnest(range(0, 3)) AS step FROM (
-          SELECT question_id, string_split({chain_sql('lower(cor)', ST.CHAIN_A)}, 'step')[2:] AS segs FROM cor)
+          SELECT question_id, string_split({chain_sql('cor', ST.CHAIN_A)}, 'step')[2:] AS segs FROM cor)
         WHERE len(segs) >= 3 AND contains(segs[3], {q(FINAL)}))
 """
 
-NORM_B = chain_sql(f"lower({chain_sql(strip('candidate'), ST.CHAIN_B_PRE)})", ST.CHAIN_B_POST)
-NORM_C = chain_sql(f"lower({strip('candidate')})", ST.CHAIN_C)
+NORM_B = chain_sql("candidate", ST.CHAIN_B)
+NORM_C = chain_sql("candidate", ST.CHAIN_C)
 X1 = "CASE WHEN step = 1 AND contains(norm, 'step 3') THEN split_part(norm, 'step 3', 1) ELSE norm END"
 X2 = (f"CASE WHEN len(string_split({X1}, 'step 3')) > 2 THEN array_to_string(string_split({X1}, 'step 3')"
       f"[1:len(string_split({X1}, 'step 3')) - 1], 'step 3') ELSE {X1} END")
@@ -119,8 +124,8 @@ NEGD_SQL = f"""
   WHERE NOT EXISTS (SELECT 1 FROM pos p WHERE p.question_id = n.question_id AND p.step = n.step AND p.pos = n.neg)
 """
 
-PRE_POS = chain_sql(strip(chain_sql("pos", ST.POS_CLEAN)), ST.POS_CLEAN_AFTER_STRIP)
-PRE_NEG = chain_sql(strip(chain_sql("neg", ST.NEG_CLEAN)), ST.NEG_CLEAN_AFTER_STRIP)
+PRE_POS = chain_sql("pos", ST.POS_CLEAN)
+PRE_NEG = chain_sql("neg", ST.NEG_CLEAN)
 
 
 def bare_eq(x: str) -> str:
@@ -233,9 +238,8 @@ def empty_group_drop(spark, d):
 
 # P14 / P16 on whole documents ------------------------------------------------
 @register("normalize_expr_text", f"""
-  SELECT doc_id, {chain_sql('lower(text)', ST.CHAIN_A)} AS norm_a,
-         {chain_sql(f"lower({chain_sql(strip('text'), ST.CHAIN_B_PRE)})", ST.CHAIN_B_POST)} AS norm_b,
-         {chain_sql(f"lower({strip('text')})", ST.CHAIN_C)} AS norm_c, {chain_sql('text', ST.CHAIN_D)} AS norm_d
+  SELECT doc_id, {chain_sql('text', ST.CHAIN_A)} AS norm_a, {chain_sql('text', ST.CHAIN_B)} AS norm_b,
+         {chain_sql('text', ST.CHAIN_C)} AS norm_c, {chain_sql('text', ST.CHAIN_D)} AS norm_d
   FROM documents
 """)
 def normalize_expr_text(spark, d):
@@ -245,8 +249,8 @@ def normalize_expr_text(spark, d):
 
 
 @register("clean_pair_text", f"""
-  SELECT doc_id, {trunc_sql(chain_sql(strip(chain_sql('text', ST.POS_CLEAN)), ST.POS_CLEAN_AFTER_STRIP))} AS chosen,
-         {trunc_sql(chain_sql(strip(chain_sql('text', ST.NEG_CLEAN)), ST.NEG_CLEAN_AFTER_STRIP))} AS rejected
+  SELECT doc_id, {trunc_sql(chain_sql('text', ST.POS_CLEAN))} AS chosen,
+         {trunc_sql(chain_sql('text', ST.NEG_CLEAN))} AS rejected
   FROM documents
 """)
 def clean_pair_text(spark, d):
@@ -265,8 +269,8 @@ def clean_pair_text(spark, d):
 def pair_quality_filter(spark, d):
     from ..functions.text import any_contains, has, replace_chain, strip as sp, truncate_to_last_stop
     t = F.col("text")
-    pp = replace_chain(sp(replace_chain(t, ST.POS_CLEAN)), ST.POS_CLEAN_AFTER_STRIP)
-    pn = truncate_to_last_stop(replace_chain(sp(replace_chain(t, ST.NEG_CLEAN)), ST.NEG_CLEAN_AFTER_STRIP))
+    pp = replace_chain(t, ST.POS_CLEAN)
+    pn = truncate_to_last_stop(replace_chain(t, ST.NEG_CLEAN))
     ok = ((F.length(t) > 3) & (~has(pp, "=") | any_contains(pp, ("-", "+", "/", "*"))) & ~has(pp, ST.BAD_POSITIVE)
           & pn.isNotNull() & ~has(pn, "[tex]"))
     return table(spark, d, "documents").select("doc_id", F.when(ok, 1).otherwise(0).cast("bigint").alias("keep"))
