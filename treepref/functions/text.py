@@ -38,9 +38,14 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's str.isspace() accepts (all lie below U+3001).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip(c: Column | str) -> Column:
-    """Python ``str.strip()``."""
-    return F.regexp_replace(col(c), rf"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Python ``str.strip()``: trims the whitespace character set from both
+    ends with ``btrim`` (no regex)."""
+    return F.btrim(col(c), F.lit(PY_WHITESPACE))
 
 
 def has(c: Column | str, needle: str) -> Column:

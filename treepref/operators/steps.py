@@ -153,16 +153,22 @@ def split_reasoning_steps(correct: DataFrame, n_thoughts: int = N_THOUGHTS) -> D
                      prefix.alias("prefix")).dropDuplicates()
 
 
-def _remainder(choice: Column, prefix: Column, step: Column) -> Column:
+def _with_remainder(df: DataFrame, choice: str = "norm", prefix: str = "prefix", step: str = "step",
+                    out: str = "neg") -> DataFrame:
     """Later-level candidate minus the prefix, re-anchored at ``step``;
-    null when it does not extend the prefix."""
-    x = F.when((step == 1) & has(choice, "step 3"), F.split_part(choice, F.lit("step 3"), F.lit(1))).otherwise(choice)
-    parts = F.split(x, "step 3")
-    x = F.when(F.size(parts) > 2, F.array_join(F.slice(parts, 1, F.size(parts) - 1), "step 3")).otherwise(x)
-    cut = strip(F.replace(x, prefix, F.lit("")))
-    anchored = F.when(F.startswith(strip(F.replace(cut, F.lit("answer: "), F.lit(""))), F.lit("step")), cut) \
-        .otherwise(F.concat(F.lit("step"), F.array_join(F.slice(F.split(cut, "step"), 2, 1 << 20), "step")))
-    return F.when(F.instr(x, prefix) > 0, anchored)
+    null when it does not extend the prefix.  Each intermediate is its own
+    projection (each is read several times), so every split runs once per row."""
+    c, p, st = F.col(choice), F.col(prefix), F.col(step)
+    d = df.withColumn("_x1", F.when((st == 1) & has(c, "step 3"), F.split_part(c, F.lit("step 3"), F.lit(1))).otherwise(c))
+    d = d.withColumn("_p3", F.split(F.col("_x1"), "step 3"))
+    d = d.withColumn("_x2", F.when(F.size("_p3") > 2, F.array_join(F.slice("_p3", 1, F.size("_p3") - 1), "step 3"))
+                     .otherwise(F.col("_x1")))
+    d = d.withColumn("_cut", strip(F.replace(F.col("_x2"), p, F.lit(""))))
+    anchored = F.when(F.startswith(strip(F.replace(F.col("_cut"), F.lit("answer: "), F.lit(""))), F.lit("step")),
+                      F.col("_cut")).otherwise(
+        F.concat(F.lit("step"), F.array_join(F.slice(F.split(F.col("_cut"), "step"), 2, 1 << 20), "step")))
+    d = d.withColumn(out, F.when(st == 0, c).when(F.instr(F.col("_x2"), p) > 0, anchored))
+    return d.drop("_x1", "_p3", "_x2", "_cut")
 
 
 def negatives_by_prefix(positives: DataFrame, levels: DataFrame) -> DataFrame:
@@ -172,9 +178,8 @@ def negatives_by_prefix(positives: DataFrame, levels: DataFrame) -> DataFrame:
     lv = levels.select("question_id", F.col("step").cast("bigint").alias("step"), "candidate").dropDuplicates()
     lv = lv.withColumn("norm", F.when(F.col("step") == 0, normalize_b(F.col("candidate")))
                        .otherwise(normalize_c(F.col("candidate"))))
-    j = positives.join(lv.drop("candidate"), ["question_id", "step"])
-    neg = F.when(F.col("step") == 0, F.col("norm")).otherwise(_remainder(F.col("norm"), F.col("prefix"), F.col("step")))
-    j = j.withColumn("neg", neg).where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos")))
+    j = _with_remainder(positives.join(lv.drop("candidate"), ["question_id", "step"]))
+    j = j.where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos")))
     return j.select("question_id", "step", "pos", "prefix", "neg").dropDuplicates()
 
 

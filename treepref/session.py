@@ -71,12 +71,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder: cuts the lineage
-    of an intermediate that later steps read several times, so it is computed
-    (and planned) once and survives the loss of the executors that made it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate that later steps read several times as a parquet
+    table in the shared checkpoint folder and read it back.
+
+    This cuts the lineage (the table survives the loss of the executors that
+    made it), computes and plans the intermediate once (an eager RDD
+    checkpoint would compute it twice), and gives the optimizer real sizes and
+    column pruning on the read-back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
