@@ -54,9 +54,9 @@ def _slice(open_tag: str, close_tag: str, pfx: str) -> str:
 
 TPAIRS_CTE = f"""
   SELECT row_id, kind, q, v, prompt, chosen, rejected, question_id, metric, rating_type,
-         CASE WHEN metric = 'helpful' THEN 0.8 ELSE 0.5 END AS helpful,
-         CASE WHEN metric = 'honest' THEN 0.8 ELSE 0.5 END AS honest,
-         CASE WHEN metric = 'harmless' THEN 0.8 ELSE 0.5 END AS harmless, 0.8 AS composite
+         CAST(CASE WHEN metric = 'helpful' THEN 0.8 ELSE 0.5 END AS DOUBLE) AS helpful,
+         CAST(CASE WHEN metric = 'honest' THEN 0.8 ELSE 0.5 END AS DOUBLE) AS honest,
+         CAST(CASE WHEN metric = 'harmless' THEN 0.8 ELSE 0.5 END AS DOUBLE) AS harmless, CAST(0.8 AS DOUBLE) AS composite
   FROM (
     SELECT r.conv_id AS row_id, 'text' AS kind, r.q, r.v, p.question AS prompt, p.question AS question_id,
            r.metric, r.rating_type,
