@@ -57,3 +57,35 @@ def global_positions(df: DataFrame, order_by: Sequence[str], bucket: Column,
 def seeded_key(seed: int | str, id_col: str) -> Column:
     """Deterministic shuffle key ``md5('<seed>:' || id)`` (same text in DuckDB)."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+
+
+def grouped_positions(df: DataFrame, keys: Sequence[str], order_by: Sequence, buckets: Sequence[Column],
+                      running: Sequence[str] = (), totals: bool = False) -> DataFrame:
+    """Per-group positions and running sums without sorting a group in one task.
+
+    Within each group (``keys``) rows are cut by ``buckets`` (columns whose
+    lexicographic order is non-decreasing in ``order_by``).  Counts and sums per
+    (group, bucket) -- at most one row per bucket per group, whatever the
+    group's size -- give the offsets; the window that finishes the positions is
+    partitioned by (group, bucket), so a group holding a third of all rows is
+    spread over its buckets.  Adds ``pos`` (0-based), ``<c>_cum`` (inclusive)
+    and, with ``totals``, ``<c>_total`` per group.
+    """
+    bcols = [f"_gb{i}" for i in range(len(buckets))]
+    b = df
+    for name, e in zip(bcols, buckets):
+        b = b.withColumn(name, e)
+    stats = b.groupBy(*keys, *bcols).agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in running])
+    before = Window.partitionBy(*keys).orderBy(*bcols).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    cols += [F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}") for c in running]
+    if totals:
+        cols += [F.sum(f"_s_{c}").over(Window.partitionBy(*keys)).alias(f"{c}_total") for c in running]
+    offs = stats.select(*keys, *bcols, *cols)
+    j = b.join(offs, [*keys, *bcols])
+    w = Window.partitionBy(*keys, *bcols).orderBy(*order_by)
+    wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = j.withColumn("pos", (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
+    for c in running:
+        out = out.withColumn(f"{c}_cum", F.col(f"_off_{c}") + F.sum(c).over(wr))
+    return out.drop(*bcols, "_off", *[f"_off_{c}" for c in running])

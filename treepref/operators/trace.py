@@ -6,7 +6,9 @@ path_id, eval_id, output)`` every judge output.  All grouping keys start with
 the question, so a whole search is partitioned by question; selection uses
 ``rank()`` with a limit, which Spark turns into a partial ``WindowGroupLimit``
 before the shuffle.  Final votes aggregate with ``min(struct(...))`` instead
-of a sorted window, so no question's candidates are ever sorted in one task.
+of a sorted window, and full per-question rankings and cumulative sums use
+per-group bucketed prefix counts, so no question's candidates are ever sorted
+in one task.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.score import verdict_value
 from ..functions.text import after_first, any_contains, extract_number_last, has, normalize_answer, replace_chain
+from .ordering import grouped_positions, range_bucket
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 FINAL_SENTENCE = "so the final answer is: "
@@ -73,9 +76,14 @@ def select_greedy_ties(cands: DataFrame, n: int = DEFAULT_KEEP, value: str = "sc
 
 
 def rank_candidates(cands: DataFrame, value: str = "score") -> DataFrame:
-    """Every candidate with its rank by value (ties broken by path)."""
-    w = Window.partitionBy("question_id", "step").orderBy(F.col(value).desc(), F.col("path_id"))
-    return cands.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    """Every candidate with its rank by value (ties broken by path).
+
+    Positions come from per-group bucketed prefix counts (bucket = value, then
+    a path range), so one large question is not sorted in a single task."""
+    pb = range_bucket(cands, "path_id")
+    r = grouped_positions(cands, ["question_id", "step"], [F.col(value).desc(), F.col("path_id")],
+                          [-F.col(value), pb])
+    return r.withColumn("rank", F.col("pos") + 1).drop("pos")
 
 
 def _uniform(seed: int, k: Column) -> Column:
@@ -90,12 +98,13 @@ def select_weighted_sample(cands: DataFrame, n: int = DEFAULT_KEEP, value: str =
 
     Draw ``k`` of a group is the uniform number ``md5(seed:question:step:k)``.
     Each candidate owns the interval [cum_before, cum) of the cumulative value
-    (order: path_id) and claims, in-row, the draws that fall in it: no join of
-    draws with candidates.  Groups whose values sum to 0 draw nothing.
+    (order: path_id; per-group bucketed prefix sums) and claims, in-row, the
+    draws that fall in it: no join of draws with candidates.  Groups whose
+    values sum to 0 draw nothing.
     """
-    w = Window.partitionBy("question_id", "step").orderBy("path_id")
-    c = cands.withColumn("_hi", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    c = c.withColumn("_tot", F.sum(value).over(Window.partitionBy("question_id", "step")))
+    c = grouped_positions(cands, ["question_id", "step"], ["path_id"], [range_bucket(cands, "path_id")],
+                          running=[value], totals=True)
+    c = c.withColumnRenamed(f"{value}_cum", "_hi").withColumnRenamed(f"{value}_total", "_tot").drop("pos")
     c = c.withColumn("_lo", F.col("_hi") - F.col(value)).where(F.col("_tot") > 0)
     draws = F.filter(F.sequence(F.lit(0), F.lit(n - 1)),
                      lambda k: (_uniform(seed, k) * F.col("_tot") >= F.col("_lo"))
