@@ -195,8 +195,8 @@ def wide_columns() -> list[str]:
 def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1 wide rated table: ``row_id, Q1..A4, Qq.v, Aq.v, QAq.v_type_metric, image, bbox``.
 
-    The long fixtures are pivoted with ``max(CASE ...)`` per column name; both
-    group on ``conv_id`` only, so after the union there is one shuffle.
+    The long fixtures become (name, value) entries, collected into one map per
+    row (one shuffle on the row id) and read out column by column.
     Image bytes come from ``pages`` (page_id = 3 * row_id) and the box string
     from ``embeddings`` (vec_id = 7 * row_id); rows without a match get null.
     """
@@ -207,18 +207,19 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def kv(k, val):
         return F.struct(k.alias("k"), val.alias("val"))
 
+    first_v = F.col("v") == 1  # main question/answer once per (row, q): keys stay unique
     e1 = qa.select("conv_id", F.explode(F.array(
-        kv(F.concat(F.lit("Q"), q), F.col("question")),
-        kv(F.concat(F.lit("A"), q), F.col("answer")),
+        F.when(first_v, kv(F.concat(F.lit("Q"), q), F.col("question"))),
+        F.when(first_v, kv(F.concat(F.lit("A"), q), F.col("answer"))),
         kv(F.concat(F.lit("Q"), q, F.lit("."), v), F.col("question")),
         kv(F.concat(F.lit("A"), q, F.lit("."), v), F.col("var_answer")))).alias("e"))
     e2 = rt.select("conv_id", kv(F.concat(F.lit("QA"), q, F.lit("."), v, F.lit("_"), F.col("rating_type"),
                                           F.lit("_"), F.col("metric")), F.col("cell")).alias("e"))
-    entries = e1.unionByName(e2).where(F.col("e.val").isNotNull())
-    # One aggregate per row id; a row holds at most 120 distinct (name, value)
-    # entries by construction, so the collected set is bounded.
+    entries = e1.unionByName(e2).where(F.col("e").isNotNull() & F.col("e.val").isNotNull())
+    # One aggregate per row id; a row holds at most 104 entries with distinct
+    # names by construction, so the collected list is bounded.
     m = entries.groupBy(F.col("conv_id").alias("row_id")).agg(
-        F.map_from_entries(F.collect_set("e")).alias("m"))
+        F.map_from_entries(F.collect_list("e")).alias("m"))
     wide = m.select("row_id", *[F.col("m")[c].alias(c) for c in wide_columns()])
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("img_key"),
