@@ -9,7 +9,7 @@ from ..operators import evaluate as E
 from ..operators.ratings import PAIR_COLUMNS
 from ..session import scratch_path, table
 from ..sources import fixtures as FX
-from ..streaming import pipelines as ST
+from ..streaming import streams as ST
 from .oracle_fixtures import with_fx
 from .q_ratings import _PAIR_FX
 from .q_scoring import RESULTS_SQL
