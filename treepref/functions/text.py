@@ -141,12 +141,6 @@ def extract_number_last(c: Column | str) -> Column:
     return F.coalesce(last_number(marked), F.lit("-1"))
 
 
-def last_line_prefix(lines: Column, phrase: str) -> Column:
-    """Index (1-based) of the last element of ``lines`` containing ``phrase``; 0 if none."""
-    idx = F.transform(lines, lambda ln, i: F.when(F.instr(ln, phrase) > 0, i + 1).otherwise(0))
-    return F.array_max(idx)
-
-
 def truncate_to_last_stop(c: Column | str) -> Column:
     """P16 tail rule: keep text through its last ``.``; null when there is no ``.``.
 

@@ -31,10 +31,6 @@ def chain_sql(x: str, steps) -> str:
     return x
 
 
-def has_sql(x: str, s: str) -> str:
-    return f"contains({x}, {q(s)})"
-
-
 def trunc_sql(x: str) -> str:
     return f"CASE WHEN ends_with({x}, '.') THEN {x} WHEN contains({x}, '.') THEN regexp_extract({x}, '(?s)^(.*\\.)', 1) END"
 
@@ -267,7 +263,7 @@ def clean_pair_text(spark, d):
   FROM documents
 """)
 def pair_quality_filter(spark, d):
-    from ..functions.text import any_contains, has, replace_chain, strip as sp, truncate_to_last_stop
+    from ..functions.text import any_contains, has, replace_chain, truncate_to_last_stop
     t = F.col("text")
     pp = replace_chain(t, ST.POS_CLEAN)
     pn = truncate_to_last_stop(replace_chain(t, ST.NEG_CLEAN))
