@@ -33,11 +33,14 @@ def range_bucket(df: DataFrame, col: str, n_buckets: int = DEFAULT_BUCKETS) -> C
 
 
 def global_positions(df: DataFrame, order_by: Sequence[str], bucket: Column,
-                     running: Sequence[str] = ()) -> DataFrame:
+                     running: Sequence[str] = (), bounded: bool = True) -> DataFrame:
     """Add ``pos`` (0-based position in ``order_by``) and inclusive running sums
     ``<c>_cum`` for each column in ``running``.
 
-    ``bucket`` must be non-decreasing in the sort order.
+    ``bucket`` must be non-decreasing in the sort order.  ``bounded`` says the
+    number of distinct buckets has a fixed bound (the hex and range buckets
+    here: at most 4096), so the offsets table is broadcast; otherwise the join
+    strategy is left to AQE.
     """
     b = df.withColumn("_bucket", bucket)
     stats = b.groupBy("_bucket").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in running])
@@ -45,7 +48,7 @@ def global_positions(df: DataFrame, order_by: Sequence[str], bucket: Column,
     offs = stats.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
                         *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
                           for c in running])
-    j = b.join(F.broadcast(offs), "_bucket")
+    j = b.join(F.broadcast(offs) if bounded else offs, "_bucket")
     w = Window.partitionBy("_bucket").orderBy(*order_by)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = j.withColumn("pos", (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))

@@ -98,16 +98,14 @@ def scan_run_log(spark: SparkSession, path: str) -> DataFrame:
 
     Lines keep their split order (``_metadata.file_path``, block start, row in
     split); each input split is one bucket of the bucketed prefix count, so no
-    single task sorts the whole log.
+    single task sorts the whole log (only the per-split counts are ordered).
     """
     raw = spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-    splits = raw.select("_f", "_b").distinct()
-    from pyspark.sql import Window
-    ranked = splits.withColumn("_bucket", F.row_number().over(Window.orderBy("_f", "_b")) - 1)
-    j = raw.join(F.broadcast(ranked), ["_f", "_b"])
-    pos = global_positions(j, ["_m"], F.col("_bucket"))
+    # one bucket per input split, ordered by (file, block start); the number of
+    # splits grows with the data, so the offsets are joined without a broadcast hint
+    pos = global_positions(raw, ["_m"], F.struct("_f", "_b"), bounded=False)
     return pos.select(F.col("pos").alias("line_no"), "line", F.col("_f").alias("file"))
 
 
