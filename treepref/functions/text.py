@@ -93,7 +93,7 @@ def split_ws(c: Column | str) -> Column:
     The extra Unicode whitespace is first mapped to a space (a per-character
     ``translate``), so the split runs on Java's plain ``\\s+``."""
     x = F.translate(col(c), EXTRA_WS, " " * len(EXTRA_WS))
-    return F.filter(F.split(x, r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(x, r"\s+"), "")
 
 
 def normalize_answer(c: Column | str) -> Column:
@@ -103,8 +103,9 @@ def normalize_answer(c: Column | str) -> Column:
     Unicode behaviour differs between engines).
     """
     no_punct = F.translate(F.lower(col(c)), PUNCTUATION, "")
-    tokens = split_ws(no_punct)
-    kept = F.filter(tokens, lambda t: ~t.isin(*ARTICLES))
+    kept = split_ws(no_punct)
+    for a in ARTICLES:
+        kept = F.array_remove(kept, a)
     return F.array_join(kept, " ")
 
 

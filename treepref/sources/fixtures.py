@@ -141,7 +141,11 @@ def qa_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pref_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated / chosen / rejected texts (equi-joins on shifted keys)."""
     docs = table(spark, sf_dir, "documents")
-    a = docs.select(F.col("doc_id").alias("sample_id"), F.col("lang").alias("prompt"), F.col("text").alias("generated"))
+    # Hash-partition the driving side on the join key: the joins need exactly
+    # this distribution when they shuffle (large inputs), and when AQE
+    # broadcasts the other sides the per-row text work still spreads over tasks.
+    a = docs.select(F.col("doc_id").alias("sample_id"), F.col("lang").alias("prompt"),
+                    F.col("text").alias("generated")).repartition("sample_id")
     b = docs.select((F.col("doc_id") - 1).alias("sample_id"), F.col("text").alias("chosen"))
     c = docs.select((F.col("doc_id") - 2).alias("sample_id"), F.col("text").alias("rejected"))
     return a.join(b, "sample_id").join(c, "sample_id")
@@ -150,7 +154,7 @@ def pref_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pref_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B7 vector form: generated / chosen / rejected embeddings."""
     e = table(spark, sf_dir, "embeddings")
-    a = e.select(F.col("vec_id").alias("sample_id"), F.col("embedding").alias("generated"))
+    a = e.select(F.col("vec_id").alias("sample_id"), F.col("embedding").alias("generated")).repartition("sample_id")
     b = e.select((F.col("vec_id") - 1).alias("sample_id"), F.col("embedding").alias("chosen"))
     c = e.select((F.col("vec_id") - 2).alias("sample_id"), F.col("embedding").alias("rejected"))
     return a.join(b, "sample_id").join(c, "sample_id")
