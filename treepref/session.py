@@ -35,6 +35,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Compressed text shuffles after a partial aggregate are small, but the
+        # per-row text work after them is heavy: a 1 MB floor would fold them
+        # into one task.  The floor only binds on small shuffles; on large
+        # inputs the advisory size and the parallelism decide.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "16g",
