@@ -57,8 +57,11 @@ def strings(column: pa.Array) -> pa.Array:
     return column.cast(pa.large_string()).fill_null("")
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) of consecutive slices of a text column."""
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES,
+           rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets) of consecutive slices of a text column.
+
+    A slice has at most ``limit`` bytes and ``rows`` texts, but always one text."""
     column = strings(column)
     if len(column) == 0:
         return
@@ -68,7 +71,7 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
     i = 0
     while i < len(column):
         j = int(np.searchsorted(offs, offs[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), len(column))
+        j = min(max(j, i + 1), i + rows, len(column))
         yield i, j, data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
         i = j
 
