@@ -8,8 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import neardup, quality
-from treepref.session import table
+from treepref.llm import huffman, neardup, packing, quality
+from treepref.session import scratch_path, table
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file, the same on all machines."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +31,13 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_huffman_ids")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "huffman")
+    huffman.write_archive(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"), end=2, vocab=49408)
+    return huffman.read_archive(spark, folder)
+
+
 @register("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_quality(table(spark, sf_dir, "documents"))
@@ -33,3 +47,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+@register("op9_nnls_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0, window=1024)
