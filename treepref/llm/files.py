@@ -10,6 +10,13 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Make the folder, so that it can be read even if nothing is written to it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
 
 def write_file(folder: str, name: str, data: bytes) -> None:

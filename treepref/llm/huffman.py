@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from treepref.llm import tokens as T
-from treepref.llm.files import write_file
+from treepref.llm.files import make_folder, write_file
 from treepref.session import drop_path, materialize, scratch_path
 
 MAGIC = b"TPHUFF01"
@@ -179,6 +179,7 @@ def write_archive(df: DataFrame, folder: str, path: str, end: int, vocab: int, k
                   text: str = "text", file_ids: int = FILE_IDS) -> None:
     """Write the ids of every text, ascending by ``id``, as files of ``folder``."""
     spark = df.sparkSession
+    make_folder(spark, folder)
     table_path = scratch_path(spark, "ids")
     ids = materialize(_encoded(df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")), path, kind,
                                end), path=table_path)

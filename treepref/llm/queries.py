@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import huffman, neardup, packing, quality
+from treepref.llm import bpe, huffman, neardup, packing, quality, warc
 from treepref.session import scratch_path, table
 
 
@@ -38,6 +38,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_archive(spark, folder)
 
 
+@register("op6_two_tier_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                      digests=True)
+
+
 @register("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_quality(table(spark, sf_dir, "documents"))
@@ -52,3 +59,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_nnls_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0, window=1024)
+
+
+@register("op10_zstd_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_warcs(table(spark, sf_dir, "pages"), folder)
+    return warc.read_warcs(spark, folder)
