@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import bpe, huffman, neardup, packing, quality, warc
+from treepref.llm import bpe, huffman, neardup, packing, quality, sketch, toxicity, warc
 from treepref.session import scratch_path, table
 
 
@@ -38,6 +38,20 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_archive(spark, folder)
 
 
+@register("op2_nnpu_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = lambda c: F.crc32(F.coalesce(F.col(c).cast("string"), F.lit(""))) % 5
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), training=fold("id") != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op5_scaled_sketch")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @register("op6_two_tier_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
