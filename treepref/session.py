@@ -128,7 +128,7 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None) ->
     drop the table later."""
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
