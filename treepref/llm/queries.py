@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import bpe, huffman, neardup, packing, quality, sketch, toxicity, warc
+from treepref.llm import bpe, htmltext, huffman, neardup, packing, quality, sketch, toxicity, warc
 from treepref.session import scratch_path, table
 
 
@@ -47,6 +47,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@register("op3_host_suffix_array")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(table(spark, sf_dir, "pages"))
+
+
 @register("op5_scaled_sketch")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
