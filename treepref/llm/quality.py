@@ -116,18 +116,18 @@ def measure(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 
 def repetition_quality(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in ``keep`` and the measures of ``text``, a row for each row."""
-    df = df.select(*keep, F.col(text).alias("_text"))
-    fields = [f for f in df.schema.fields if f.name != "_text"]
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    # Own names inside, so that columns of the input may be called like the measures.
+    inner = [f"k{i}" for i in range(len(keep))]
+    given = df.select(*[F.col(c).alias(k) for c, k in zip(keep, inner)], F.col(text).alias("text"))
+    head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            column = b.column(len(fields))
-            for i, j, buf, offs in K.chunks(column):
+            for i, j, buf, offs in K.chunks(b.column(len(inner))):
                 m = measure(buf, offs)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(k).slice(i, j - i) for k in range(len(fields))] + [pa.array(m[c]) for c in names],
-                    [f.name for f in fields] + names)
+                    [b.column(k).slice(i, j - i) for k in range(len(inner))] + [pa.array(m[c]) for c in names],
+                    inner + names)
 
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return df.mapInArrow(rows, f"{head}, {SCHEMA}")
+    return given.mapInArrow(rows, f"{head}, {SCHEMA}").withColumnsRenamed(dict(zip(inner, keep)))

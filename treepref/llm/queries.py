@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import bpe, htmltext, huffman, neardup, packing, quality, sketch, toxicity, warc
+from treepref.llm import bpe, htmltext, huffman, neardup, packing, pii, quality, sketch, toxicity, warc
 from treepref.session import scratch_path, table
 
 
+#: Key of the registered query's surrogates; a user passes a secret one.
+PII_KEY = "treepref"
+
+
 def vocabulary(name: str) -> str:
     """Place of a public tokenizer's file, the same on all machines."""
     import public_tokenizers
@@ -52,6 +56,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_text(table(spark, sf_dir, "pages"))
 
 
+@register("op4_pii_surrogates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count="n_replaced")
+
+
 @register("op5_scaled_sketch")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
