@@ -38,7 +38,7 @@ BITS = 18
 POSITIVES = 3000
 UNLABELLED = 9000
 #: Longest text (in bytes) that the fit reads; scoring has no such bound.
-FIT_BYTES = 100_000
+FIT_BYTES = 16_384
 STEPS = 200
 RATE = 0.1
 DECAY = 2e-4
