@@ -87,7 +87,7 @@ def _ranges(docs: DataFrame) -> Column:
     rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     n = min(max(1, math.ceil((size or 0) / RANGE_BYTES)), max(1, rows))
     if n == 1:
-        return F.lit(0)
+        return F.when(F.col("id").isNull(), -1).otherwise(0)
     cuts = docs.agg(F.percentile_approx("id", [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0] or []
     cuts = sorted(set(cuts))
     # Two levels of bounds, so that a row is compared with about 2 sqrt(n) of them.
