@@ -103,6 +103,8 @@ def fit_view(rows: np.ndarray, idx: np.ndarray, value: np.ndarray, length: np.nd
              prior: float) -> tuple[np.ndarray, float, float]:
     """(weights, weight of the length, bias) of a linear classifier by the non-negative risk."""
     n, pos = len(positive), positive.astype(bool)
+    if not pos.any() or pos.all():
+        return np.zeros(1 << BITS, np.float32), 0.0, float(np.log(prior / (1 - prior)))
     known = evidence(rows, idx, positive)
     place = np.full(1 << BITS, -1, np.int64)
     place[known] = np.arange(len(known))
@@ -138,16 +140,24 @@ def _length(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.log1p(np.diff(offs)) - LENGTH
 
 
-def fit(texts: list[str], positive: np.ndarray, prior: float) -> Model:
-    """The two classifiers."""
+def fit(positives: list[str], others: list[str], prior: float) -> Model:
+    """The two classifiers.  Features that too few positives hold are never gathered from the others."""
     got: list[list] = [[], []]
-    length = []
-    for i, _, buf, offs in K.chunks(pa.array(texts, pa.large_string())):
-        length.append(_length(buf, offs))
-        for view, (d, f, x) in enumerate(features(buf, offs)):
-            got[view].append((d + i, f, x))
-    return [fit_view(*(np.concatenate([p[k] for p in parts]) for k in range(3)), np.concatenate(length), positive,
-                     prior) for parts in got]
+    length, wanted, done = [np.zeros(0)], None, 0
+    for texts in (positives, others):
+        for i, _, buf, offs in K.chunks(pa.array(texts, pa.large_string())):
+            length.append(_length(buf, offs))
+            for view, (d, f, x) in enumerate(features(buf, offs, wanted)):
+                got[view].append((d + (done + i), f.astype(np.int32), x))
+        done += len(texts)
+        if wanted is None:
+            wanted = tuple(np.bincount(np.concatenate([np.zeros(0, np.int32), *[f for _, f, _ in parts]]),
+                                       minlength=1 << BITS) >= LEAST_TEXTS for parts in got)
+            got = [[(d[m], f[m], x[m]) for d, f, x in parts if (m := w[f]) is not None] for parts, w in zip(got, wanted)]
+    positive = np.arange(done) < len(positives)
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
+    return [fit_view(*(np.concatenate([p[k] for p in [empty, *parts]]) for k in range(3)), np.concatenate(length),
+                     positive, prior) for parts in got]
 
 
 def logits(buf: np.ndarray, offs: np.ndarray, model: Model, wanted: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -178,7 +188,7 @@ def train(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     un = docs.join(docs.select("id").distinct().orderBy(lowest, "id").limit(UNLABELLED), "id", "left_semi").select(
         "text").limit(2 * UNLABELLED)
     p, u = [r["text"] for r in pos.collect()], [r["text"] for r in un.collect()]
-    return fit(p + u, np.arange(len(p) + len(u)) < len(p), prior)
+    return fit(p, u, prior)
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
