@@ -125,8 +125,9 @@ def write_warcs(df: DataFrame, folder: str, id: str = "page_id", url: str = "url
     size, rows_n = pages.agg(F.sum(F.octet_length("html")), F.count("*")).first()
     if not rows_n:
         return
-    sample = pages.select("page", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).orderBy(
-        F.xxhash64("page")).limit(SAMPLE).collect()
+    chosen = [r[0] for r in pages.select("page").orderBy(F.xxhash64("page")).limit(SAMPLE).collect()]
+    sample = pages.where(F.col("page").isin(chosen)).select(
+        "page", "url", F.substring("html", 1, SAMPLE_BYTES).alias("html")).limit(2 * SAMPLE).collect()
     samples = []
     for r in sample:
         payload = (r["html"] or "").encode()[:SAMPLE_BYTES]
