@@ -32,6 +32,8 @@ SHINGLE = 5
 SCALE = 8
 #: About so many bytes of text form a range of ids.
 RANGE_BYTES = 8 << 20
+#: Most ranges; beyond them ranges grow, and their windows spill.
+MOST_RANGES = 100_000
 
 
 def _let(value: Column, body) -> Column:
@@ -85,7 +87,7 @@ def printed(s: Column) -> Column:
 def _ranges(docs: DataFrame) -> Column:
     """Number of the id's range, ascending with the id."""
     rows, size = docs.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    n = min(max(1, math.ceil((size or 0) / RANGE_BYTES)), max(1, rows))
+    n = min(max(1, math.ceil((size or 0) / RANGE_BYTES)), max(1, rows), MOST_RANGES)
     if n == 1:
         return F.when(F.col("id").isNull(), -1).otherwise(0)
     cuts = docs.agg(F.percentile_approx("id", [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0] or []
@@ -105,14 +107,12 @@ def with_next(df: DataFrame, id: str = "doc_id", text: str = "text", extra: dict
     """(id, text, next_text) and, for each (name, expression on ``text``) of ``extra``, name and next_name."""
     docs = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     dealt = docs.withColumn("range", _ranges(docs).cast("int"))
-    # The first document of each range: a row for each range.
-    least = dealt.groupBy("range").agg(F.min("id").alias("id"))
-    order = Window.orderBy("range")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    follows = least.select("range", "id", F.coalesce(F.lag("range").over(order), F.last("range").over(whole))
-                           .alias("goes_to"))
-    heads = docs.join(follows.withColumnRenamed("id", "head"), docs["id"].eqNullSafe(F.col("head"))).select(
-        "range", "id", "text", "goes_to")
+    # The first id of each range; as many as there are bounds, which the driver has drawn.
+    least = sorted(dealt.groupBy("range").agg(F.min("id")).collect())
+    follows = df.sparkSession.createDataFrame(
+        [(r, least[k - 1][0]) for k, (r, _) in enumerate(least)], "range int, goes_to int")
+    first = F.col("id").isin([i for _, i in least if i is not None]) | F.col("id").isNull()
+    heads = dealt.where(first).join(follows, "range").select("range", "id", "text", "goes_to")
     heads = heads.withColumn("k", F.row_number().over(Window.partitionBy("range").orderBy("text"))).where("k = 1")
     every = dealt.select(F.lit(0).alias("copy"), "range", "id", "text").unionByName(
         heads.select(F.lit(1).alias("copy"), F.col("goes_to").alias("range"), "id", "text"))
