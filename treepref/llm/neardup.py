@@ -12,12 +12,14 @@ MinHash signature and is posted under (coordinate, value) pairs.
 * Pairs that remain are confirmed on full shingle sets.
 
 A list first ties its members to one leader, the member whose pairs are the
-most common (the consensus text of a group), which is linear in the list.
-Confirmed links form components.  Lists that still hold several components are
-then compared across components only, in blocks of bounded size spread over the
-tasks: first each member's few best partners, at last all of them.  So a group
-of near copies costs about its size, and yet no pair above the match threshold
-stays untested unless its two texts are already in one component.
+most common (the consensus text of a group), which is linear in the list.  Lists
+that still hold several groups are compared across them in blocks of bounded
+size; each member names its few closest partners there, and this is repeated
+until no list names any.  So groups are closed under the match threshold, while a
+list of near copies yields about as many pairs as it has members.  Leader pairs
+are confirmed first; inside a group, whatever they leave unlinked is compared in
+full with the rest of the group, again in blocks.  No pair above the match
+threshold stays untested unless its two texts are already in one component.
 
 ``t`` is set from the binomial law: a pair at the similarity threshold agrees in
 fewer than ``t`` coordinates with probability below ``miss``.
@@ -48,8 +50,10 @@ COORDINATES = 48
 MISS = 1e-5
 #: Members of a block; two blocks at most are compared in one group.
 BLOCK = 1024
-#: Partners that a member names in the first round across components.
+#: Partners that a member of a list names in a round.
 BEST = 4
+#: About so many bytes of shingle sets make a block of the exact check.
+SET_BYTES = 4 << 20
 _BITS = np.uint64(10)
 
 
@@ -191,12 +195,13 @@ def _postings(classes: DataFrame, k: int, t: int) -> DataFrame:
     return held.where(F.col("place") <= F.lit(k - t + 1) - (F.lit(k) - F.col("held"))).select("token", "cls", "weight")
 
 
-def _across(lists: DataFrame, k: int, t: int, percent: int, best: int | None) -> DataFrame:
-    """Pairs (a, b), a < b, of one list and different components that agree in t coordinates.
+def _across(lists: DataFrame, k: int, t: int, percent: int) -> DataFrame:
+    """Pairs (token, a, b) of one list and different roots that agree in t coordinates.
 
     lists: (token, size, cls, root, n, sig).  A long list is cut into blocks by a
-    hash of the class, and every two blocks form a group of their own.
-    best: each member names that many partners at most, its closest.
+    hash of the class, and every two blocks form a group of their own.  Each
+    member names ``BEST`` partners of a group at most, its closest; a list that
+    holds any such pair names at least one.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("cls", "token"), blocks.cast("long")).cast("int")
@@ -206,33 +211,114 @@ def _across(lists: DataFrame, k: int, t: int, percent: int, best: int | None) ->
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            got_a, got_b = [], []
-            for m in x.column(0):
+            got = []
+            for token, m in zip(x.column(0).to_pylist(), x.column(1)):
                 v = m.values
                 cls, root, n = (v.field(f).to_numpy(zero_copy_only=False) for f in ("cls", "root", "n"))
                 sig = _matrix(v.field("sig"), k)
                 names, inverse, count = np.unique(root, return_inverse=True, return_counts=True)
-                if len(names) < 2:
-                    continue
-                # Pairs inside the largest component need no test, so its members only serve as partners.
+                # Pairs inside the largest root need no test, so its members only serve as partners.
                 ask = np.flatnonzero(inverse != np.argmax(count))
-                for f in range(0, len(ask), 32):
+                for f in range(0, len(ask) if len(names) > 1 else 0, 32):
                     p = ask[f:f + 32]
                     same = (sig[p][:, None, :] == sig[None]).sum(axis=2, dtype=np.int16)
                     lo, hi = np.minimum(n[p][:, None], n), np.maximum(n[p][:, None], n)
                     same[(root[p][:, None] == root) | (100 * lo < percent * hi)] = 0
-                    if best is not None and same.shape[1] > best:
-                        cut = np.partition(same, -best, axis=1)[:, -best][:, None]
-                        ties = np.cumsum(same == cut, axis=1) + (same > cut).sum(axis=1)[:, None] > best
-                        same[(same < cut) | ((same == cut) & ties)] = 0
-                    r, c = np.nonzero(same >= t)
-                    got_a.append(np.minimum(cls[p[r]], cls[c]))
-                    got_b.append(np.maximum(cls[p[r]], cls[c]))
-            if got_a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got_a)), pa.array(np.concatenate(got_b))],
-                                                 ["a", "b"])
+                    if same.shape[1] > BEST:
+                        near = np.argpartition(same, -BEST, axis=1)[:, -BEST:]
+                        r, c = np.nonzero(np.take_along_axis(same, near, axis=1) >= t)
+                        c = near[r, c]
+                    else:
+                        r, c = np.nonzero(same >= t)
+                    got.append((np.full(len(r), token), np.minimum(cls[p[r]], cls[c]), np.maximum(cls[p[r]], cls[c])))
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(y)) for y in zip(*got)], ["token", "a", "b"])
+
+    return groups.select("token", "m").mapInArrow(rows, "token long, a long, b long")
+
+
+def _within(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join different link components of one group, by full sets.
+
+    members: (cls, grp, link, n, grams).  The members outside the group's largest
+    link component ask; asks and members are dealt into blocks of about
+    ``SET_BYTES`` of sets, and every ask block meets every member block once.
+    Shared shingles are counted through the block's own postings.  Links that a
+    group's earlier links already imply are left out, so it returns fewer links
+    than it has members.
+    """
+    held = members.groupBy("grp", "link").agg(F.count("*").alias("c"), F.sum("n").alias("grams"))
+    groups = held.groupBy("grp").agg(F.max(F.struct("c", "link")).alias("top"), F.count("*").alias("links"),
+                                     F.sum("c").alias("size"), F.sum("grams").alias("grams")).where(
+        "links > 1 and size > 2").join(held.select("grp", F.col("link").alias("l"), F.col("grams").alias("g")), "grp")
+    groups = groups.where("l <> top.link").groupBy("grp", "top", "grams").agg(F.sum("g").alias("asks"))
+    per = lambda c: F.ceil(F.col(c) * 8 / SET_BYTES).cast("int")
+    block = lambda c: F.pmod(F.xxhash64("cls", F.lit(c)), F.col(c).cast("long")).cast("int")
+    full = members.join(groups.select("grp", F.col("top.link").alias("main"), per("grams").alias("mb"),
+                                      per("asks").alias("ab")), "grp")
+    key = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    asks = full.where("link <> main").withColumn("i", block("ab")).withColumn("j", F.explode(every("mb")))
+    rest = full.withColumn("j", block("mb")).withColumn("i", F.explode(every("ab")))
+    both = asks.withColumn("ask", F.lit(True)).unionByName(rest.withColumn("ask", F.lit(False)))
+    # Dealt by block too: a join on the group alone would leave all blocks of a group in one task.
+    dealt = both.repartition("grp", "i", "j").groupBy("grp", "i", "j").agg(F.collect_list(F.struct("ask", "cls", "link", "grams")).alias("m"))
 
-    return groups.select("m").mapInArrow(rows, "a long, b long").distinct()
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            got_a, got_b = [], []
+            for m in x.column(0):
+                v = m.values
+                ask, cls, link = (v.field(f).to_numpy(zero_copy_only=False) for f in ("ask", "cls", "link"))
+                sets = [np.frombuffer(g.as_buffer(), np.uint64) for g in v.field("grams")]
+                _block_links(ask, cls, link, sets, percent, got_a, got_b)
+            if got_a:
+                yield pa.RecordBatch.from_arrays([pa.array(got_a, pa.int64()), pa.array(got_b, pa.int64())], ["a", "b"])
+
+    return dealt.select("m").mapInArrow(rows, "a long, b long")
+
+
+def _block_links(ask: np.ndarray, cls: np.ndarray, link: np.ndarray, sets: list[np.ndarray], percent: int,
+                 got_a: list, got_b: list) -> None:
+    """Append the links of the asks to the members of another link component."""
+    member = np.flatnonzero(~ask)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(member)), size[member])
+    grams = np.concatenate([sets[i] for i in member])
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], owner[order]
+    parent = {x: x for x in link.tolist()}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for q in np.flatnonzero(ask):
+        lo, hi = np.searchsorted(grams, sets[q], "left"), np.searchsorted(grams, sets[q], "right")
+        n = hi - lo
+        first = np.cumsum(n) - n
+        at = np.arange(int(n.sum())) - np.repeat(first - lo, n)
+        both = np.bincount(owner[at], minlength=len(member))
+        hit = 100 * both >= percent * (size[member] + size[q] - both)
+        for c in member[hit & (link[member] != link[q])]:
+            x, y = root(int(link[q])), root(int(link[c]))
+            if x != y:
+                parent[x] = y
+                got_a.append(int(cls[q]))
+                got_b.append(int(cls[c]))
+
+
+def _merged(nodes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """Components (node, root) after the links (a, b) are added; nodes not named so far are their own roots."""
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("root").alias("r")), side, "left").select(
+            F.coalesce("r", side).alias(side), *[c for c in ("a", "b") if c != side])
+    step = components(pairs, "a", "b").withColumnsRenamed({"node": "old", "root": "new"})
+    new = step.select(F.col("old").alias("node")).join(nodes, "node", "left_anti")
+    every = nodes.select("node", "root").unionByName(new.select("node", F.col("node").alias("root")))
+    return materialize(every.join(step, every["root"] == step["old"], "left").select(
+        "node", F.coalesce("new", "root").alias("root")), name)
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
@@ -256,45 +342,33 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
         F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
     star = materialize(_alike(star, classes, k, t, percent), path=paths["star"])
 
-    nodes, sets, tested = None, None, None
-    for best in (0, BEST, None):  # 0: the leaders
-        pairs_path = scratch_path(spark, "pairs")
-        if best == 0:
-            pairs = star
-        else:
-            rooted = posts.join(nodes, posts["cls"] == nodes["node"], "left").select(
-                "token", "cls", F.coalesce("root", "cls").alias("root"))
-            mixed = rooted.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"),
-                                                F.max("root").alias("hi")).where("size > 2 and lo <> hi")
-            lists = rooted.join(mixed.select("token", "size"), "token").join(classes.select("cls", "n", "sig"), "cls")
-            pairs = _across(lists, k, t, percent, best).join(tested, ["a", "b"], "left_anti")
-            pairs = materialize(pairs, path=pairs_path)
-            if pairs.isEmpty():
-                break
-        # Full sets of the classes that are new among the pairs, from their texts.
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        if sets is not None:
-            ends = ends.join(sets, "cls", "left_anti")
-        wanted = classes.join(ends, "cls", "left_semi").select(F.col("id").alias("wid"), "cls")
-        texts = docs.join(wanted.select("wid").distinct(), docs["id"].eqNullSafe(F.col("wid")), "left_semi")
-        more = materialize(_full_sets(texts, shingle).join(wanted.select("cls"), "cls", "left_semi")
-                           .dropDuplicates(["cls"]), "sets")
-        sets = more if sets is None else sets.unionByName(more)
-        now = materialize(_confirm(pairs, sets, percent), "tested")
-        links = now.where("linked").select("a", "b")
-        if nodes is None:
-            nodes, tested = materialize(components(links, "a", "b"), "nodes"), now.select("a", "b")
-        else:
-            # Components of components: only the roots that new links join.
-            for side in ("a", "b"):
-                links = links.join(nodes.withColumnsRenamed({"node": side, "root": f"r{side}"}), side, "left").withColumn(
-                    side, F.coalesce(f"r{side}", side)).drop(f"r{side}")
-            step = components(links, "a", "b").withColumnsRenamed({"node": "old", "root": "new"})
-            every = nodes.select("node", "root").unionByName(
-                step.select(F.col("old").alias("node"), F.col("old").alias("root")).join(nodes, "node", "left_anti"))
-            nodes = materialize(every.join(step, every["root"] == step["old"], "left").select(
-                "node", F.coalesce("new", "root").alias("root")), "nodes")
-            tested = tested.unionByName(now.select("a", "b"))
+    # Groups: everything that agrees in t coordinates, over as many steps.
+    alike = materialize(components(star, "a", "b"), "alike")
+    lists = posts
+    while True:
+        rooted = lists.join(alike, lists["cls"] == alike["node"], "left").select(
+            "token", "cls", F.coalesce("root", "cls").alias("root"))
+        mixed = rooted.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("lo"),
+                                            F.max("root").alias("hi")).where("size > 2 and lo <> hi")
+        held = rooted.join(mixed.select("token", "size"), "token").join(classes.select("cls", "n", "sig"), "cls")
+        found = materialize(_across(held, k, t, percent), "across")
+        if found.isEmpty():
+            break
+        alike = _merged(alike, found.select("a", "b").distinct(), "alike")
+        # Roots only merge, so a list that named no pair never will.
+        lists = posts.join(found.select("token").distinct(), "token", "left_semi")
+
+    # Full sets of the classes in groups, from their texts.
+    wanted = classes.join(alike, F.col("cls") == alike["node"], "left_semi").select(F.col("id").alias("wid"), "cls")
+    texts = docs.join(wanted.select("wid").distinct(), docs["id"].eqNullSafe(F.col("wid")), "left_semi")
+    paths["sets"] = scratch_path(spark, "sets")
+    sets = materialize(_full_sets(texts, shingle).join(wanted.select("cls"), "cls", "left_semi")
+                       .dropDuplicates(["cls"]), path=paths["sets"])
+    nodes = materialize(components(_confirm(star, sets, percent).where("linked"), "a", "b"), "nodes")
+    members = alike.select(F.col("node").alias("cls"), F.col("root").alias("grp")).join(
+        nodes.select(F.col("node").alias("cls"), F.col("root").alias("link")), "cls", "left").withColumn(
+        "link", F.coalesce("link", "cls")).join(sets, "cls").withColumn("n", F.octet_length("grams") / 8)
+    nodes = _merged(nodes, materialize(_within(members, percent), "links"), "nodes")
 
     named = classes.select("cls", "id").join(nodes, F.col("cls") == nodes["node"], "left").select(
         "cls", "id", F.coalesce("root", "cls").alias("root"))
