@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from treepref.llm import textkernel as K
 
 BITS = 18
-POSITIVES = 3000
-UNLABELLED = 9000
+POSITIVES = 2000
+UNLABELLED = 6000
 #: Longest text (in bytes) that the fit reads; scoring has no such bound.
 FIT_BYTES = 16_384
 STEPS = 200
