@@ -1,14 +1,12 @@
-"""Hand-made edge rows for the text rules and reference quirks, checked
-against small pure-Python statements of each rule."""
-
-import re
-import string
+"""Hand-made edge rows for the text rules, with the results that the written rules give."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from treepref.functions import score as S
 from treepref.functions import text as T
+from treepref.operators import evaluate as EV
+from treepref.operators import prepare as PR
 from treepref.operators import ratings as R
 from treepref.operators import steps as ST
 from treepref.operators import trace as TR
@@ -30,31 +28,12 @@ def test_split_ws_matches_python(spark):
     assert one(spark, WS_CASES, T.split_ws) == [s.split() for s in WS_CASES]
 
 
-def py_normalize(s):
-    s = s.lower()
-    s = "".join(ch for ch in s if ch not in set(string.punctuation))
-    s = re.sub(r"\b(a|an|the)\b", " ", s)
-    return " ".join(s.split())
-
-
-@pytest.mark.parametrize("text", ["The  Cat, a dog!", "An apple", "the", "Mr. Smith's  house", "théâtre an"])
-def test_normalize_answer(spark, text):
-    assert one(spark, [text], T.normalize_answer) == [py_normalize(text)]
+NORMAL = {"The  Cat, a dog!": "cat dog", "An apple": "apple", "the": "", "Mr. Smith's  house": "mr smiths house",
+          "théâtre an": "théâtre"}
 
 
-def py_qa_correct(gt, out):
-    if "answer is" not in out:
-        return 0
-    low = out.strip().lower()
-    if "so the final answer is" not in low:
-        return 0  # quirk Q24: the reference raises here
-    e = low.split("so the final answer is")[1].lower().split("\n")[0].replace(": ", "")
-    if gt in e:
-        return 1
-    e2, g2 = re.sub(r"\W+", "", e), re.sub(r"\W+", "", gt)
-    if g2 == "":
-        return 0  # quirk Q22
-    return 1 if re.search(re.escape(g2), e2, re.IGNORECASE) else 0
+def test_normalize_answer(spark):
+    assert one(spark, list(NORMAL), T.normalize_answer) == list(NORMAL.values())
 
 
 QA = [("Paris", "step 3, so the final answer is: Paris."), ("New York", "So the final answer is: new-york"),
@@ -65,17 +44,7 @@ QA = [("Paris", "step 3, so the final answer is: Paris."), ("New York", "So the
 def test_qa_correct(spark):
     df = spark.createDataFrame(QA, "gt string, y string")
     got = [r[0] for r in df.select(S.qa_correct("y", "gt")).collect()]
-    assert got == [py_qa_correct(g, y) for g, y in QA]
-
-
-def py_math_correct(y, truth):
-    e = y.strip().replace(",", "")
-    if "arabic numerals" in e:
-        e = e.split("(arabic numerals) is ")[-1]
-    p, g = re.findall(r"\d+", e), re.findall(r"\d+", truth)
-    if not p or not g:
-        return 0  # quirk Q20: no number on either side scores 0
-    return int(p[-1] == g[0])
+    assert got == [1, 1, 0, 0, 1, 0]  # 0: a truth of punctuation only (Q22), no final phrase (Q24)
 
 
 MATH = [("The answer (arabic numerals) is 1,234.", "1234"), ("answer (arabic numerals) is 5 then 6", "6"),
@@ -84,43 +53,21 @@ MATH = [("The answer (arabic numerals) is 1,234.", "1234"), ("answer (arabic num
 
 def test_math_correct(spark):
     df = spark.createDataFrame(MATH, "y string, t string")
-    assert [r[0] for r in df.select(S.math_correct("y", "t")).collect()] == [py_math_correct(y, t) for y, t in MATH]
-
-
-def py_verdict(out):
-    vm = {"impossible": 0.001, "unlikely": 0.001, "likely": 1, "sure": 1}
-    lines = out.replace("</s>", "").replace("<s>", "").split("\n")
-    for item in lines:
-        if item.lower() in vm:
-            return vm[item.lower()]
-    for v in ["impossible", "unlikely", "likely", "sure"]:
-        for item in lines:
-            if v in item.lower():
-                return vm[v]
-    return 0.001
+    assert [r[0] for r in df.select(S.math_correct("y", "t")).collect()] == [1, 1, 0, 0, 1]
 
 
 VERDICTS = ["Likely", "so\nSURE", "It is unlikely", "likely or impossible", "nothing", "<s>sure</s>", "unlikely\nlikely"]
 
 
 def test_verdict_value(spark):
-    assert one(spark, VERDICTS, S.verdict_value) == pytest.approx([py_verdict(v) for v in VERDICTS])
-
-
-def py_rating(cell):
-    if cell is None:
-        return None
-    try:
-        return float(cell)
-    except ValueError:
-        return 0.8 if "<chosen:" in cell and "<reject:" in cell else None
+    assert one(spark, VERDICTS, S.verdict_value) == pytest.approx([1, 1, 0.001, 0.001, 0.001, 1, 0.001])
 
 
 CELLS = ["0.7", " 1 ", "-2.5e1", "N/A", "<chosen:A>x</chosen:A><reject:B>y</reject:B>", "abc", None, ".5"]
 
 
 def test_parse_rating(spark):
-    assert one(spark, CELLS, R.parse_rating) == [py_rating(c) for c in CELLS]
+    assert one(spark, CELLS, R.parse_rating) == [0.7, 1.0, -25.0, None, 0.8, None, None, 0.5]
 
 
 def test_rating_text_slices(spark):
@@ -140,22 +87,32 @@ def test_claim_labels_first_vs_last(spark):
     assert last == ["refutes", "not enough information", None]
 
 
-def py_line_join(y, final="so the final answer is: "):
-    y = y.replace('"', "'").replace("  ", " ").split("\n\n")[0].lower().replace("so the final answer is ", final)
-    lines = y.split("\n")
-    if final not in y:
-        return None
-    if len(lines) > 1:
-        while final not in lines[-1]:
-            lines = lines[:-1]
-            if len(lines) <= 1:
-                break
-        y = " ".join(lines)
-    return y
-
-
 JOIN = ["Step 1, x.\nSo the final answer is Paris.\ntrailing", "no final", "a\nb\nso the final answer is: c\n\nignored"]
 
 
 def test_answer_line_join(spark):
-    assert one(spark, JOIN, TR.answer_line_join) == [py_line_join(y) for y in JOIN]
+    assert one(spark, JOIN, TR.answer_line_join) == [
+        "step 1, x. so the final answer is: paris.", None, "a b so the final answer is: c"]
+
+
+def test_tree_expand_many_children_and_levels(spark):
+    """15 children for each node and a fourth level: each keeps its own parent."""
+    rows = [(1, 0, k, None, f"c{k}", k) for k in range(15)]
+    for step in (1, 2, 3):
+        best = max(r[2] for r in rows if r[1] == step - 1 and r[4] != "orphan")
+        rows += [(1, step, 1000 * step + k, best, f"c{step}.{k}", k) for k in range(15)]
+        rows += [(1, step, 1000 * step + 500 + k, -1, "orphan", 99) for k in range(3)]
+    t = spark.createDataFrame(rows, "question_id long, step int, path_id int, parent_id int, candidate string, score int")
+    got = TR.search(t, n=1, steps=4)
+    assert sorted((r.step, r.candidate) for r in got.collect()) == sorted((r[1], r[4]) for r in rows if r[4] != "orphan")
+
+
+def test_logged_questions_stay_within_a_file(spark):
+    lines = [("a", 0, "x"), ("a", 1, "====GR==== y"), ("b", 2, "q1 sum(accs) 1"), ("b", 3, "====GR==== y"), ("b", 4, "q2 sum(accs) 1")]
+    log = spark.createDataFrame(lines, "file string, line_no long, line string")
+    assert [r[0] for r in EV.logged_questions(log).collect()] == ["q2"]
+
+
+def test_sample_of_everything_needs_no_sort(spark):
+    df = spark.range(50)
+    assert PR.sample_fraction(df, "id", 1.0) is df

@@ -40,18 +40,20 @@ def join_ground_truth(preds: DataFrame, truth: DataFrame, key: str = "question",
     return preds.join(latest_answer(truth, key, answer, seq), key)
 
 
-def logged_questions(log: DataFrame, line_no: str = "line_no", line: str = "line") -> DataFrame:
+def logged_questions(log: DataFrame, line_no: str = "line_no", line: str = "line", file: str = "file") -> DataFrame:
     """Questions already scored in a run log.
 
     A line counts when it holds `` sum(accs)`` and the line before it starts
     with ``====GR====``; the first line never counts.  The previous line is found
     with an equi-join on ``line_no - 1`` (line numbers are dense), not a
-    whole-file window, so one long log spreads over all tasks.
+    whole-file window, so one long log spreads over all tasks.  Where the log
+    has a ``file`` column, the line before is one of the same file.
     """
+    same = [file, line_no] if file in log.columns else [line_no]
     cur = log.where(F.instr(F.col(line), LOG_ACC_MARK) > 0).where(F.col(line_no) > 0)
-    prev = log.where(F.startswith(F.col(line), F.lit(LOG_TRUTH_PREFIX))).select(
-        (F.col(line_no) + 1).alias(line_no))
-    hit = cur.join(prev, line_no, "left_semi")
+    prev = log.where(F.startswith(F.col(line), F.lit(LOG_TRUTH_PREFIX))).withColumn(
+        line_no, F.col(line_no) + 1).select(*same)
+    hit = cur.join(prev, same, "left_semi")
     return hit.select(F.split_part(F.col(line), F.lit(LOG_ACC_MARK), F.lit(1)).alias("question")).distinct()
 
 

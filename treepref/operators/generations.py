@@ -3,13 +3,11 @@
 The model is a user-supplied callable ``fn(prompts: list[str], n: int) ->
 list[list[str]]``, created once per task by a zero-argument factory and fed
 Arrow batches through ``mapInPandas``.  Everything after the call is column
-expressions.  A deterministic stub (md5 of prompt and sample number) stands in
-for a model in tests and in the registered queries.
+expressions.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -28,35 +26,8 @@ FINAL_PHRASE = "so the final answer is"
 
 
 # --- model surface ----------------------------------------------------------
-def stub_generator() -> ModelFn:
-    """Deterministic text for tests: echoes the prompt, then step lines,
-    ``Input`` lines and an ``Answer`` line derived from md5(prompt:k)."""
-    def fn(prompts, n):
-        out = []
-        for p in prompts:
-            texts = []
-            for k in range(n):
-                h = hashlib.md5(f"{p}:{k}".encode("utf-8")).hexdigest()
-                texts.append(f"{p}step {k + 1}, {h[:6]}.\nInput: {h[6:10]}\nAnswer: {h[10:14]}\n"
-                             f"Input: x\noption {h[17:20]}\noption {h[20:23]}\n"
-                             f"step 2, so the final answer is: {h[14:17]}.</s>")
-            out.append(texts)
-        return out
-    return fn
-
-
-def stub_judge() -> ModelFn:
-    """Deterministic judge: one of three verdict lines chosen by md5(prompt:k)."""
-    words = ("Likely", "Impossible", "sure")
-
-    def fn(prompts, n):
-        return [[f"Evaluation.\n{words[int(hashlib.md5(f'{p}:{k}'.encode('utf-8')).hexdigest()[0], 16) % 3]}"
-                 for k in range(n)] for p in prompts]
-    return fn
-
-
 def batch_generate(df: DataFrame, id_col: str, prompt_col: str, n: int,
-                   make_model: Callable[[], ModelFn] = stub_generator) -> DataFrame:
+                   make_model: Callable[[], ModelFn]) -> DataFrame:
     """``n`` outputs per prompt -> rows ``(id, prompt, sample_id, text)``.
 
     The model is built once per task (inside the partition iterator) and called

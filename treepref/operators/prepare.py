@@ -52,19 +52,13 @@ def split_exact(df: DataFrame, id_col: str, seed: int = 42, test_ratio: float =
     return pos.withColumn("split", F.when(F.col("pos") < n_train, "train").otherwise("test")).drop("_key", "pos")
 
 
-def split_approx(df: DataFrame, id_col: str, seed: int = 42, test_ratio: float = DEFAULT_TEST_RATIO) -> DataFrame:
-    """W8 approximate mode: hash threshold, one pass, no counting."""
-    u = F.conv(F.substring(seeded_key(seed, id_col), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-    return df.withColumn("split", F.when(u < 1 - test_ratio, "train").otherwise("test"))
-
-
 def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
     """Exactly ``round(n * p)`` rows (half-even, as Python), chosen by the
-    seeded key; with ``fraction == 1`` the first rows in source order."""
+    seeded key; with ``fraction == 1`` all rows, which need no sort."""
+    if fraction >= 1:
+        return df
     n = df.count()
     take = int(round(n * fraction))
-    if fraction >= 1:
-        return first_n(df, id_col, take)
     pos = _shuffled_positions(df, id_col, seed)
     return pos.where(F.col("pos") < take).drop("_key", "pos")
 

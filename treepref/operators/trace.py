@@ -112,23 +112,18 @@ def select_weighted_sample(cands: DataFrame, n: int = DEFAULT_KEEP, value: str =
     return c.select("*", F.explode(draws).alias("draw")).drop("_hi", "_tot", "_lo")
 
 
-def parent_path(step: Column, path_id: Column) -> Column:
-    """Parent of a path in the fixture's numbering (j0*100 + j1*10 + j2)."""
-    return F.when(step == 1, F.floor(path_id / 100) * 100).when(step == 2, F.floor(path_id / 10) * 10)
-
-
-def tree_expand(level: DataFrame, selected_parents: DataFrame) -> DataFrame:
+def tree_expand(level: DataFrame, selected_parents: DataFrame, parent: str = "parent_id") -> DataFrame:
     """Children of the selected parents only (left semi-join on the
-    question and the parent path)."""
-    p = selected_parents.select("question_id", F.col("path_id").alias("_parent"))
-    c = level.withColumn("_parent", parent_path(F.col("step"), F.col("path_id")))
-    return c.join(p, ["question_id", "_parent"], "left_semi").drop("_parent")
+    question and the parent's path, which each candidate carries)."""
+    p = selected_parents.select("question_id", F.col("path_id").alias(parent))
+    return level.join(p, ["question_id", parent], "left_semi").select(level.columns)
 
 
 def search(trace: DataFrame, n: int = DEFAULT_KEEP, value: str = "score", steps: int = 3) -> DataFrame:
     """Unrolled breadth-first search: level 0 is everything, level t keeps
-    children of the greedy selection of level t-1.  Returns the expanded
-    candidates of every level."""
+    children of the greedy selection of level t-1.  ``trace`` names each
+    candidate's parent in ``parent_id``, so a node may have any number of
+    children.  Returns the expanded candidates of every level."""
     level = trace.where(F.col("step") == 0)
     out = level
     for t in range(1, steps):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ..functions.text import strip as sp
@@ -18,6 +20,34 @@ from .registry import r6, register
 N_SAMPLES = 3
 
 
+# A stand-in for the user's model, so that the oracle can state the same texts in SQL.
+def stub_generator() -> G.ModelFn:
+    """Deterministic text for tests: echoes the prompt, then step lines,
+    ``Input`` lines and an ``Answer`` line derived from md5(prompt:k)."""
+    def fn(prompts, n):
+        out = []
+        for p in prompts:
+            texts = []
+            for k in range(n):
+                h = hashlib.md5(f"{p}:{k}".encode("utf-8")).hexdigest()
+                texts.append(f"{p}step {k + 1}, {h[:6]}.\nInput: {h[6:10]}\nAnswer: {h[10:14]}\n"
+                             f"Input: x\noption {h[17:20]}\noption {h[20:23]}\n"
+                             f"step 2, so the final answer is: {h[14:17]}.</s>")
+            out.append(texts)
+        return out
+    return fn
+
+
+def stub_judge() -> G.ModelFn:
+    """Deterministic judge: one of three verdict lines chosen by md5(prompt:k)."""
+    words = ("Likely", "Impossible", "sure")
+
+    def fn(prompts, n):
+        return [[f"Evaluation.\n{words[int(hashlib.md5(f'{p}:{k}'.encode('utf-8')).hexdigest()[0], 16) % 3]}"
+                 for k in range(n)] for p in prompts]
+    return fn
+
+
 def _h(p: str, k: str) -> str:
     return f"md5({p} || ':' || CAST({k} AS VARCHAR))"
 
@@ -37,7 +67,7 @@ GEN_SQL = f"""
 
 def _gen(spark, d):
     b = table(spark, d, "benchmark").select("item_id", PM.cot_prompt(F.col("text")).alias("prompt"))
-    return G.batch_generate(b, "item_id", "prompt", N_SAMPLES)
+    return G.batch_generate(b, "item_id", "prompt", N_SAMPLES, stub_generator)
 
 
 @register("batch_generate", f"SELECT item_id, sample_id, text FROM ({GEN_SQL})")
@@ -72,7 +102,7 @@ def batch_judge(spark, d):
     t = FX.trace(spark, d)
     cid = F.concat_ws(":", F.col("question_id").cast("string"), F.col("step").cast("string"), F.col("path_id").cast("string"))
     jp = PM.judge_prompt(F.concat(F.lit("Question "), F.col("question_id").cast("string")), F.col("candidate"))
-    out = G.batch_generate(t.select(cid.alias("cid"), jp.alias("prompt")), "cid", "prompt", 2, G.stub_judge)
+    out = G.batch_generate(t.select(cid.alias("cid"), jp.alias("prompt")), "cid", "prompt", 2, stub_judge)
     v = TR.with_verdict_value(out.withColumnRenamed("text", "output"))
     return v.groupBy("cid").agg(r6(F.bround(F.sum("value"), 3)).alias("value"))
 

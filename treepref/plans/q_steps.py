@@ -142,7 +142,7 @@ CHAIN = dict(extra={"lv": LV_SQL, "sel": SEL_SQL, "qs": QS_SQL, "ans": ANS_SQL,
 
 
 def _levels(spark, d):
-    return TR.search(FX.trace(spark, d))
+    return TR.search(FX.trace_tree(spark, d)).drop("parent_id")
 
 
 def _selected(spark, d, levels=None):

@@ -132,7 +132,7 @@ def select_weighted_sample(spark, d):
     UNION ALL SELECT question_id, step, path_id, score FROM l2)
 """, "trace"))
 def tree_expand(spark, d):
-    s = TR.search(FX.trace(spark, d))
+    s = TR.search(FX.trace_tree(spark, d)).drop("parent_id")
     return _ints(s.select("question_id", "step", "path_id", "score"), "step", "path_id")
 
 

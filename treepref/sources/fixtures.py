@@ -88,6 +88,13 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s0.union(s1).union(s2)
 
 
+def trace_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 with ``parent_id``, from the numbering of the paths above."""
+    step, path = F.col("step"), F.col("path_id")
+    parent = F.when(step == 1, F.floor(path / 100) * 100).when(step == 2, F.floor(path / 10) * 10)
+    return trace(spark, sf_dir).withColumn("parent_id", parent.cast("int"))
+
+
 VERDICT_TEXTS = (
     "The thought helps.\nLikely",
     "Impossible",

@@ -38,12 +38,14 @@ def scan_claims_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return with_seq(df.select(F.col("claim").alias("question"), F.col("label").alias("answer")))
 
 
-def scan_nested_qa_json(spark: SparkSession, path: str, limit: int = 200, multiline: bool = False) -> DataFrame:
-    """Records ``{data: [{Question, Answer: [...]}, ...]}``; the first
-    ``limit`` entries of each record, first answer of each."""
+def scan_nested_qa_json(spark: SparkSession, path: str, limit: int | None = None, multiline: bool = False) -> DataFrame:
+    """Records ``{data: [{Question, Answer: [...]}, ...]}``; all
+    entries of each record, or its first ``limit``; first answer of each."""
     df = spark.read.schema("data array<struct<Question:string,Answer:array<string>>>").option(
         "multiLine", multiline).json(path)
-    df = with_seq(df).select("seq", F.posexplode("data").alias("pos", "d")).where(F.col("pos") < limit)
+    df = with_seq(df).select("seq", F.posexplode("data").alias("pos", "d"))
+    if limit is not None:
+        df = df.where(F.col("pos") < limit)
     return df.select("seq", F.col("pos").cast("bigint").alias("pos"), F.col("d.Question").alias("question"),
                      F.col("d.Answer")[0].alias("answer"))
 
