@@ -214,7 +214,7 @@ def write_archive(df: DataFrame, folder: str, path: str, end: int, vocab: int, k
         flush()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
 
-    ranged = ids.repartitionByRange(files, "id", "ids") if files > 1 else ids.coalesce(1)
+    ranged = ids.repartitionByRange(files, "id") if files > 1 else ids.coalesce(1)
     ranged.sortWithinPartitions("id", "ids").mapInArrow(write, "files long").agg(F.sum("files")).collect()
     drop_path(spark, table_path)
 
