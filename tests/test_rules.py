@@ -29,7 +29,7 @@ def test_split_ws_matches_python(spark):
 
 
 NORMAL = {"The  Cat, a dog!": "cat dog", "An apple": "apple", "the": "", "Mr. Smith's  house": "mr smiths house",
-          "théâtre an": "théâtre"}
+          "théâtre an": "théâtre", "“the” cat": "“ ” cat", "the—end": "—end"}
 
 
 def test_normalize_answer(spark):

@@ -5,7 +5,7 @@ functions, so it stays inside whole-stage codegen.  Python string semantics
 that the engines do not share are pinned down explicitly:
 
 * ``str.strip`` strips all Unicode whitespace; ``trim`` strips spaces only, so
-  :func:`strip` uses a regex over the whitespace class below.
+  :func:`strip` is ``btrim`` over Python's whitespace characters.
 * ``\\W`` is ASCII-only in Java regex; :data:`NON_WORD` spells out the Unicode
   word class.
 * ``str.split(sep)[1]`` raises when ``sep`` is absent; ``split_part`` returns
@@ -30,6 +30,7 @@ PUNCTUATION = string.punctuation
 ARTICLES = ("a", "an", "the")
 # Python's \w in Unicode mode: letters, numbers, underscore.
 NON_WORD = r"[^\p{L}\p{N}_]+"
+ARTICLE_WORD = rf"(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(ARTICLES)})(?![\p{{L}}\p{{N}}_])"
 # Unicode decimal digits, as Python's \d.
 DIGITS = r"\p{Nd}+"
 
@@ -99,14 +100,11 @@ def split_ws(c: Column | str) -> Column:
 def normalize_answer(c: Column | str) -> Column:
     """lower, drop ASCII punctuation, drop articles, collapse whitespace.
 
-    Articles are removed as whole whitespace tokens (not ``\\b`` regex, whose
-    Unicode behaviour differs between engines).
+    Articles are whole words in Python's sense, so they also go next to
+    non-ASCII punctuation (the look-around spells out the Unicode word class).
     """
     no_punct = F.translate(F.lower(col(c)), PUNCTUATION, "")
-    kept = split_ws(no_punct)
-    for a in ARTICLES:
-        kept = F.array_remove(kept, a)
-    return F.array_join(kept, " ")
+    return F.array_join(split_ws(F.regexp_replace(no_punct, ARTICLE_WORD, " ")), " ")
 
 
 def numbers(c: Column | str) -> Column:

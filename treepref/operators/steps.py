@@ -218,11 +218,14 @@ def explode_pairs(negs: DataFrame, questions: DataFrame, claim: bool = False, ma
         after = F.replace(after_first("chosen_raw", MATH_MARK), F.lit(","), F.lit(""))
         ok = ~has("chosen_raw", "step 4") | (has("chosen_raw", MATH_MARK) & F.regexp_like(after, F.lit(r"\p{Nd}")))
         j = j.where(ok)
-    j = j.withColumn("chosen", clean_positive(F.col("chosen_raw"))).withColumn("rejected", clean_negative(F.col("neg")))
-    pre_pos = replace_chain(F.col("chosen_raw"), POS_CLEAN)
-    pre_neg = replace_chain(F.col("neg"), NEG_CLEAN)
-    j = j.where(_no_bare_equals(pre_pos) & _no_bare_equals(pre_neg) & ~has(pre_pos, BAD_POSITIVE)
-                & F.col("chosen").isNotNull() & F.col("rejected").isNotNull() & ~has(F.col("rejected"), "[tex]"))
+    # A one-row generator evaluates each chain once: filters on its output are
+    # not pushed below it, which would copy the chains into every test.
+    j = j.select("question", "prefix", F.inline(F.array(F.struct(
+        replace_chain(F.col("chosen_raw"), POS_CLEAN).alias("pre_pos"),
+        replace_chain(F.col("neg"), NEG_CLEAN).alias("pre_neg")))))
+    j = j.where(_no_bare_equals(F.col("pre_pos")) & _no_bare_equals(F.col("pre_neg")) & ~has("pre_pos", BAD_POSITIVE))
+    j = j.withColumn("chosen", truncate_to_last_stop("pre_pos")).withColumn("rejected", truncate_to_last_stop("pre_neg"))
+    j = j.where(F.col("chosen").isNotNull() & F.col("rejected").isNotNull() & ~has("rejected", "[tex]"))
     prompt = cot_prompt(F.col("question"), F.col("prefix"), template)
     return j.select(prompt.alias("prompt"), "chosen", "rejected").distinct()
 

@@ -102,10 +102,12 @@ def select_weighted_sample(cands: DataFrame, n: int = DEFAULT_KEEP, value: str =
     draws that fall in it: no join of draws with candidates.  Groups whose
     values sum to 0 draw nothing.
     """
-    c = grouped_positions(cands, ["question_id", "step"], ["path_id"], [range_bucket(cands, "path_id")],
-                          running=[value], totals=True)
-    c = c.withColumnRenamed(f"{value}_cum", "_hi").withColumnRenamed(f"{value}_total", "_tot").drop("pos")
-    c = c.withColumn("_lo", F.col("_hi") - F.col(value)).where(F.col("_tot") > 0)
+    # Decimal sums (six places) are exact: one interval ends where the next begins, whatever the partitioning.
+    c = grouped_positions(cands.withColumn("_v", F.col(value).cast("decimal(18,6)")), ["question_id", "step"],
+                          ["path_id"], [range_bucket(cands, "path_id")], running=["_v"], totals=True)
+    c = c.select(*cands.columns, (F.col("_v_cum") - F.col("_v")).cast("double").alias("_lo"),
+                 F.col("_v_cum").cast("double").alias("_hi"), F.col("_v_total").cast("double").alias("_tot"))
+    c = c.where(F.col("_tot") > 0)
     draws = F.filter(F.sequence(F.lit(0), F.lit(n - 1)),
                      lambda k: (_uniform(seed, k) * F.col("_tot") >= F.col("_lo"))
                      & (_uniform(seed, k) * F.col("_tot") < F.col("_hi")))
@@ -155,8 +157,10 @@ def answer_line_join(y: Column, claim: bool = False, final_sentence: str = FINAL
 
 def _vote_items(final: DataFrame, value: str, claim: bool, final_sentence: str) -> DataFrame:
     it = final.select("question_id", answer_line_join(F.col("candidate"), claim, final_sentence).alias("item"),
-                      F.bround(F.col(value).cast("double"), 3).alias("v")).where(F.col("item").isNotNull())
-    return it.groupBy("question_id", "item").agg(F.avg("v").alias("value"))
+                      F.bround(F.col(value).cast("double"), 3).cast("decimal(18,3)").alias("v"))
+    it = it.where(F.col("item").isNotNull())
+    return it.groupBy("question_id", "item").agg(
+        F.try_divide(F.sum("v").cast("double"), F.count("v")).alias("value"))
 
 
 def answer_vote_value(final: DataFrame, value: str = "value", final_sentence: str = FINAL_SENTENCE,
@@ -172,7 +176,9 @@ def answer_vote_value(final: DataFrame, value: str = "value", final_sentence: st
     items = _vote_items(final, value, False, final_sentence)
     items = items.withColumn("answer", normalize_answer(F.replace(after_first("item", final_sentence),
                                                                     F.lit("."), F.lit(""))))
-    groups = items.groupBy("question_id", "answer").agg(F.sum("value").alias("s"), F.min("value").alias("m"))
+    # Decimal sums do not depend on the order of the rows, so a tie is a tie in every run.
+    s = F.bround(F.sum(F.col("value").cast("decimal(28,12)")), 9)
+    groups = items.groupBy("question_id", "answer").agg(s.alias("s"), F.min("value").alias("m"))
     groups = groups.where(F.col("s") > 0)
     if math:
         groups = groups.where(extract_number_last(F.col("answer")) != "-1")

@@ -134,7 +134,7 @@ WIDE_SQL = _pivot_sql()
   FROM wide w LEFT JOIN pages pg ON pg.page_id = w.row_id * 3 LEFT JOIN embeddings e ON e.vec_id = w.row_id * 7
 """, "rlhf_qa", "rlhf_rating", extra={"wide": WIDE_SQL}))
 def scan_wide_parquet(spark, d):
-    w = _wide(spark, d)
+    w = FX.wide_table(spark, d, image_bytes=True)
     cols = [F.col(f"`{c}`") for c in ["row_id"] + FX.wide_columns()]
     return w.select(*cols, F.col("image.path").alias("image_path"),
                     F.length("image.bytes").cast("bigint").alias("image_bytes"), "bbox")

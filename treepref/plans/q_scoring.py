@@ -22,6 +22,14 @@ def words(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '{WS}+'), lambda t: t <> '')"
 
 
+def norm_sql(x: str) -> str:
+    """Every word is fenced by chr(1); fenced articles go, then the fences."""
+    plain = f"translate(lower({x}), '{PUNCT_SQL}', '')"
+    fenced = f"regexp_replace({plain}, '([\\p{{L}}\\p{{N}}_]+)', chr(1) || '\\1' || chr(1), 'g')"
+    bare = f"replace(regexp_replace({fenced}, chr(1) || '(a|an|the)' || chr(1), ' ', 'g'), chr(1), '')"
+    return f"array_to_string({words(bare)}, ' ')"
+
+
 def last_num(x: str) -> str:
     return f"list_extract(regexp_extract_all({x}, '\\p{{Nd}}+'), -1)"
 
@@ -38,8 +46,7 @@ def answer_match(e: str, gt: str) -> str:
 
 # F1 ------------------------------------------------------------------------
 @register("normalize_answer", f"""
-  SELECT doc_id, array_to_string(list_filter({words(f"translate(lower(text), '{PUNCT_SQL}', '')")},
-                                             lambda t: t NOT IN ('a', 'an', 'the')), ' ') AS normalized
+  SELECT doc_id, {norm_sql('text')} AS normalized
   FROM documents
 """)
 def normalize_answer(spark, d):

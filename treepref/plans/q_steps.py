@@ -54,7 +54,7 @@ SEL_SQL = f"""
     FROM (SELECT question_id, score, {line_join_sql('candidate', False)} AS item FROM lv WHERE step = 2)
     WHERE item IS NOT NULL GROUP BY question_id, item),
   ans AS (SELECT *, {norm_sql(f"replace(split_part(item, '{FINAL}', 2), '.', '')")} AS answer FROM items),
-  g AS (SELECT question_id, answer, sum(value) AS s, min(value) AS m FROM ans GROUP BY question_id, answer HAVING sum(value) > 0),
+  g AS (SELECT question_id, answer, round(sum(value), 9) AS s, min(value) AS m FROM ans GROUP BY question_id, answer HAVING sum(value) > 0),
   w AS (SELECT question_id, answer FROM (
           SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY s DESC, m DESC, answer) AS rn FROM g) WHERE rn = 1)
   SELECT a.question_id, a.item, a.value FROM ans a JOIN w USING (question_id, answer)

@@ -8,7 +8,7 @@ from ..operators import trace as TR
 from ..session import table
 from ..sources import fixtures as FX
 from .oracle_fixtures import with_fx
-from .q_scoring import PUNCT_SQL, words
+from .q_scoring import norm_sql
 from .registry import r6, register
 
 FINAL = "so the final answer is: "
@@ -18,11 +18,6 @@ def _ints(df, *cols):
     return df.select(*[F.col(c).cast("bigint").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def norm_sql(x: str) -> str:
-    return (f"array_to_string(list_filter({words(f'translate(lower({x}), {chr(39)}{PUNCT_SQL}{chr(39)}, {chr(39)}{chr(39)})')}, "
-            "lambda t: t NOT IN ('a', 'an', 'the')), ' ')")
-
-
 def verdict_sql(out: str) -> str:
     lo = f"lower({out})"
     exact = f"list_filter(string_split({lo}, chr(10)), lambda l: l IN ('impossible', 'unlikely', 'likely', 'sure'))"
@@ -159,7 +154,7 @@ def answer_line_join(spark, d):
     FROM (SELECT question_id, score, {line_join_sql('candidate', False)} AS item FROM trace WHERE step = 2)
     WHERE item IS NOT NULL GROUP BY question_id, item),
   ans AS (SELECT *, {norm_sql(f"replace(split_part(item, '{FINAL}', 2), '.', '')")} AS answer FROM items),
-  g AS (SELECT question_id, answer, sum(value) AS s, min(value) AS m FROM ans GROUP BY question_id, answer HAVING sum(value) > 0),
+  g AS (SELECT question_id, answer, round(sum(value), 9) AS s, min(value) AS m FROM ans GROUP BY question_id, answer HAVING sum(value) > 0),
   w AS (SELECT question_id, answer FROM (
           SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY s DESC, m DESC, answer) AS rn FROM g) WHERE rn = 1)
   SELECT a.question_id, a.answer, a.item, round(a.value, 6) AS value FROM ans a JOIN w USING (question_id, answer)

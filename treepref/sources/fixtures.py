@@ -203,13 +203,14 @@ def wide_columns() -> list[str]:
     return cols
 
 
-def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_table(spark: SparkSession, sf_dir: str, image_bytes: bool = False) -> DataFrame:
     """A1 wide rated table: ``row_id, Q1..A4, Qq.v, Aq.v, QAq.v_type_metric, image, bbox``.
 
     The long fixtures become (name, value) entries, collected into one map per
     row (one shuffle on the row id) and read out column by column.
-    Image bytes come from ``pages`` (page_id = 3 * row_id) and the box string
-    from ``embeddings`` (vec_id = 7 * row_id); rows without a match get null.
+    Images come from ``pages`` (page_id = 3 * row_id) and the box string from
+    ``embeddings`` (vec_id = 7 * row_id); rows without a match get null.  The
+    image holds its bytes only on request: the pair builders need its path.
     """
     qa = rlhf_qa(spark, sf_dir)
     rt = rlhf_rating(spark, sf_dir)
@@ -232,9 +233,9 @@ def wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = entries.groupBy(F.col("conv_id").alias("row_id")).agg(
         F.map_from_entries(F.collect_list("e")).alias("m"))
     wide = m.select("row_id", *[F.col("m")[c].alias(c) for c in wide_columns()])
+    payload = [F.col("html").cast("binary").alias("bytes")] if image_bytes else []
     pages = table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("img_key"),
-        F.struct(F.col("html").cast("binary").alias("bytes"), F.col("url").alias("path")).alias("image"))
+        F.col("page_id").alias("img_key"), F.struct(*payload, F.col("url").alias("path")).alias("image"))
     emb = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("box_key"),
         F.concat(F.lit("[0."), (F.col("vec_id") % 10).cast("string"), F.lit(", 0."),

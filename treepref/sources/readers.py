@@ -14,8 +14,14 @@ TRACE_SCHEMA = f"map<string,struct<`0`:{TRACE_STEP},`1`:{TRACE_STEP},`2`:{TRACE_
 
 
 def with_seq(df: DataFrame) -> DataFrame:
-    """Load-order column (increasing within and across input splits)."""
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    """Source order of a file scan: (file path, block start, row within the task).
+
+    Comparable as a whole and free of any shuffle.  The row number of the task
+    alone is not the source order, since Spark deals out large files first.
+    """
+    return df.withColumn("seq", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")))
 
 
 def scan_pairs_json(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
@@ -29,13 +35,13 @@ def scan_task_csv(spark: SparkSession, path: str, question: str = "Question", an
     hold newlines)."""
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
           .schema(f"`{question}` string, `{answer}` string").csv(path))
-    return with_seq(df.select(F.col(question).alias("question"), F.col(answer).alias("answer")))
+    return with_seq(df).select(F.col(question).alias("question"), F.col(answer).alias("answer"), "seq")
 
 
 def scan_claims_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """``claim, label`` per line -> question, answer."""
     df = spark.read.schema("claim string, label string").json(path)
-    return with_seq(df.select(F.col("claim").alias("question"), F.col("label").alias("answer")))
+    return with_seq(df).select(F.col("claim").alias("question"), F.col("label").alias("answer"), "seq")
 
 
 def scan_nested_qa_json(spark: SparkSession, path: str, limit: int | None = None, multiline: bool = False) -> DataFrame:
