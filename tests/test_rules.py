@@ -10,6 +10,7 @@ from treepref.operators import prepare as PR
 from treepref.operators import ratings as R
 from treepref.operators import steps as ST
 from treepref.operators import trace as TR
+from treepref.sources.readers import scan_flat_qa_json, scan_task_csv
 
 
 def one(spark, values, expr, typ="string"):
@@ -116,3 +117,14 @@ def test_logged_questions_stay_within_a_file(spark):
 def test_sample_of_everything_needs_no_sort(spark):
     df = spark.range(50)
     assert PR.sample_fraction(df, "id", 1.0) is df
+
+
+def test_source_order_over_files(spark, tmp_path):
+    # The larger file comes last by name; Spark deals large files out first.
+    (tmp_path / "a.json").write_text('{"question": "a0", "answer": "x"}\n')
+    (tmp_path / "b.json").write_text("".join(f'{{"question": "b{i}", "answer": "{"y" * 500}"}}\n' for i in range(40)))
+    got = [r["question"] for r in scan_flat_qa_json(spark, str(tmp_path)).orderBy("seq").collect()]
+    assert got == ["a0", *[f"b{i}" for i in range(40)]]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "t.csv").write_text("Question,Answer\nq1,a1\n\"q\n2\",a2\n")
+    assert [r["question"] for r in scan_task_csv(spark, str(tmp_path / "c")).orderBy("seq").collect()] == ["q1", "q\n2"]
