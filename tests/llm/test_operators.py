@@ -325,6 +325,19 @@ def test_op8_group_of_near_copies_with_strays(spark, monkeypatch):
     assert {r[0]: r[1:] for r in rows(got, "doc_id", "n_shingles", "component_id")} == brute_groups(data, 2)
 
 
+def test_op8_pair_hidden_behind_third_leaders(spark):
+    """Every list that holds both texts of a pair is led by a text that is alike to neither."""
+    common = ["q0", "q1", "q2"]
+    data = [" ".join(f"w{j}" for j in range(10)), " ".join(f"w{j}" for j in range(11))]
+    data += [f"w{j} {q}" for j in range(10) for q in common]
+    data += [f"{q} x{j}{q}" for j in range(60) for q in common]
+    data = list(enumerate(data))
+    got = neardup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), shingle=1)
+    want = brute_groups(data, 1)
+    assert want[1] == (11, 0)
+    assert {r[0]: r[1:] for r in rows(got, "doc_id", "n_shingles", "component_id")} == want
+
+
 def test_op8_odd_rows(spark, odd, none):
     got = rows(neardup.near_duplicates(odd, shingle=2), "doc_id", "n_shingles", "component_id")
     by = {g[0]: g for g in got}

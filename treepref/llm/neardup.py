@@ -249,8 +249,8 @@ def _within(members: DataFrame, percent: int) -> DataFrame:
     """
     held = members.groupBy("grp", "link").agg(F.count("*").alias("c"), F.sum("n").alias("grams"))
     groups = held.groupBy("grp").agg(F.max(F.struct("c", "link")).alias("top"), F.count("*").alias("links"),
-                                     F.sum("c").alias("size"), F.sum("grams").alias("grams")).where(
-        "links > 1 and size > 2").join(held.select("grp", F.col("link").alias("l"), F.col("grams").alias("g")), "grp")
+                                     F.sum("grams").alias("grams")).where(
+        "links > 1").join(held.select("grp", F.col("link").alias("l"), F.col("grams").alias("g")), "grp")
     groups = groups.where("l <> top.link").groupBy("grp", "top", "grams").agg(F.sum("g").alias("asks"))
     per = lambda c: F.ceil(F.col(c) * 8 / SET_BYTES).cast("int")
     block = lambda c: F.pmod(F.xxhash64("cls", F.lit(c)), F.col(c).cast("long")).cast("int")
