@@ -190,6 +190,19 @@ def test_op4_keeps_formats():
     assert count == 5 and pii._luhn(m[1].replace(" ", "")) == 0 and new != text
 
 
+def test_op4_names_without_title(spark):
+    data = [(0, "Mrs Anna Weber called. Weber said that Anna, WEBER's and Weber-Kurz's friend, webers Weber2 weber@x.org"),
+            (1, "Dr Anna Weber wrote"), (2, "Weber went out"), (3, "Prof Maria Lund wrote; Mr Lund, 12 Lund_1")]
+    got = dict(rows(pii.pseudonymise(spark.createDataFrame(data, "doc_id long, text string"), "k"), "doc_id", "text"))
+    m = re.fullmatch(r"Mrs (\w+) (\w+) called\. (\w+) said that (\w+), (\w+)'s and (\w+)-Kurz's friend, webers Weber2 \S+", got[0])
+    first, last = m[1], m[2]
+    assert first.lower() in [x.lower() for x in pii._NAMES["LATIN", "f"]] and "Weber" not in (last, first)
+    assert (m[3], m[4], m[5], m[6]) == (last, first, last.upper(), last)
+    assert got[1] == f"Dr {first} {last} wrote" and got[2] == data[2][1]
+    m = re.fullmatch(r"Prof (\w+) (\w+) wrote; Mr (\w+), 12 Lund_1", got[3])
+    assert m[1] in pii._NAMES["LATIN", "f"] and m[2] == m[3] != "Lund"
+
+
 def test_op4_odd_rows(spark, odd, none):
     got = pii.pseudonymise(odd, "k")
     assert got.columns == odd.columns and sorted(map(str, got.collect())) == sorted(map(str, odd.collect()))

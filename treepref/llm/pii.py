@@ -27,7 +27,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -66,6 +66,7 @@ PATTERNS = [
     ("name", re.compile(rf"(?<!\w)({_TITLE})(\.?\s{{1,2}})({_CAP}(?: {_CAP}){{0,2}})")),
 ]
 _MARK = re.compile(r"\D", re.A)
+_WORD = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 
 
 def _digits(text: str) -> str:
@@ -85,9 +86,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of the entities, in order and without overlaps.
 
     A name is one entity for each word, so that a person named in full and by the
-    family name keeps the latter.
+    family name keeps the latter.  Where a text holds a name after a form of address,
+    every capitalised mention of its words counts, with such a form or without.
     """
-    out, taken = [], bytearray(len(text))
+    out, taken, names = [], bytearray(len(text)), {}
 
     def add(start: int, end: int, kind: str, form: str) -> None:
         if not any(taken[start:end]):
@@ -99,10 +101,11 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             continue
         for m in pattern.finditer(text):
             if kind == "name":
-                gender = "m" if m[1] in _MALE else "f" if m[1] in _FEMALE else "m"
+                gender = "m" if m[1] in _MALE else "f" if m[1] in _FEMALE else "u"
                 words = list(re.finditer(r"\S+", m[3]))
                 for k, w in enumerate(words):
                     part = "s" if k == len(words) - 1 else gender
+                    names.setdefault(w[0].lower(), f"name-{part}")
                     add(m.start(3) + w.start(), m.start(3) + w.end(), f"name-{part}", w[0].lower())
             elif kind == "phone":
                 n = len(_digits(m[0]))
@@ -115,9 +118,26 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 add(m.start(), m.end(), kind, m[0].replace(" ", ""))
             else:
                 add(m.start(), m.end(), kind, m[0].lower())
+    for m in _WORD.finditer(text) if names else ():
+        for start, end in _spans(m):
+            form = text[start:end].lower()
+            # Words that run on in digits or underscores are other words.
+            if form in names and text[start].isupper() and not _WIDER.search(text[max(start - 1, 0):start] + text[end:end + 1]):
+                add(start, end, names[form], form)
     return sorted(out)
 
 
+_WIDER = re.compile(r"\w")
+
+
+def _spans(m: re.Match) -> Iterator[tuple[int, int]]:
+    """The word itself, then two hyphenated parts of it, then single ones: names have two parts at most."""
+    at = [(p.start() + m.start(), p.end() + m.start()) for p in re.finditer(r"[^-]+", m[0])]
+    if len(at) > 1:
+        yield from ((a[0], b[1]) for a, b in zip(at, at[1:]))
+    yield from at
+
+
 class _Stream:
     """Numbers below a bound from a keyed hash."""
 
@@ -155,6 +175,14 @@ def _letters(text: str, draw: _Stream) -> str:
     return "".join(out)
 
 
+def _gender(form: str) -> str:
+    """Kind of a first name of which no mention states the gender: from the lists, else from its ending."""
+    for kind in "mf":
+        if form.capitalize() in _NAMES.get((script(form), kind), ()):
+            return f"name-{kind}"
+    return "name-f" if form[-1] in "aаяα" else "name-m"
+
+
 def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
     """Replacement of a canonical form, itself in canonical form."""
     draw = _Stream(key, kind, form, str(attempt))
@@ -170,6 +198,8 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
     if kind == "secret":
         return "".join("0123456789abcdef"[draw.below(16)] for _ in form)
     if kind.startswith("name-"):
+        if kind == "name-u":
+            kind = _gender(form)
         names = _NAMES.get((script(form), kind[5:]))
         if names and attempt < 3:
             feminine = "а" if kind == "name-s" and script(form) == "CYRILLIC" and form.endswith("а") else ""
@@ -207,8 +237,9 @@ def render(mention: str, kind: str, new: str) -> str:
 def replace(text: str, known: dict[tuple[str, str], str]) -> tuple[str, int]:
     """(text with every entity of ``known`` replaced, how many mentions)."""
     out, at, n = [], 0, 0
+    names = {form: new for (kind, form), new in known.items() if kind.startswith("name-")}
     for start, end, kind, form in find(text):
-        new = known.get((kind, form))
+        new = names.get(form) if kind.startswith("name-") else known.get((kind, form))
         if new is not None:
             out += [text[at:start], render(text[start:end], kind, new)]
             at, n = end, n + 1
@@ -241,12 +272,24 @@ def _drawn(rows_in: DataFrame, key: bytes) -> DataFrame:
         rows, "kind string, form string, attempt int, new string")
 
 
+def _space() -> Column:
+    return F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind"))
+
+
+def _entities(found: DataFrame) -> DataFrame:
+    """(kind, form) of (key, kind, form), a name with the one kind that most texts give it; unknown genders count last."""
+    votes = found.groupBy(_space().alias("space"), "form", "kind").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(F.col("kind") == "name-u", -F.col("n"), F.col("kind").alias("kind")))
+    names = votes.where("space = 'name'").groupBy("form").agg(best.getField("kind").alias("kind"))
+    return votes.where("space <> 'name'").select("kind", "form").unionByName(names)
+
+
 def assign(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, form, attempt, new): distinct surrogates for distinct (kind, form), none of them a form of its kind.
 
     Parts of names share a space across genders, as readers compare them as words.
     """
-    space = F.when(F.col("kind").startswith("name"), F.lit("name")).otherwise(F.col("kind"))
+    space = _space()
     entities = materialize(entities.select("kind", "form").distinct(), "entities")
     forms = entities.select(space.alias("space"), F.col("form").alias("new"), F.lit(True).alias("real")).distinct()
     now = materialize(_drawn(entities.withColumn("attempt", F.lit(0)), key), "surrogates")
@@ -276,7 +319,8 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", count: str | None
     hashed = F.xxhash64(body, F.octet_length(body))
     some = rows_in.where(may).withColumn("key", hashed)
     found = materialize(_found(some.select("key", body)).distinct(), "mentions")
-    mapped = found.join(assign(found, secret).select("kind", "form", "new"), ["kind", "form"]).groupBy("key").agg(
+    drawn = assign(_entities(found), secret).select(_space().alias("space"), "kind", "form", "new")
+    mapped = found.select("key", _space().alias("space"), "form").distinct().join(drawn, ["space", "form"]).groupBy("key").agg(
         F.collect_list(F.struct("kind", "form", "new")).alias("known"))  # bounded by the text's length
     fields = rows_in.schema.fields
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
