@@ -203,6 +203,28 @@ def test_op4_names_without_title(spark):
     assert m[1] in pii._NAMES["LATIN", "f"] and m[2] == m[3] != "Lund"
 
 
+def test_op4_space_of_surrogates_grows(spark):
+    def word(k, chars):
+        return "".join(chars[k // len(chars) ** j % len(chars)] for j in range(3))
+    data = [f"Mrs Q{word(k, 'abcdefghijklm')} Z{word(k, 'nopqrstuvwxyz')} came" for k in range(600)]
+    data += [f"г-жа Щ{word(k, 'бвгджзклмн')}а Щ{word(k, 'прстфхцчшщ')}ова" for k in range(100)]
+    data += [f"mail {c}@mail.example.org" for c in "abcdefghijklmnopqrstuvwxyz"]
+    got = dict(rows(pii.pseudonymise(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), "k"),
+                    "doc_id", "text"))
+    latin = [got[k].split() for k in range(600)]
+    cyrillic = [got[k].split() for k in range(600, 700)]
+    mails = [got[k].split()[1] for k in range(700, 726)]
+    for names, kind in ((latin, "LATIN"), (cyrillic, "CYRILLIC")):
+        for x in names:
+            for part, of in ((x[1], "f"), (x[2], "s")):
+                base = part[:-1] if (kind, of) == ("CYRILLIC", "s") else part
+                assert base in pii._NAMES[kind, of] or base.endswith(tuple(pii._ENDINGS[kind, of])), part
+    assert all(x[2].endswith("а") for x in cyrillic)
+    every = [p for x in latin + cyrillic for p in x[1:3]]
+    assert len(set(every)) == len(every) and len(set(mails)) == 26
+    assert not set(mails) & {x.split()[1] for x in data[700:]} and all(x.endswith("@mail.example.org") for x in mails)
+
+
 def test_op4_odd_rows(spark, odd, none):
     got = pii.pseudonymise(odd, "k")
     assert got.columns == odd.columns and sorted(map(str, got.collect())) == sorted(map(str, odd.collect()))

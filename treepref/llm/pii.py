@@ -33,8 +33,10 @@ from pyspark.sql.window import Window
 
 from treepref.session import materialize
 
-#: Rounds of drawing again before the space of a format counts as full.
+#: Rounds of drawing again before the space of a format that cannot grow (addresses of IP) counts as full.
 ROUNDS = 40
+#: Draws before a name is composed, and before other surrogates get a character more with every draw.
+LISTED, GROW = 2, 4
 
 # Forms of address by the gender they state, and replacement names by script and gender.
 _MALE = ["Mr", "Herr", "Monsieur", "Señor", "Sr", "Sir", "г-н", "господин"]
@@ -51,6 +53,19 @@ _NAMES = {
                     "Porter Quinn Ramsey Sutton Turner".split(),
     ("CYRILLIC", "s"): "Белов Волков Громов Данилов Ершов Жуков Зимин Котов Лапин Морозов".split(),
 }
+#: Parts of composed names, one syllable a draw and an ending by gender.
+_SYLLABLES = {
+    "LATIN": [c + v for c in "b br c d dr f g gr h j k l m n p r s st t tr v w z".split() for v in "aeiou"],
+    "CYRILLIC": [c + v for c in "б бр в г гр д др ж з к л м н п р с ст т тр ф".split() for v in "аеиоу"],
+}
+_ENDINGS = {
+    ("LATIN", "m"): "bert dan len mar nus rik ton vin".split(),
+    ("LATIN", "f"): "da la lia na nia ra ria sa".split(),
+    ("LATIN", "s"): "berg field ley man ner sen son ton".split(),
+    ("CYRILLIC", "m"): "вин дор лан мир рий слав тин".split(),
+    ("CYRILLIC", "f"): "дора ла лия мила на нара рия".split(),
+    ("CYRILLIC", "s"): "дин ков лев лин нов ров сков тин".split(),
+}
 #: A row without any of these cannot hold an entity.
 TRIGGER = (r"@|[0-9]{4}|[0-9][ .()-]{1,2}[0-9(]|[0-9a-fA-F]{32}|\b(?:" + "|".join(_MALE + _FEMALE + _ANY) + r")\b")
 _TITLE = "|".join(re.escape(t) for t in sorted(_MALE + _FEMALE + _ANY, key=len, reverse=True))
@@ -186,31 +201,35 @@ def _gender(form: str) -> str:
 def surrogate(key: bytes, kind: str, form: str, attempt: int) -> str:
     """Replacement of a canonical form, itself in canonical form."""
     draw = _Stream(key, kind, form, str(attempt))
+    more = max(0, attempt + 1 - GROW)
     if kind == "email":
         local, _, domain = form.partition("@")
         labels = domain.split(".")
         # Reserved example domains name nobody; of others the owner's label is replaced.
         if "example" not in labels:
             labels[:-1] = [_letters(x, draw) for x in labels[:-1]]
-        return f"{_letters(local, draw)}@{'.'.join(labels)}"
+        return f"{_letters(local + 'a' * more, draw)}@{'.'.join(labels)}"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "secret":
-        return "".join("0123456789abcdef"[draw.below(16)] for _ in form)
+        return "".join("0123456789abcdef"[draw.below(16)] for _ in range(len(form) + more))
     if kind.startswith("name-"):
         if kind == "name-u":
             kind = _gender(form)
-        names = _NAMES.get((script(form), kind[5:]))
-        if names and attempt < 3:
-            feminine = "а" if kind == "name-s" and script(form) == "CYRILLIC" and form.endswith("а") else ""
-            return names[draw.below(len(names))].lower() + feminine
-        return _letters(form if len(form) > 4 else form + form[-1] * 3, draw)
+        of = (script(form), kind[5:])
+        if of in _NAMES:
+            feminine = "а" if of == ("CYRILLIC", "s") and form.endswith(("а", "ая")) else ""
+            if attempt < LISTED:
+                return _NAMES[of][draw.below(len(_NAMES[of]))].lower() + feminine
+            parts = [_SYLLABLES[of[0]]] * attempt + [_ENDINGS[of]]
+            return "".join(p[draw.below(len(p))] for p in parts) + feminine
+        return _letters((form if len(form) > 4 else form + form[-1] * 3) + form[-1] * more, draw)
     if kind == "iban":
         return form[:2] + "".join(str(draw.below(10)) if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[draw.below(26)]
-                                  for c in form[2:])
-    digits = [str(draw.below(10)) if c == "0" else str(1 + draw.below(9)) for c in form]
+                                  for c in form[2:] + "0" * more)
+    digits = [str(draw.below(10)) if c == "0" else str(1 + draw.below(9)) for c in form + "0" * more]
     if kind == "phone" and len(form) > 10:
-        digits[:-10] = form[:-10]  # the country code
+        digits[:len(form) - 10] = form[:-10]  # the country code
     if kind == "card":
         digits[0] = form[0]
         if _luhn(form) == 0:
@@ -223,10 +242,10 @@ def render(mention: str, kind: str, new: str) -> str:
     """The surrogate in the format of a mention."""
     if kind in ("phone", "card", "ssn"):
         rest = iter(new)
-        return "".join(next(rest) if c.isascii() and c.isdigit() else c for c in mention)
+        return "".join(next(rest) if c.isascii() and c.isdigit() else c for c in mention) + "".join(rest)
     if kind == "iban":
         rest = iter(new)
-        return "".join(c if c == " " else next(rest) for c in mention)
+        return "".join(c if c == " " else next(rest) for c in mention) + "".join(rest)
     if kind.startswith("name-"):
         return new.upper() if mention.isupper() and len(mention) > 1 else "-".join(x[:1].upper() + x[1:] for x in new.split("-"))
     if len(mention) == len(new):
