@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treepref.llm import bpe, htmltext, huffman, neardup, packing, pii, quality, sketch, toxicity, warc
+from treepref.llm import (
+    bpe, collocations, htmltext, huffman, importance, licenses, neardup, packing, pii, quality, sketch, sql, toxicity, warc)
 from treepref.session import scratch_path, table
 
 
@@ -95,3 +96,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
     warc.write_warcs(table(spark, sf_dir, "pages"), folder)
     return warc.read_warcs(spark, folder)
+
+
+@register("op11_debruijn_collocations", sql.COLLOCATIONS)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@register("op12_importance_resampling", sql.RESAMPLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_license_diagonals", sql.licenses(licenses.NOTICES))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
