@@ -5,11 +5,12 @@ that leads from its first three words to its last three.
 
 1. Every piece gives one row for each of its words: an edge where four words
    begin, and else the piece's last three, two or one words (piece ends).
-   Equal rows are summed before and after one shuffle.
-2. A shorter run's count is the flow out of its node: the counts of the runs one
-   word longer that begin with it, plus the pieces that end in it.  So the counts
-   of lengths three, two and one follow from one another, each with an aggregate.
-   Rows below the least count stay out of everything after this.
+   Equal rows of a stretch of text are summed in the task.
+2. One shuffle sorts the rows by ranges.  A shorter run's count is the flow out of
+   its node: the counts of the edges that begin with it, plus the pieces that end
+   in it.  In sorted rows these follow one another, so one pass gives the counts of all
+   lengths; what lies on the border of a stretch is added up by an aggregate.
+   Only runs that reach the least count go on.
 3. A node whose one edge in and one edge out have its own count has no other
    neighbour and no piece end: it is unary.  Edges that meet in unary nodes are
    compacted into paths by doubling pointers; a path never closes a circle, since
@@ -30,11 +31,15 @@ scores are computed with decimals.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from treepref.llm.licenses import lower_ascii
+from treepref.llm import textkernel as K
 from treepref.session import drop_path, materialize, scratch_path
 
 #: Words of an edge.
@@ -44,20 +49,17 @@ TOP = 2000
 #: A candidate goes if a longer one holds so many percent of its occurrences.
 HELD_PERCENT = 80
 SCALE = 2_000_000
+#: Bytes of text whose equal runs are counted together, and rows of a batch sent.
+STRETCH = 1 << 19
+SENT = 50_000
 #: Parts of a language in the first round of ranks.
 PARTS = 64
-
-
-def _runs(text: Column, longest: int) -> Column:
-    """For each word of each piece the ``longest`` words from it on, or fewer at the piece's end."""
-    def piece(p: Column) -> Column:
-        w = F.array_remove(F.split(p, "[ \\t]+"), "")
-        return F.transform(F.array(w), lambda w: F.when(F.size(w) > 0, F.transform(
-            F.sequence(F.lit(0), F.size(w) - 1),
-            lambda i: F.concat_ws(" ", *[F.get(w, i + k) for k in range(longest)]))))[0]
-
-    pieces = F.filter(F.split(lower_ascii(text), "[.,;:!?\\x0A-\\x0D]+"), lambda p: p != "")
-    return F.flatten(F.filter(F.transform(pieces, piece), lambda x: x.isNotNull()))
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 0x09]] = True
+#: Bytes that end a piece.
+_CUT = np.zeros(256, bool)
+_CUT[list(b".,;:!?\n\x0b\x0c\r")] = True
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _first(gram: Column, n: int) -> Column:
@@ -68,26 +70,125 @@ def _last(gram: Column, n: int) -> Column:
     return F.substring_index(gram, " ", -n)
 
 
-def _n_words(gram: Column) -> Column:
-    return F.length(gram) - F.length(F.replace(gram, F.lit(" "), F.lit(""))) + 1
+def _texts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Byte spans as an Arrow text column."""
+    size = ends - starts
+    offs = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offs[1:])
+    data = buf[np.arange(int(offs[-1])) + np.repeat(starts - offs[:-1], size)]
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offs), pa.py_buffer(data)).cast(pa.string())
+
+
+def runs(buf: np.ndarray, offs: np.ndarray, lang: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of all words of some texts, equal ones counted: (bytes, starts, ends, texts' numbers, counts).
+
+    A run is the ``longest`` words from a word on, or fewer at the piece's end, each with a space after it."""
+    buf = K.LOWER[buf]
+    starts, ends, doc = K.runs(buf, offs, ~(_BLANK | _CUT)[buf])
+    if not len(starts):
+        z = np.zeros(0, np.int64)
+        return buf, z, z, z, z
+    # The words alone, with one space after each.
+    size = ends - starts + 1
+    first = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=first[1:])
+    flat = np.full(int(first[-1]), 0x20, np.uint8)
+    at = np.ones(int(first[-1]), bool)
+    at[first[1:] - 1] = False
+    inside = np.zeros(len(buf), bool)
+    inside[:] = ~(_BLANK | _CUT)[buf]
+    flat[at] = buf[inside]
+    # Whether the next word is in the same piece.
+    cuts = np.zeros(len(buf) + 1, np.int64)
+    np.cumsum(_CUT[buf], out=cuts[1:])
+    goes = np.zeros(len(starts), bool)
+    goes[:-1] = (doc[1:] == doc[:-1]) & (cuts[starts[1:]] == cuts[ends[:-1]])
+    words = K.span_hashes(buf, starts, ends), K.span_hashes(~buf, starts, ends)
+    m = np.ones(len(starts), np.int64)
+    key = [K.mix(w + lang[doc] * _STEP) for w in words]
+    on = np.arange(len(starts))
+    for k in range(1, longest):
+        on = on[goes[on + k - 1]]
+        m[on] += 1
+        for h, w in zip(key, words):
+            h[on] = K.mix(h[on] * _STEP + w[on + k])
+    # Equal runs by a hash of 128 bits: sorted by half of it, told apart by both.
+    order = np.argsort(key[0])
+    new = np.ones(len(order), bool)
+    new[1:] = (key[0][order[1:]] != key[0][order[:-1]]) | (key[1][order[1:]] != key[1][order[:-1]])
+    place = np.flatnonzero(new)
+    one = order[place]
+    return flat, first[one], first[one + m[one]], doc[one], np.diff(np.append(place, len(order)))
+
+
+def _counted(longest: int):
+    """Counts of the runs of each stretch of texts."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            langs = b.column(0).fill_null("und").dictionary_encode()
+            code, names = langs.indices.to_numpy(zero_copy_only=False).astype(np.uint64), langs.dictionary
+            for i, j, buf, offs in K.chunks(b.column(1), STRETCH):
+                flat, starts, ends, doc, n = runs(buf, offs, code[i:j], longest)
+                for k in range(0, len(starts), SENT):
+                    part = slice(k, k + SENT)
+                    yield pa.RecordBatch.from_arrays(
+                        [names.take(pa.array(code[i:j][doc[part]].astype(np.int64))), _texts(flat, starts[part], ends[part]),
+                         pa.array(n[part])], ["lang", "run", "f"])
+    return rows
+
+
+def _flows(longest: int, least: int):
+    """Flow out of every node of a sorted stretch of rows: the sum of the rows that begin with its words.
+
+    A node whose rows may go on in the stretch before or after is sent whatever its sum, any other if it reaches
+    the least count; m = 0 has the sum of all rows."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            langs = b.column(0).dictionary_encode()
+            code, names = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), langs.dictionary
+            text, f = b.column(1).cast(pa.large_string()), b.column(2).to_numpy()
+            _, where, data = text.buffers()
+            offs = np.frombuffer(where, np.int64, len(text) + 1, text.offset * 8)
+            buf, offs = np.frombuffer(data, np.uint8)[offs[0]:offs[-1]], offs - offs[0]
+            ends = np.flatnonzero(buf == 0x20)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            word = np.searchsorted(starts, offs[:-1])
+            m = np.diff(np.append(word, len(starts)))
+            h = K.span_hashes(buf, starts, ends)
+            key = code.astype(np.uint64) * _STEP
+            total = np.bincount(code, weights=f, minlength=len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [names, pa.array(np.zeros(len(names), np.int32)), pa.array([""] * len(names)), pa.array(total)], ["lang", "m", "gram", "f"])
+            on = np.arange(len(m))
+            for k in range(1, longest + 1):
+                on = on[m[on] >= k]
+                if not len(on):
+                    break
+                key[on] = K.mix(key[on] * _STEP + h[word[on] + k - 1])
+                new = np.ones(len(on), bool)
+                new[1:] = key[on[1:]] != key[on[:-1]]
+                place = np.flatnonzero(new)
+                flow = np.add.reduceat(f[on], place)
+                sent = flow >= least
+                sent[[0, -1]] = True
+                at = on[place[sent]]
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(pa.array(code[at])), pa.array(np.full(len(at), k, np.int32)),
+                     _texts(buf, offs[at], ends[word[at] + k - 1]), pa.array(flow[sent])], ["lang", "m", "gram", "f"])
+    return rows
 
 
 def frequent(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """(lang, m, gram, f): runs of m = 1 to ``longest`` words with count f >= least, and with m = 0 each language's words."""
-    rows = df.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.explode(
-        _runs(F.coalesce(F.col(text), F.lit("")), longest)).alias("gram"))
-    held = rows.groupBy("lang", "gram").agg(F.count("*").alias("f"))
-    held = held.select("lang", "gram", "f", _n_words(F.col("gram")).alias("m"))
-    out = held.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit(0).alias("m"), F.lit("").alias("gram"), "f")
-    runs = held.where(F.col("m") == longest).select("lang", "gram", "f")
-    for m in range(longest, 0, -1):
-        out = out.unionByName(runs.where(F.col("f") >= least).select("lang", F.lit(m).alias("m"), "gram", "f"))
-        if m > 1:
-            # Flow out of the nodes of m - 1 words, and the pieces that end in them.
-            flow = runs.select("lang", _first(F.col("gram"), m - 1).alias("gram"), "f")
-            ends = held.where(F.col("m") == m - 1).select("lang", "gram", "f")
-            runs = flow.unionByName(ends).groupBy("lang", "gram").agg(F.sum("f").alias("f"))
-    return out
+    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
+        _counted(longest), "lang string, run string, f long")
+    # In the order of the runs the edges out of a node and the pieces that end in it follow one another.
+    rows = rows.repartitionByRange("lang", "run").sortWithinPartitions("lang", "run")
+    rows = rows.mapInArrow(_flows(longest, least), "lang string, m int, gram string, f long")
+    rows = rows.groupBy("lang", "m", "gram").agg(F.sum("f").alias("f"))
+    return rows.where((F.col("f") >= least) | (F.col("m") == 0))
 
 
 def _with_parts(longer: DataFrame, shorter: DataFrame, m: int) -> DataFrame:
