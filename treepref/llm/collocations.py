@@ -157,11 +157,12 @@ def _flows(longest: int, least: int):
             word = np.searchsorted(starts, offs[:-1])
             m = np.diff(np.append(word, len(starts)))
             h = K.span_hashes(buf, starts, ends)
-            key = code.astype(np.uint64) * _STEP
+            key = K.mix(code.astype(np.uint64) * _STEP)
             total = np.bincount(code, weights=f, minlength=len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [names, pa.array(np.zeros(len(names), np.int32)), pa.array([""] * len(names)), pa.array(total)], ["lang", "m", "gram", "f"])
-            on = np.arange(len(m))
+            # The rows of each language in their order.
+            on = np.argsort(code, kind="stable")
             for k in range(1, longest + 1):
                 on = on[m[on] >= k]
                 if not len(on):
@@ -171,8 +172,10 @@ def _flows(longest: int, least: int):
                 new[1:] = key[on[1:]] != key[on[:-1]]
                 place = np.flatnonzero(new)
                 flow = np.add.reduceat(f[on], place)
+                # The first and the last node of each language.
+                other = np.flatnonzero(np.diff(code[on[place]])) + 1
                 sent = flow >= least
-                sent[[0, -1]] = True
+                sent[[0, -1, *other, *(other - 1)]] = True
                 at = on[place[sent]]
                 yield pa.RecordBatch.from_arrays(
                     [names.take(pa.array(code[at])), pa.array(np.full(len(at), k, np.int32)),
@@ -185,7 +188,8 @@ def frequent(df: DataFrame, text: str = "text", lang: str = "lang", longest: int
     rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
         _counted(longest), "lang string, run string, f long")
     # In the order of the runs the edges out of a node and the pieces that end in it follow one another.
-    rows = rows.repartitionByRange("lang", "run").sortWithinPartitions("lang", "run")
+    # The run comes first in the order, since sorting compares the first bytes of the first column.
+    rows = rows.repartitionByRange("run", "lang").sortWithinPartitions("run", "lang")
     rows = rows.mapInArrow(_flows(longest, least), "lang string, m int, gram string, f long")
     rows = rows.groupBy("lang", "m", "gram").agg(F.sum("f").alias("f"))
     return rows.where((F.col("f") >= least) | (F.col("m") == 0))
