@@ -115,7 +115,7 @@ def plan(histogram: np.ndarray, window: int) -> np.ndarray:
 def _pieces(docs: DataFrame, path: str, kind: str, end: int, window: int) -> DataFrame:
     """Pieces of every (id, text), with the task and the place among its pieces of that length."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task = T.encoder(path, kind), TaskContext.get().partitionId()
+        enc, task = T.encoder(path, kind, T.SMALL_CACHE), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         tail = np.array([end], "<u4").tobytes()
         for b in batches:

@@ -27,38 +27,43 @@ _ODD = re.compile("[\x1c-\x1f]")
 _BYTE_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: ASCII characters that are neither letters, digits nor white space: such a run after letters is split off.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHE = 600_000
+#: Bytes of a generation of the cache, and about so many of an entry beside its unit's characters.
+CACHE = 100 << 20
+SMALL_CACHE = 12 << 20
+ENTRY = 200
 JOINED = 4000
 
 
 class Cache:
-    """Two generations of at most ``size`` entries; the older is dropped when the younger is full."""
+    """Two generations of about ``size`` bytes; the older is dropped when the younger is full."""
 
     def __init__(self, size: int = CACHE):
-        self.size, self.young, self.old = size, {}, {}
+        self.size, self.young, self.old, self.chars = size, {}, {}, 0
 
     def missing(self, units: Iterable[str]) -> set[str]:
         """Units without an entry; the others are all in the young generation afterwards."""
         todo = set(units).difference(self.young)
-        if todo and self.old:
-            for u in [u for u in todo if u in self.old]:
-                self.young[u] = self.old[u]
-                todo.discard(u)
+        if todo:
+            self.chars += sum(map(len, todo))
+            if self.old:
+                for u in [u for u in todo if u in self.old]:
+                    self.young[u] = self.old[u]
+                    todo.discard(u)
         return todo
 
     def turn(self) -> None:
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
+        if self.chars + ENTRY * len(self.young) > self.size:
+            self.young, self.old, self.chars = {}, self.young, 0
 
 
 class UnitEncoder:
     """Ids of texts as little-endian integers of ``width`` bytes."""
 
-    def __init__(self, path: str, kind: str, width: int = 2):
+    def __init__(self, path: str, kind: str, width: int = 2, cache: int = CACHE):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kind, self.type, self.cache = kind, np.dtype(f"<u{width}"), Cache()
+        self.kind, self.type, self.cache = kind, np.dtype(f"<u{width}"), Cache(cache)
         self.mark, self.glue = ("\n", "\n") if kind == "byte" else ("\x01", " \x01 ")
         (self.mark_id,) = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
 
@@ -128,10 +133,11 @@ class UnitEncoder:
 _ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
 
 
-def encoder(path: str, kind: str) -> UnitEncoder:
-    """The worker's encoder for a tokenizer file, with the cache of earlier tasks."""
+def encoder(path: str, kind: str, cache: int = CACHE) -> UnitEncoder:
+    """The worker's encoder for a tokenizer file, with the cache of earlier tasks; others are let go."""
     if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = UnitEncoder(path, kind)
+        _ENCODERS.clear()
+        _ENCODERS[path, kind] = UnitEncoder(path, kind, cache=cache)
     return _ENCODERS[path, kind]
 
 
