@@ -37,14 +37,12 @@ DEFAULT_KEEP = 3
 
 
 def candidate_verdicts(trace: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Attach judge outputs to candidates: equi-join on the question, residual
-    ``eval_id <= (path_id + step + question_id) % 5`` (a deterministic number of
-    judge samples per candidate, 1..5)."""
+    """Attach judge outputs to the candidates they were made for: an equi-join on
+    (question, step, path).  Every output counts, however many a candidate has; a
+    candidate without outputs has no row."""
     t = trace.select("question_id", "step", "path_id", "candidate")
-    v = verdicts.select("question_id", "eval_id", "output")
-    j = t.join(v, (t.question_id == v.question_id)
-               & (v.eval_id <= (t.path_id + t.step + t.question_id) % 5))
-    return j.select(t.question_id, "step", "path_id", "candidate", "eval_id", "output")
+    v = verdicts.select("question_id", "step", "path_id", "eval_id", "output")
+    return t.join(v, ["question_id", "step", "path_id"])
 
 
 def with_verdict_value(df: DataFrame, output: str = "output") -> DataFrame:

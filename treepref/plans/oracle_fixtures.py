@@ -45,16 +45,20 @@ FX["rlhf_rating"] = """
 """
 
 FX["trace"] = """
-  WITH d AS (SELECT doc_id AS d FROM documents WHERE lang = 'en'),
+  WITH d AS (
+    SELECT doc_id AS d, list_transform(range(0, 9), lambda k: split_part(text, ' ',
+             1 + CAST(floor((length(text) - length(replace(text, ' ', ''))) * k / 8) AS INT))) AS w
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
   n AS (SELECT 0 AS j UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3),
-  l0 AS (SELECT d.d, n.j AS j0,
-                'step 1, find entity ' || CAST((d.d * 7 + n.j) % 5 AS VARCHAR) || '.' AS y
+  l0 AS (SELECT d.d, d.w, n.j AS j0,
+                'step 1, find entity ' || d.w[(d.d * 7 + n.j) % 5 + 1] || '.' AS y
          FROM d CROSS JOIN n),
-  l1 AS (SELECT l0.d, l0.j0, n.j AS j1,
-                l0.y || ' step 2, use fact ' || CAST((l0.d + l0.j0 * 3 + n.j) % 4 AS VARCHAR) || '.' AS y
+  l1 AS (SELECT l0.d, l0.w, l0.j0, n.j AS j1,
+                l0.y || ' step 2, use fact ' || l0.w[(l0.d + l0.j0 * 3 + n.j) % 4 + 6] || '.' AS y
          FROM l0 CROSS JOIN n WHERE n.j < 3),
   l2 AS (SELECT l1.d, l1.j0, l1.j1, n.j AS j2,
-                l1.y || ' step 3, so the final answer is: item ' || CAST((l1.d + l1.j0 * 2 + l1.j1 + n.j) % 3 AS VARCHAR) || '.' AS y
+                l1.y || CASE WHEN (l1.d + l1.j0 + l1.j1 * 2 + n.j) % 7 = 3 THEN ' step 3, no answer, item '
+                             ELSE ' step 3, so the final answer is: item ' END || l1.w[(l1.d + l1.j0 * 2 + l1.j1 + n.j) % 3 + 1] || '.' AS y
          FROM l1 CROSS JOIN n WHERE n.j < 2)
   SELECT d AS question_id, 0 AS step, j0 * 100 AS path_id, y AS candidate, (d * 3 + j0 * 5) % 6 AS score FROM l0
   UNION ALL

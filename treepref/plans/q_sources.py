@@ -90,10 +90,12 @@ def scan_flat_qa_json(spark, d):
 
 
 TRACE_ORACLE = with_fx("""
-  SELECT 'Question ' || CAST(question_id AS VARCHAR) AS question, CAST(step AS BIGINT) AS step, candidate,
+  SELECT 'Question ' || CAST(question_id AS VARCHAR) AS question, CAST(step AS BIGINT) AS step,
+         row_number() OVER (PARTITION BY question_id, step ORDER BY path_id, candidate) - 1 AS idx, candidate,
          round(CAST(score AS DOUBLE), 6) AS value FROM lv
   UNION ALL
-  SELECT 'Question ' || CAST(question_id AS VARCHAR), CAST(NULL AS BIGINT), item, CAST(NULL AS DOUBLE) FROM sel
+  SELECT 'Question ' || CAST(question_id AS VARCHAR), CAST(NULL AS BIGINT),
+         row_number() OVER (PARTITION BY question_id ORDER BY item) - 1, item, CAST(NULL AS DOUBLE) FROM sel
 """, "trace", **CHAIN)
 
 
@@ -105,7 +107,7 @@ def _trace_roundtrip(spark, d, legacy):
                             sel.select(qn.alias("question"), "item"))
     path = SK.sink_trace_json(recs, scratch_path(spark, "trace"), legacy=legacy)
     t = RD.explode_trace(RD.scan_trace_json(spark, path, legacy=legacy))
-    return t.select("question", "step", "candidate", r6("value").alias("value"))
+    return t.select("question", "step", "idx", "candidate", r6("value").alias("value"))
 
 
 @register("scan_trace_json", TRACE_ORACLE)

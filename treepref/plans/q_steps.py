@@ -60,7 +60,7 @@ SEL_SQL = f"""
   SELECT a.question_id, a.item, a.value FROM ans a JOIN w USING (question_id, answer)
 """
 
-QS_SQL = "SELECT doc_id AS question_id, 'Question ' || CAST(doc_id AS VARCHAR) AS question FROM documents WHERE lang = 'en'"
+QS_SQL = "SELECT doc_id AS question_id, 'Question ' || CAST(doc_id AS VARCHAR) AS question FROM documents"
 
 ANS_SQL = f"""
   SELECT question_id, split_part(best, {q(ST.STEP_FINAL)}, 2) AS answer FROM (
@@ -152,7 +152,7 @@ def _selected(spark, d, levels=None):
 
 
 def _questions(spark, d):
-    return table(spark, d, "documents").where(F.col("lang") == "en").select(
+    return table(spark, d, "documents").select(
         F.col("doc_id").alias("question_id"), F.concat(F.lit("Question "), F.col("doc_id").cast("string")).alias("question"))
 
 

@@ -45,7 +45,7 @@ CV_SQL = """
 
 
 def _cv(spark, d):
-    return TR.candidate_verdicts(FX.trace(spark, d), FX.verdict(spark, d))
+    return TR.candidate_verdicts(FX.trace(spark, d), FX.path_verdict(spark, d))
 
 
 @register("verdict_value", with_fx(f"""

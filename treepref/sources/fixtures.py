@@ -65,19 +65,29 @@ def rlhf_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search-tree candidates with scores, 4 + 12 + 24 per question."""
-    d = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select(F.col("doc_id").alias("d"))
-    l0 = d.select("d", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j0"))
-    l0 = l0.withColumn("y", F.concat(F.lit("step 1, find entity "),
-                                     ((F.col("d") * 7 + F.col("j0")) % 5).cast("string"), F.lit(".")))
-    l1 = l0.select("d", "j0", "y", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j1"))
+    """Search-tree candidates with scores, 4 + 12 + 24 per question.
+
+    Every document is a question; entities and facts are words of its text, with
+    whatever quotes, marks and line ends they have, and one in seven final candidates
+    lacks the final phrase."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
+    # A few words from the middle and the end of the whole text.
+    d = d.select("d", *[F.split_part("text", F.lit(" "), F.lit(1) + F.floor(
+        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))) * F.lit(k) / 8).cast("int")).alias(f"w{k}")
+        for k in range(9)])
+    words = F.array(*[f"w{k}" for k in range(9)])
+    l0 = d.select("d", words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j0"))
+    l0 = l0.withColumn("y", F.concat(F.lit("step 1, find entity "), F.get("w", ((F.col("d") * 7 + F.col("j0")) % 5).cast("int")), F.lit(".")))
+    l1 = l0.select("d", "w", "j0", "y", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j1"))
     l1 = l1.withColumn("y", F.concat(F.col("y"), F.lit(" step 2, use fact "),
-                                     ((F.col("d") + F.col("j0") * 3 + F.col("j1")) % 4).cast("string"),
+                                     F.get("w", (5 + (F.col("d") + F.col("j0") * 3 + F.col("j1")) % 4).cast("int")),
                                      F.lit(".")))
-    l2 = l1.select("d", "j0", "j1", "y", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("j2"))
+    l2 = l1.select("d", "w", "j0", "j1", "y", F.explode(F.sequence(F.lit(0), F.lit(1))).alias("j2"))
+    pick = F.get("w", ((F.col("d") + F.col("j0") * 2 + F.col("j1") + F.col("j2")) % 3).cast("int"))
+    ends = (F.col("d") + F.col("j0") + F.col("j1") * 2 + F.col("j2")) % 7 == 3
     l2 = l2.withColumn("y", F.concat(
-        F.col("y"), F.lit(" step 3, so the final answer is: item "),
-        ((F.col("d") + F.col("j0") * 2 + F.col("j1") + F.col("j2")) % 3).cast("string"), F.lit(".")))
+        F.col("y"), F.when(ends, F.lit(" step 3, no answer, item ")).otherwise(F.lit(" step 3, so the final answer is: item ")),
+        pick, F.lit(".")))
     s0 = l0.select(F.col("d").alias("question_id"), F.lit(0).alias("step"),
                    (F.col("j0") * 100).alias("path_id"), F.col("y").alias("candidate"),
                    ((F.col("d") * 3 + F.col("j0") * 5) % 6).alias("score"))
@@ -114,6 +124,15 @@ def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("doc_id").alias("question_id"), "eval_id", out.alias("output"))
 
 
+def path_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 for each candidate of B3: one to five judge outputs of the question."""
+    t = trace(spark, sf_dir).select("question_id", "step", "path_id")
+    e = t.select("*", F.explode(F.sequence(F.lit(0), ((F.col("path_id") + F.col("step") + F.col("question_id")) % 5).cast("int")))
+                 .alias("eval_id"))
+    out = F.get(F.array(*[F.lit(x) for x in VERDICT_TEXTS]), ((F.col("question_id") * 3 + F.col("eval_id")) % 6).cast("int"))
+    return e.withColumn("output", out)
+
+
 def math_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Math questions, answers with calculator spans, and predictions."""
     li = table(spark, sf_dir, "lineitem")

@@ -10,7 +10,9 @@ from pyspark.sql.types import StructType
 from ..operators.ordering import global_positions
 
 TRACE_STEP = "struct<candiate:array<string>,values:array<double>>"
-TRACE_SCHEMA = f"map<string,struct<`0`:{TRACE_STEP},`1`:{TRACE_STEP},`2`:{TRACE_STEP},`3`:{TRACE_STEP},correct:array<string>>>"
+#: Question -> key ("0", "1", ... or "correct") -> its JSON text, so that a record may have any steps.
+TRACE_SCHEMA = "map<string,map<string,string>>"
+TRACE_ROW = "array<struct<step:bigint,idx:bigint,candidate:string,value:double>>"
 
 
 def with_seq(df: DataFrame) -> DataFrame:
@@ -62,12 +64,13 @@ def scan_flat_qa_json(spark: SparkSession, path: str, multiline: bool = False) -
 
 
 def scan_trace_json(spark: SparkSession, path: str, legacy: bool = True) -> DataFrame:
-    """Trace records ``{question: {"0": {candiate, values}, ..., correct}}``.
+    """Trace records ``{question: {"0": {candiate, values}, ..., correct}}``
+    as (rec, corrupt): the record, or the text of one that cannot be parsed.
 
-    The legacy layout is objects pretty-printed one after another, each
-    followed by ``,\\n``, with a closing ``\\n]`` and no opening ``[``; records
-    are cut at ``\\n},\\n`` (the brace is added back), the ``]`` remnant and an
-    optional leading ``[`` are dropped.  Otherwise one object per line.
+    Any step key is kept.  The legacy layout is objects pretty-printed one after
+    another, each followed by ``,\\n``, with a closing ``\\n]`` and no opening ``[``;
+    records are cut at ``\\n},\\n`` (the brace is added back), the ``]`` remnant and
+    an optional leading ``[`` are dropped.  Otherwise one object per line.
     """
     if legacy:
         raw = spark.read.option("lineSep", "\n},\n").text(path)
@@ -75,30 +78,28 @@ def scan_trace_json(spark: SparkSession, path: str, legacy: bool = True) -> Data
         raw = raw.where(~F.trim(F.col("value")).isin("]", ""))
         rec = F.coalesce(F.from_json(F.concat(v, F.lit("\n}")), TRACE_SCHEMA),
                          F.from_json(F.regexp_replace(v, r",\s*$", ""), TRACE_SCHEMA))
-        return raw.select(rec.alias("rec")).where(F.col("rec").isNotNull())
-    raw = spark.read.text(path)
-    return raw.select(F.from_json("value", TRACE_SCHEMA).alias("rec")).where(F.col("rec").isNotNull())
-
-
-def _step_row(step: int):
-    return lambda z: F.struct(F.lit(step).cast("bigint").alias("step"), z["c"].alias("candidate"), z["v"].alias("value"))
+    else:
+        raw = spark.read.text(path).where(F.trim("value") != "")
+        rec = F.from_json("value", TRACE_SCHEMA)
+    raw = raw.select("value", rec.alias("rec"))
+    return raw.select("rec", F.when(F.col("rec").isNull(), F.col("value")).alias("corrupt"))
 
 
 def explode_trace(records: DataFrame) -> DataFrame:
     """Trace records -> candidate rows ``(question, step, idx, candidate,
-    value)`` and selected rows (``step`` null, from ``correct``)."""
-    e = records.select(F.explode("rec").alias("question", "t"))
-    steps = []
-    for s in ("0", "1", "2", "3"):
-        st = F.col(f"t.`{s}`")
-        steps.append(F.when(st.isNotNull(), F.transform(
-            F.arrays_zip(st["candiate"].alias("c"), st["values"].alias("v")), _step_row(int(s)))))
-    rows = F.flatten(F.array(*[F.coalesce(x, F.array().cast(
-        "array<struct<step:bigint,candidate:string,value:double>>")) for x in steps]))
-    cand = e.select("question", F.inline(rows))
-    corr = e.select("question", F.explode("t.correct").alias("candidate")).select(
-        "question", F.lit(None).cast("bigint").alias("step"), "candidate", F.lit(None).cast("double").alias("value"))
-    return cand.unionByName(corr)
+    value)`` of all steps the data hold, ``idx`` the place in the step's list, and
+    selected rows (``step`` null, from ``correct``).  Keys that are neither a step
+    number nor ``correct`` and records that did not parse give no rows."""
+    part = records.select(F.explode("rec").alias("question", "t")).select("question", F.explode("t").alias("key", "json"))
+    st = F.from_json("json", TRACE_STEP)
+    steps = F.transform(F.arrays_zip(st["candiate"].alias("c"), st["values"].alias("v")), lambda z, i: F.struct(
+        F.col("key").cast("bigint").alias("step"), i.cast("bigint").alias("idx"), z["c"].alias("candidate"), z["v"].alias("value")))
+    chosen = F.transform(F.from_json("json", "array<string>"), lambda z, i: F.struct(
+        F.lit(None).cast("bigint").alias("step"), i.cast("bigint").alias("idx"), z.alias("candidate"),
+        F.lit(None).cast("double").alias("value")))
+    rows = F.when(F.col("key") == "correct", chosen.cast(TRACE_ROW)).when(
+        F.regexp_like("key", F.lit("^[0-9]+$")), steps.cast(TRACE_ROW))
+    return part.select("question", F.inline(rows))
 
 
 def scan_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -34,29 +34,33 @@ def sink_eval_report(results: DataFrame, report: DataFrame, path: str) -> str:
 
 
 def trace_records(levels: DataFrame, selected: DataFrame, question: str = "question") -> DataFrame:
-    """Trace records in the reference's shape, one per question:
-    ``{question: {"0": {candiate: [...], values: [...]}, ..., correct: [...]}}``.
+    """Trace records in the reference's shape, one per question, as JSON text ``rec``:
+    ``{question: {"0": {candiate: [...], values: [...]}, ..., correct: [...]}}``
+    with whatever steps ``levels`` holds.
 
     A record holds one question's search tree, whose size is set by the search
     parameters (samples x kept per level), not by the data volume.
     """
     per_step = levels.groupBy(question, "step").agg(
         F.array_sort(F.collect_list(F.struct("path_id", "candidate", F.col("value").cast("double").alias("value")))).alias("c"))
-    per_step = per_step.select(question, "step", F.struct(
-        F.transform("c", lambda s: s["candidate"]).alias("candiate"),
-        F.transform("c", lambda s: s["value"]).alias("values")).alias("s"))
-    steps = per_step.groupBy(question).agg(*[F.max(F.when(F.col("step") == i, F.col("s"))).alias(str(i)) for i in range(4)])
+    text = F.to_json(F.struct(F.transform("c", lambda s: s["candidate"]).alias("candiate"),
+                              F.transform("c", lambda s: s["value"]).alias("values")))
+    per_step = per_step.select(question, "step", F.concat(F.lit('"'), F.col("step").cast("string"), F.lit('":'), text).alias("s"))
+    steps = per_step.groupBy(question).agg(F.array_sort(F.collect_list(F.struct("step", "s"))).alias("steps"))
     corr = selected.groupBy(question).agg(F.array_sort(F.collect_list("item")).alias("correct"))
     rec = steps.join(corr, question, "left")
-    body = F.struct(*[F.col(f"`{i}`") for i in range(4)], F.coalesce("correct", F.array().cast("array<string>")).alias("correct"))
-    return rec.select(F.create_map(F.col(question), body).alias("rec"))
+    # A one-element array around the question gives it the escapes of JSON.
+    name = F.expr(f"substring(to_json(array(`{question}`)), 2, length(to_json(array(`{question}`))) - 2)")
+    found = F.to_json(F.coalesce("correct", F.array().cast("array<string>")))
+    body = F.concat_ws(",", F.transform("steps", lambda x: x["s"]), F.concat(F.lit('"correct":'), found))
+    return rec.select(F.concat(F.lit("{"), name, F.lit(":{"), body, F.lit("}}")).alias("rec"))
 
 
 def sink_trace_json(records: DataFrame, path: str, legacy: bool = True) -> str:
     """S7 writer.  ``legacy=True`` reproduces the reference's layout (each
     object ends with a newline before its closing brace and is followed by
     ``,\\n``; a closing ``\\n]`` part); otherwise JSON lines."""
-    js = F.to_json("rec", {"ignoreNullFields": "true"})
+    js = F.col("rec")
     if not legacy:
         records.select(js.alias("value")).write.mode("overwrite").text(path)
         return path
