@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.score import has_final_answer, jaccard_sets, word_set
-from .ordering import global_positions, range_bucket
+from .ordering import range_positions
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 # Log layout of the evaluation run: a ground-truth line, then a line
@@ -89,35 +89,41 @@ def preference_results(df: DataFrame, similarity=None) -> DataFrame:
     return out.withColumn("predicted_chosen", win.cast("int")).withColumn("correct", win.cast("int"))
 
 
+def preference_metrics() -> list[Column]:
+    """The counts of A7 as aggregates, for a report or for the pass that writes the results."""
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("correct"), F.lit(0)).cast("bigint").alias("n_correct")]
+
+
 def preference_accuracy(results: DataFrame) -> DataFrame:
     """Share of results where chosen wins; 0 when there are none."""
-    return results.agg(F.count("*").alias("n"), F.sum("correct").cast("bigint").alias("n_correct")).select(
-        "n", F.coalesce("n_correct", F.lit(0)).alias("n_correct"),
-        F.coalesce(F.col("n_correct") / F.col("n"), F.lit(0.0)).alias("accuracy"))
+    return results.agg(*preference_metrics()).select(
+        "n", "n_correct", F.coalesce(F.try_divide(F.col("n_correct"), F.col("n")), F.lit(0.0)).alias("accuracy"))
+
+
+def error_metrics(status_col: str = "error") -> list[Column]:
+    """The counts of A8 as aggregates."""
+    st = F.col(status_col)
+    counted = st.isNull() | (st == "image_missing")
+    return [F.count_if(counted).alias("n_total"), F.count_if(st.isNull() & (F.col("correct") == 1)).alias("n_correct"),
+            F.count_if(st == "image_missing").alias("n_image_missing"),
+            F.count_if(st.isNotNull() & (st != "image_missing")).alias("n_errors")]
 
 
 def error_accounting(results: DataFrame, image: str = "image", status_col: str = "error") -> DataFrame:
     """A missing image is a wrong answer that counts; other errors are
     listed (``n_errors``) but excluded from the denominator."""
-    st = F.col(status_col)
-    counted = st.isNull() | (st == "image_missing")
-    return results.agg(
-        F.sum(F.when(counted, 1).otherwise(0)).cast("bigint").alias("n_total"),
-        F.sum(F.when(st.isNull() & (F.col("correct") == 1), 1).otherwise(0)).cast("bigint").alias("n_correct"),
-        F.sum(F.when(st == "image_missing", 1).otherwise(0)).cast("bigint").alias("n_image_missing"),
-        F.sum(F.when(st.isNotNull() & (st != "image_missing"), 1).otherwise(0)).cast("bigint").alias("n_errors"),
-    ).select("*", F.coalesce(F.col("n_correct") / F.col("n_total"), F.lit(0.0)).alias("accuracy"))
+    return results.agg(*error_metrics(status_col)).select(
+        "*", F.coalesce(F.try_divide(F.col("n_correct"), F.col("n_total")), F.lit(0.0)).alias("accuracy"))
 
 
 def running_accuracy(results: DataFrame, seq: str, correct: str = "correct",
                      every: int = REPORT_EVERY) -> DataFrame:
     """Cumulative accuracy after each result, reported every ``every`` rows.
 
-    Positions and running sums come from :func:`global_positions` (bucketed
-    prefix sums), not a single-partition window.
+    Positions and running sums come from :func:`range_positions`: the results are scored and
+    sorted once, by ranges, and not in a single-partition window.
     """
-    pos = global_positions(results.select(seq, F.col(correct).cast("bigint").alias("_c")), [seq],
-                           range_bucket(results, seq), running=["_c"])
+    pos = range_positions(results.select(seq, F.col(correct).cast("bigint").alias("_c")), [seq], running=["_c"])
     rep = pos.where((F.col("pos") + 1) % every == 0)
     return rep.select((F.col("pos") + 1).alias("processed"),
                       (F.col("_c_cum") / (F.col("pos") + 1)).alias("running_accuracy"))

@@ -12,10 +12,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import before_first, has, strip
+from .steps import MATH_STEPS, QA_STEPS, StepSpec
 
 ModelFn = Callable[[list, int], list]
 
@@ -51,21 +52,26 @@ class Task:
     """One task = how to read it, prompt it, judge it and score it, all as
     column functions (no per-row objects)."""
     name: str
-    steps: int
+    source: Callable[[SparkSession, str], DataFrame]
+    steps: StepSpec
     final_sentence: str
     prompt: Callable[..., Column]
     judge: Callable[..., Column]
     score: Callable[[Column, Column], Column]
 
 
-def task_registry() -> dict[str, Task]:
+def task_registry(math_demos: str = "") -> dict[str, Task]:
+    """The tasks; ``math_demos`` are the worked examples before a math question."""
     from ..functions.score import claim_correct, math_correct, qa_correct
-    from .prompts import cot_prompt, judge_prompt
+    from ..sources.readers import scan_claims_jsonl, scan_flat_qa_json
+    from .prepare import parse_math_rows
+    from .prompts import cot_prompt, judge_prompt, math_judge_prompt, worked_prompt
     return {
-        "qa": Task("qa", 3, "so the final answer is: ", cot_prompt, judge_prompt, qa_correct),
-        "claims": Task("claims", 3, "so the final answer is: ", cot_prompt,
+        "qa": Task("qa", scan_flat_qa_json, QA_STEPS, "so the final answer is: ", cot_prompt, judge_prompt, qa_correct),
+        "claims": Task("claims", scan_claims_jsonl, QA_STEPS, "so the final answer is: ", cot_prompt,
                        lambda q, y: judge_prompt(q, y, claim=True), claim_correct),
-        "math": Task("math", 4, "answer (arabic numerals) is ", cot_prompt, judge_prompt, math_correct),
+        "math": Task("math", lambda spark, path: parse_math_rows(scan_flat_qa_json(spark, path)), MATH_STEPS,
+                     "answer (arabic numerals) is ", worked_prompt(math_demos), math_judge_prompt, math_correct),
     }
 
 

@@ -1,20 +1,20 @@
 """Dataset preparation: sampling, splitting, validation, training plan, task
 row parsing (W6-W9, A10, A11, P28-P30).
 
-Sampling and splitting are exact and reproducible without a global sort in
-one task: rows get a seeded key ``md5('<seed>:' || id)``, positions come
-from bucketed prefix counts (:mod:`.ordering`), and the cut is a filter.
+Sampling and splitting are exact and reproducible without any sort: rows get
+a seeded key ``md5('<seed>:' || id)``, the cut is found by counting leading digits
+(:func:`.ordering.radix_cut`), and the split is a filter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import after_first, before_first, has, strip
-from .ordering import global_positions, hex_bucket, range_bucket, seeded_key
+from .ordering import Cut, radix_cut, range_positions, seeded_key
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 ANSWER_SPLIT = "####"
@@ -31,36 +31,52 @@ def first_n(df: DataFrame, seq: str, n: int) -> DataFrame:
 
 def index_slice(df: DataFrame, seq: str, start: int, end: int | None = None) -> DataFrame:
     """``rows[start:end]`` by source position."""
-    pos = global_positions(df, [seq], range_bucket(df, seq))
+    pos = range_positions(df, [seq])
     cond = F.col("pos") >= start
     if end is not None:
         cond = cond & (F.col("pos") < end)
     return pos.where(cond).drop("pos")
 
 
-def _shuffled_positions(df: DataFrame, id_col: str, seed: int) -> DataFrame:
-    keyed = df.withColumn("_key", seeded_key(seed, id_col))
-    return global_positions(keyed, ["_key", id_col], hex_bucket(F.col("_key")))
+def _cut(df: DataFrame, id_col: str, seed: int, take: Callable[[int], int]) -> Cut:
+    """The cut of a seeded shuffle.  Rows with equal ids are told apart by all their columns."""
+    return radix_cut(df, [seeded_key(seed, id_col), F.md5(F.to_json(F.struct(*df.columns)))], take)
 
 
-def split_exact(df: DataFrame, id_col: str, seed: int = 42, test_ratio: float = DEFAULT_TEST_RATIO) -> DataFrame:
-    """Seeded shuffle; the first ``int(n * (1 - r))`` rows are ``train``,
-    the rest ``test``.  Adds a ``split`` column."""
-    n = df.count()
-    n_train = int(n * (1 - test_ratio))
-    pos = _shuffled_positions(df, id_col, seed)
-    return pos.withColumn("split", F.when(F.col("pos") < n_train, "train").otherwise("test")).drop("_key", "pos")
+def _below_rate(id_col: str, seed: int, rate: float) -> Column:
+    """Hash threshold: each row on its own, by the first 52 bits of its key."""
+    return F.conv(F.substring(seeded_key(seed, id_col), 1, 13), 16, 10).cast("bigint") < F.lit(int(rate * 2 ** 52))
 
 
-def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
+def split_exact(df: DataFrame, id_col: str, seed: int = 42, test_ratio: float = DEFAULT_TEST_RATIO,
+                exact: bool = True) -> DataFrame:
+    """Seeded shuffle; the first ``int(n * (1 - r))`` rows are ``train``,
+    the rest ``test``.  Adds a ``split`` column.
+
+    The cut is found by counting, so the plan is a filter on the key.  With ``exact=False``
+    no row is counted: every row is ``train`` with probability ``1 - r`` by its own key, and stays
+    where it is when rows are added."""
+    if not exact:
+        return df.withColumn("split", F.when(_below_rate(id_col, seed, 1 - test_ratio), "train").otherwise("test"))
+    cut = _cut(df, id_col, seed, lambda n: int(n * (1 - test_ratio)))
+    out = df.where(~cut.equal()).withColumn("split", F.when(cut.below(), "train").otherwise("test"))
+    if cut.ties:  # equal rows on both sides of the cut
+        same = df.where(cut.equal())
+        for name, n in (("train", cut.ties), ("test", cut.tied - cut.ties)):
+            out = out.unionByName(same.limit(n).withColumn("split", F.lit(name)))
+    return out
+
+
+def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int = 42, exact: bool = True) -> DataFrame:
     """Exactly ``round(n * p)`` rows (half-even, as Python), chosen by the
-    seeded key; with ``fraction == 1`` all rows, which need no sort."""
+    seeded key; with ``fraction == 1`` all rows.  ``exact=False`` as for :func:`split_exact`."""
     if fraction >= 1:
         return df
-    n = df.count()
-    take = int(round(n * fraction))
-    pos = _shuffled_positions(df, id_col, seed)
-    return pos.where(F.col("pos") < take).drop("_key", "pos")
+    if not exact:
+        return df.where(_below_rate(id_col, seed, fraction))
+    cut = _cut(df, id_col, seed, lambda n: int(round(n * fraction)))
+    out = df.where(cut.below())
+    return out.unionByName(df.where(cut.equal()).limit(cut.ties)) if cut.ties else out
 
 
 def validate_pairs(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:

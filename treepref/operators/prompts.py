@@ -7,6 +7,8 @@ suffixes) are fixed values.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ STEP2_CUE = " Step 2, "
 MATH_STEP_CUE = " Step 4, The answer (arabic numerals) is "
 CHOOSE_MARK = "choose the best answer"
 CLAIM_SPLIT = "step 3, "
+FIRST_CUE = "Answer: Step 1, "
+OPTIONS_MARK = "Options:"
+OPTION_CUE = "So the final answer is ("
 REGION_SUFFIX = "\n\nFocus on region: "
 REGIONS_SUFFIX = "\n\nFocus on regions: "
 ANSWER_CUE = "Answer:"
@@ -30,6 +35,7 @@ COT_TEMPLATE = ("Answer the question in numbered steps and finish with "
                 "'so the final answer is: '.\nQuestion: {input}\n")
 STEP_JUDGE = "Judge whether this partial reasoning moves toward the answer (sure/likely/impossible).\nQuestion: "
 FINAL_JUDGE = "Judge whether this final answer is right (sure/likely/impossible).\nQuestion: "
+MATH_JUDGE = "Judge whether this step of the calculation is right (sure/likely/impossible).\n"
 OPTION_JUDGE = "Judge whether this option is the best answer (sure/likely/impossible).\nQuestion: "
 
 
@@ -59,6 +65,27 @@ def judge_prompt(question: Column, y: Column, claim: bool = False, step_t: str =
     return (F.when(no_final, step_p).when(has(F.lower(question), CHOOSE_MARK), option_p).otherwise(final_p))
 
 
+def math_judge_prompt(question: Column, y: Column, template: str = MATH_JUDGE) -> Column:
+    """P21 for math: one form for all steps."""
+    return F.concat(F.lit(template), F.lit("Question: "), question, F.lit("\nThought: "), y, F.lit("\nEvaluation Process: "))
+
+
+def search_cue(prompt: Column, step: int, long_form: bool = False) -> Column:
+    """P23, search side: what a search adds to the prompt before it generates step ``step`` (from 0).
+
+    The step's number; before the last step also the final phrase, which opens a bracket where the
+    prompt lists options.  ``long_form`` is for tasks of five steps, whose phrase comes with the fifth."""
+    cue = F.lit(FIRST_CUE if step == 0 else f" Step {step + 1}, ")
+    if long_form:
+        return F.concat(cue, F.lit(FINAL_CUE)) if step == 4 else cue
+    options = F.instr(prompt, OPTIONS_MARK) > 0
+    if step == 3:
+        return F.when(options, F.concat(cue, F.lit(OPTION_CUE))).otherwise(cue)
+    if step == 2:
+        return F.when(options, cue).otherwise(F.concat(cue, F.lit("So the final answer is: ")))
+    return cue
+
+
 def next_step_cue(y: Column, math: bool = False) -> Column:
     """Which continuation a partial answer needs; null when it is done."""
     low = F.lower(y)
@@ -71,6 +98,11 @@ def next_step_cue(y: Column, math: bool = False) -> Column:
             .when(~has(low, "step 3, so the final answer is:"), F.lit(STEP3_CUE)))
 
 
+def worked_prompt(demos: str) -> Callable[[Column, Column], Column]:
+    """Prompt of a math pair: worked examples, the question and the earlier steps."""
+    return lambda question, partial: F.concat(F.lit(demos), F.lit("Q: "), question, F.lit("\nA: "), partial)
+
+
 def math_prompt(demos: Column, question: Column, y: Column, step: Column) -> Column:
     """Demonstrations + ``Q: .. \\nA: ..`` + the cue of the next step."""
     cue = F.when(step == 3, F.lit("Step 4, The answer (arabic numerals) is ")).otherwise(

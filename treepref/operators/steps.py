@@ -16,16 +16,21 @@ filters -> U3 distinct.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import after_first, any_contains, has, replace_chain, strip, truncate_to_last_stop
+from ..session import materialize
 from .prompts import cot_prompt
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 STEP_FINAL = "step 3, so the final answer is: "
-FINAL_TAIL = "so the final answer is: "
-N_THOUGHTS = 3
+MATH_STEP_FINAL = "step 4, the answer (arabic numerals) is "
+# A later candidate that already holds this step is cut before it.
+OVERRUN = "step 3"
 QMARK = "？"  # fullwidth question mark
 # String-call chains, applied in order ("lower"/"strip" mark those calls).
 # A: selected paths before they are split into steps.  B: level-0 candidates.
@@ -60,6 +65,29 @@ CLAIM_VALID = ("supports", "refutes", "refuted", "not enough info", "not enough
 MATH_MARK = "(arabic numerals) is "
 
 
+@dataclass(frozen=True)
+class StepSpec:
+    """The steps of a task: how many a path has, the marker that begins the last one (``step n, ...``),
+    and whether the answer after ``MATH_MARK`` must hold a number."""
+    n_steps: int = 3
+    final: str = STEP_FINAL
+    number: bool = False
+
+    @property
+    def tail(self) -> str:
+        """What the last step holds after its number."""
+        return self.final.split(", ")[1]
+
+    @property
+    def last(self) -> str:
+        """Name of the last step."""
+        return self.final.split(", ")[0]
+
+
+QA_STEPS = StepSpec()
+MATH_STEPS = StepSpec(4, MATH_STEP_FINAL, number=True)
+
+
 def normalize_a(c: Column) -> Column:
     return replace_chain(c, CHAIN_A)
 
@@ -94,14 +122,14 @@ def claim_label_train(pre: Column, last_wins: bool = False) -> Column:
     return out
 
 
-def best_answer(selected: DataFrame, claim: bool = False) -> DataFrame:
+def best_answer(selected: DataFrame, claim: bool = False, spec: StepSpec = QA_STEPS) -> DataFrame:
     """P10: answer after the final marker of the best selected path (highest
     value, then smallest text); questions whose best path lacks the marker are
     dropped.  Claims map the answer to a label and drop unknown labels."""
     best = selected.groupBy("question_id").agg(
         F.min(F.struct((-F.col("value")).alias("nv"), F.col("item").alias("item"))).alias("b"))
     b = best.select("question_id", F.col("b.item").alias("best"))
-    b = b.where(has("best", STEP_FINAL)).withColumn("answer", after_first("best", STEP_FINAL))
+    b = b.where(has("best", spec.final)).withColumn("answer", after_first("best", spec.final))
     if claim:
         lab = F.coalesce(claim_label_train(F.col("answer")), F.col("answer"))
         b = b.withColumn("answer", lab).where(strip(F.replace(F.col("answer"), F.lit("."), F.lit(""))).isin(*CLAIM_VALID))
@@ -121,31 +149,31 @@ def _agree(pre: Column, ans: Column, claim: bool) -> Column:
     return both_text | yes | no
 
 
-def positive_expansion(levels: DataFrame, selected: DataFrame, final_step: int = N_THOUGHTS - 1,
-                       claim: bool = False) -> DataFrame:
+def positive_expansion(levels: DataFrame, selected: DataFrame, claim: bool = False,
+                       spec: StepSpec = QA_STEPS) -> DataFrame:
     """Selected paths plus final-level candidates whose answer agrees with
     the best answer (containment either way after removing ``.``; both say
     yes; both say no -- a substring test, quirk Q11; claims: same label key).
     Empty answers never agree (quirk Q12).  Equi-join on the question with the
     agreement as residual; distinct union."""
-    ans = best_answer(selected, claim)
-    fin = levels.where((F.col("step") == final_step) & has("candidate", STEP_FINAL)).select(
-        "question_id", F.col("candidate").alias("cor"), after_first("candidate", STEP_FINAL).alias("pre"))
+    ans = best_answer(selected, claim, spec)
+    fin = levels.where((F.col("step") == spec.n_steps - 1) & has("candidate", spec.final)).select(
+        "question_id", F.col("candidate").alias("cor"), after_first("candidate", spec.final).alias("pre"))
     j = fin.join(ans, "question_id").where(_agree(F.col("pre"), F.col("answer"), claim)).select("question_id", "cor")
     sel = selected.join(ans.select("question_id"), "question_id", "left_semi").select(
         "question_id", F.col("item").alias("cor"))
     return sel.unionByName(j).dropDuplicates(["question_id", "cor"])
 
 
-def split_reasoning_steps(correct: DataFrame, n_thoughts: int = N_THOUGHTS) -> DataFrame:
+def split_reasoning_steps(correct: DataFrame, spec: StepSpec = QA_STEPS) -> DataFrame:
     """P13 + U4: each correct path -> one row per level with the step text
     (``pos``) and the earlier steps joined back (``prefix``); paths need at
-    least ``n_thoughts`` steps and the final phrase in the last one.  Distinct
+    least ``spec.n_steps`` steps and the final phrase in the last one.  Distinct
     on (question, level, pos, prefix) (quirk Q10)."""
     segs = F.slice(F.split(normalize_a(F.col("cor")), "step"), 2, 1 << 20)
     c = correct.select("question_id", segs.alias("segs")).where(
-        (F.size("segs") >= n_thoughts) & has(F.element_at("segs", n_thoughts), FINAL_TAIL))
-    lv = c.select("question_id", "segs", F.explode(F.sequence(F.lit(0), F.lit(n_thoughts - 1))).alias("step"))
+        (F.size("segs") >= spec.n_steps) & has(F.get("segs", spec.n_steps - 1), spec.tail))
+    lv = c.select("question_id", "segs", F.explode(F.sequence(F.lit(0), F.lit(spec.n_steps - 1))).alias("step"))
     pos = strip(F.lower(F.concat(F.lit("step"), F.element_at("segs", F.col("step") + 1))))
     prefix = F.when(F.col("step") == 0, F.lit("")).otherwise(
         strip(F.concat(F.lit("step"), F.array_join(F.slice("segs", 1, F.col("step")), "step"))))
@@ -159,9 +187,9 @@ def _with_remainder(df: DataFrame, choice: str = "norm", prefix: str = "prefix",
     null when it does not extend the prefix.  Each intermediate is its own
     projection (each is read several times), so every split runs once per row."""
     c, p, st = F.col(choice), F.col(prefix), F.col(step)
-    d = df.withColumn("_x1", F.when((st == 1) & has(c, "step 3"), F.split_part(c, F.lit("step 3"), F.lit(1))).otherwise(c))
-    d = d.withColumn("_p3", F.split(F.col("_x1"), "step 3"))
-    d = d.withColumn("_x2", F.when(F.size("_p3") > 2, F.array_join(F.slice("_p3", 1, F.size("_p3") - 1), "step 3"))
+    d = df.withColumn("_x1", F.when((st == 1) & has(c, OVERRUN), F.split_part(c, F.lit(OVERRUN), F.lit(1))).otherwise(c))
+    d = d.withColumn("_p3", F.split(F.col("_x1"), OVERRUN))
+    d = d.withColumn("_x2", F.when(F.size("_p3") > 2, F.array_join(F.slice("_p3", 1, F.size("_p3") - 1), OVERRUN))
                      .otherwise(F.col("_x1")))
     d = d.withColumn("_cut", strip(F.replace(F.col("_x2"), p, F.lit(""))))
     anchored = F.when(F.startswith(strip(F.replace(F.col("_cut"), F.lit("answer: "), F.lit(""))), F.lit("step")),
@@ -203,37 +231,55 @@ def _no_bare_equals(x: Column) -> Column:
     return ~has(x, "=") | any_contains(x, ("-", "+", "/", "*"))
 
 
-def explode_pairs(negs: DataFrame, questions: DataFrame, claim: bool = False, math: bool = False,
-                  template: str | None = None) -> DataFrame:
+def claim_positive(pos: Column, spec: StepSpec = QA_STEPS) -> Column:
+    """A final claim step is rewritten to its label (the last match wins); null, which drops
+    the pair, where no label matches (Q32).  Other steps stay."""
+    lab = claim_label_train(pos, last_wins=True)
+    return F.when(has(pos, spec.final), F.when(lab.isNotNull(), F.concat(F.lit(spec.final), lab, F.lit(".")))).otherwise(pos)
+
+
+def number_given(pos: Column, spec: StepSpec = MATH_STEPS) -> Column:
+    """The last step must hold the answer's marker and a number after it."""
+    after = F.replace(after_first(pos, MATH_MARK), F.lit(","), F.lit(""))
+    return ~has(pos, spec.last) | (has(pos, MATH_MARK) & F.regexp_like(after, F.lit(r"\p{Nd}")))
+
+
+def pair_kept(pos: Column, neg: Column) -> Column:
+    """P17 on the texts that P16 has cleaned, before they are cut at their last stop."""
+    rejected = truncate_to_last_stop(neg)
+    return (_no_bare_equals(pos) & _no_bare_equals(neg) & ~has(pos, BAD_POSITIVE)
+            & truncate_to_last_stop(pos).isNotNull() & rejected.isNotNull() & ~has(rejected, "[tex]"))
+
+
+def with_prompt(negs: DataFrame, questions: DataFrame, prompt: Callable[[Column, Column], Column] = cot_prompt) -> DataFrame:
+    """One row per (positive, negative) with the prompt of its question and earlier steps."""
+    j = negs.join(questions, "question_id")
+    return j.withColumn("prompt", prompt(F.col("question"), F.col("prefix")))
+
+
+def explode_pairs(negs: DataFrame, questions: DataFrame, claim: bool = False, spec: StepSpec = QA_STEPS,
+                  prompt: Callable[[Column, Column], Column] = cot_prompt) -> DataFrame:
     """J6 + P16-P19 + U3: one pair per (positive, negative) with the prompt,
     cleaned and filtered, distinct on (prompt, chosen, rejected)."""
-    j = negs.join(questions, "question_id")
-    j = j.where(F.length("neg") > 3)
-    pos = F.col("pos")
-    if claim:  # P19: the last matching label wins; no match drops the pair (Q32)
-        lab = claim_label_train(pos, last_wins=True)
-        pos = F.when(has(pos, STEP_FINAL), F.when(lab.isNotNull(), F.concat(F.lit(STEP_FINAL), lab, F.lit(".")))).otherwise(pos)
-    j = j.withColumn("chosen_raw", pos).where(F.col("chosen_raw").isNotNull())
-    if math:  # P18
-        after = F.replace(after_first("chosen_raw", MATH_MARK), F.lit(","), F.lit(""))
-        ok = ~has("chosen_raw", "step 4") | (has("chosen_raw", MATH_MARK) & F.regexp_like(after, F.lit(r"\p{Nd}")))
-        j = j.where(ok)
+    j = with_prompt(negs.where(F.length("neg") > 3), questions, prompt)
+    j = j.withColumn("chosen_raw", claim_positive(F.col("pos"), spec) if claim else F.col("pos")).where(F.col("chosen_raw").isNotNull())
+    if spec.number:
+        j = j.where(number_given(F.col("chosen_raw"), spec))
     # A one-row generator evaluates each chain once: filters on its output are
     # not pushed below it, which would copy the chains into every test.
-    j = j.select("question", "prefix", F.inline(F.array(F.struct(
+    j = j.select("prompt", F.inline(F.array(F.struct(
         replace_chain(F.col("chosen_raw"), POS_CLEAN).alias("pre_pos"),
         replace_chain(F.col("neg"), NEG_CLEAN).alias("pre_neg")))))
-    j = j.where(_no_bare_equals(F.col("pre_pos")) & _no_bare_equals(F.col("pre_neg")) & ~has("pre_pos", BAD_POSITIVE))
-    j = j.withColumn("chosen", truncate_to_last_stop("pre_pos")).withColumn("rejected", truncate_to_last_stop("pre_neg"))
-    j = j.where(F.col("chosen").isNotNull() & F.col("rejected").isNotNull() & ~has("rejected", "[tex]"))
-    prompt = cot_prompt(F.col("question"), F.col("prefix"), template)
-    return j.select(prompt.alias("prompt"), "chosen", "rejected").distinct()
+    j = j.where(pair_kept(F.col("pre_pos"), F.col("pre_neg")))
+    return j.select("prompt", truncate_to_last_stop("pre_pos").alias("chosen"),
+                    truncate_to_last_stop("pre_neg").alias("rejected")).distinct()
 
 
 def step_pairs(levels: DataFrame, selected: DataFrame, questions: DataFrame, claim: bool = False,
-               math: bool = False, template: str | None = None) -> DataFrame:
+               spec: StepSpec = QA_STEPS, prompt: Callable[[Column, Column], Column] = cot_prompt) -> DataFrame:
     """Whole pair side of pipeline C."""
-    correct = positive_expansion(levels, selected, claim=claim)
-    positives = split_reasoning_steps(correct)
+    correct = positive_expansion(levels, selected, claim, spec)
+    # Read by the negatives and again by the test against all positives.
+    positives = materialize(split_reasoning_steps(correct, spec), "positives")
     negs = drop_positive_negatives(negatives_by_prefix(positives, levels), positives)
-    return explode_pairs(negs, questions, claim=claim, math=math, template=template)
+    return explode_pairs(negs, questions, claim, spec, prompt)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.score import verdict_value
 from ..functions.text import after_first, any_contains, extract_number_last, has, normalize_answer, replace_chain
-from .ordering import grouped_positions, range_bucket
+from .ordering import grouped_positions, range_bucket, value_bucket
 
 # --- fixed values (must equal the reference's behaviour) -------------------
 FINAL_SENTENCE = "so the final answer is: "
@@ -76,11 +76,12 @@ def select_greedy_ties(cands: DataFrame, n: int = DEFAULT_KEEP, value: str = "sc
 def rank_candidates(cands: DataFrame, value: str = "score") -> DataFrame:
     """Every candidate with its rank by value (ties broken by path).
 
-    Positions come from per-group bucketed prefix counts (bucket = value, then
-    a path range), so one large question is not sorted in a single task."""
-    pb = range_bucket(cands, "path_id")
+    Positions come from per-group bucketed prefix counts.  Buckets are cut by the quantiles of the
+    value; one that holds a single value, which many candidates may share, is cut further by the
+    path, so one large question is not sorted in a single task."""
+    vb, alone = value_bucket(cands, value)
     r = grouped_positions(cands, ["question_id", "step"], [F.col(value).desc(), F.col("path_id")],
-                          [-F.col(value), pb])
+                          [-vb, F.when(alone, range_bucket(cands, "path_id")).otherwise(0)])
     return r.withColumn("rank", F.col("pos") + 1).drop("pos")
 
 

@@ -67,6 +67,23 @@ FX["trace"] = """
   SELECT d, 2, j0 * 100 + j1 * 10 + j2, y, (d * 7 + j0 + j1 * 5 + j2 * 2) % 6 FROM l2
 """
 
+FX["math_trace"] = """
+  WITH n AS (SELECT 0 AS j UNION ALL SELECT 1),
+  l0 AS (SELECT p_partkey AS d, j AS path, p_size + j + 1 AS v,
+                'step 1, take ' || p_size || ' + ' || (j + 1) || ' = ' || (p_size + j + 1) || '.' AS y FROM part CROSS JOIN n),
+  l1 AS (SELECT d, path * 2 + j AS path, v * (j + 1) AS v,
+                y || ' step 2, take ' || v || ' * ' || (j + 1) || ' = ' || (v * (j + 1)) || '.' AS y FROM l0 CROSS JOIN n),
+  l2 AS (SELECT d, path * 2 + j AS path, v - (j + 1) AS v,
+                y || ' step 3, take ' || v || ' - ' || (j + 1) || ' = ' || (v - (j + 1)) || '.' AS y FROM l1 CROSS JOIN n),
+  l3 AS (SELECT d, path * 2 + j AS path, v,
+                y || ' step 4, the answer (arabic numerals) is ' || CASE WHEN (d + path + j) % 5 = 0 THEN 'unknown'
+                     WHEN j = 1 THEN '1,' || v ELSE CAST(v AS VARCHAR) END || '.' AS y FROM l2 CROSS JOIN n)
+  SELECT d AS question_id, 0 AS step, path AS path_id, y AS candidate, (d * 3 + path * 5) % 6 AS score FROM l0
+  UNION ALL SELECT d, 1, path, y, (d * 3 + path * 5 + 1) % 6 FROM l1
+  UNION ALL SELECT d, 2, path, y, (d * 3 + path * 5 + 2) % 6 FROM l2
+  UNION ALL SELECT d, 3, path, y, (d * 3 + path * 5 + 3) % 6 FROM l3
+"""
+
 FX["verdict"] = """
   SELECT c.doc_id AS question_id, e.e AS eval_id,
          CASE WHEN (c.doc_id * 3 + e.e) % 6 = 0 THEN 'The thought helps.' || chr(10) || 'Likely'

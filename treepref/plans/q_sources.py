@@ -44,8 +44,7 @@ def sink_columnar(spark, d):
 """, "pref_eval", extra={"results": RESULTS_SQL}))
 def sink_eval_report(spark, d):
     res = E.preference_results(FX.pref_eval(spark, d))
-    rep = E.preference_accuracy(res)
-    path = SK.sink_eval_report(res, rep, scratch_path(spark, "eval-report"))
+    path = SK.sink_eval_report(res, E.preference_metrics(), scratch_path(spark, "eval-report"))
     report = spark.read.schema("n bigint, n_correct bigint, accuracy double, results_path string").json(f"{path}/report")
     n_res = spark.read.parquet(f"{path}/results").select(F.count("*").cast("bigint").alias("n_results"))
     return report.select("n", "n_correct", r6("accuracy").alias("accuracy"), n_res.scalar().alias("n_results"))

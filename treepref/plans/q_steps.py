@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import steps as ST
 from ..operators import trace as TR
-from ..operators.prompts import COT_TEMPLATE
+from ..functions.text import replace_chain
+from ..operators.prompts import COT_TEMPLATE, worked_prompt
 from ..session import materialize, table
 from ..sources import fixtures as FX
 from .oracle_fixtures import strip, with_fx
@@ -14,6 +15,10 @@ from .q_trace import line_join_sql, norm_sql
 from .registry import register
 
 FINAL = "so the final answer is: "
+STEP_FINAL = "step 3, so the final answer is: "
+MATH_FINAL = "step 4, the answer (arabic numerals) is "
+MATH_MARK = "(arabic numerals) is "
+BAD_POSITIVE = "841 34."
 
 
 def q(s: str) -> str:
@@ -63,10 +68,10 @@ SEL_SQL = f"""
 QS_SQL = "SELECT doc_id AS question_id, 'Question ' || CAST(doc_id AS VARCHAR) AS question FROM documents"
 
 ANS_SQL = f"""
-  SELECT question_id, split_part(best, {q(ST.STEP_FINAL)}, 2) AS answer FROM (
+  SELECT question_id, split_part(best, {q(STEP_FINAL)}, 2) AS answer FROM (
     SELECT question_id, item AS best FROM (
       SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY value DESC, item) AS rn FROM sel) WHERE rn = 1)
-  WHERE contains(best, {q(ST.STEP_FINAL)})
+  WHERE contains(best, {q(STEP_FINAL)})
 """
 
 COR_SQL = f"""
@@ -74,7 +79,7 @@ COR_SQL = f"""
     SELECT s.question_id, s.item AS cor FROM sel s WHERE s.question_id IN (SELECT question_id FROM ans)
     UNION ALL
     SELECT l.question_id, l.candidate FROM lv l JOIN ans a USING (question_id)
-    WHERE l.step = 2 AND contains(l.candidate, {q(ST.STEP_FINAL)})
+    WHERE l.step = 2 AND contains(l.candidate, {q(STEP_FINAL)})
       AND ((p2 <> '' AND a2 <> '' AND (contains(p2, a2) OR contains(a2, p2)))
            OR (contains(lower(pre), 'yes') AND contains(lower(a.answer), 'yes'))
            OR (contains(lower(pre), 'no') AND contains(lower(a.answer), 'no'))))
@@ -83,7 +88,7 @@ COR_SQL = f"""
 COR_SQL = COR_SQL.replace(
     "SELECT l.question_id, l.candidate FROM lv l JOIN ans a USING (question_id)",
     "SELECT l.question_id, l.candidate FROM (SELECT lv.*, split_part(candidate, "
-    + q(ST.STEP_FINAL) + ", 2) AS pre, " + strip("replace(split_part(candidate, " + q(ST.STEP_FINAL) + ", 2), '.', '')")
+    + q(STEP_FINAL) + ", 2) AS pre, " + strip("replace(split_part(candidate, " + q(STEP_FINAL) + ", 2), '.', '')")
     + " AS p2 FROM lv) l JOIN (SELECT ans.*, " + strip("replace(answer, '.', '')") + " AS a2 FROM ans) a USING (question_id)")
 
 POS_SQL = f"""
@@ -95,6 +100,8 @@ POS_SQL = f"""
         WHERE len(segs) >= 3 AND contains(segs[3], {q(FINAL)}))
 """
 
+CHAIN_A_SQL = chain_sql("cor", ST.CHAIN_A)
+WORKED = "Q: What is 1 + 1?\nA: Step 1, 1 + 1 = 2. Step 2, nothing is left. Step 3, so 2. Step 4, The answer (arabic numerals) is 2.\n"
 NORM_B = chain_sql("candidate", ST.CHAIN_B)
 NORM_C = chain_sql("candidate", ST.CHAIN_C)
 X1 = "CASE WHEN step = 1 AND contains(norm, 'step 3') THEN split_part(norm, 'step 3', 1) ELSE norm END"
@@ -133,7 +140,7 @@ PAIRS_SQL = f"""
     SELECT question_id, prefix, pp, pn, {trunc_sql('pp')} AS chosen, {trunc_sql('pn')} AS rejected FROM (
       SELECT question_id, prefix, {PRE_POS} AS pp, {PRE_NEG} AS pn FROM negd WHERE length(neg) > 3)) x
   JOIN qs USING (question_id)
-  WHERE {bare_eq('pp')} AND {bare_eq('pn')} AND NOT contains(pp, {q(ST.BAD_POSITIVE)})
+  WHERE {bare_eq('pp')} AND {bare_eq('pn')} AND NOT contains(pp, {q(BAD_POSITIVE)})
     AND chosen IS NOT NULL AND rejected IS NOT NULL AND NOT contains(rejected, '[tex]')
 """
 
@@ -213,9 +220,7 @@ def drop_positive_negatives(spark, d):
 """, "trace", **CHAIN))
 def explode_pairs(spark, d):
     negd = _chain(spark, d)[5]
-    from ..operators.prompts import cot_prompt
-    j = negd.join(_questions(spark, d), "question_id")
-    return j.select(cot_prompt(F.col("question"), F.col("prefix")).alias("prompt"), "pos", "neg").distinct()
+    return ST.with_prompt(negd, _questions(spark, d)).select("prompt", "pos", "neg").distinct()
 
 
 @register("distinct_pairs", with_fx("SELECT prompt, chosen, rejected FROM pairs", "trace",
@@ -257,18 +262,14 @@ def clean_pair_text(spark, d):
 
 @register("pair_quality_filter", f"""
   SELECT doc_id, CAST(CASE WHEN length(text) > 3 AND {bare_eq(PRE_POS.replace('pos', 'text'))}
-                           AND NOT contains({PRE_POS.replace('pos', 'text')}, {q(ST.BAD_POSITIVE)})
+                           AND NOT contains({PRE_POS.replace('pos', 'text')}, {q(BAD_POSITIVE)})
                            AND {trunc_sql(PRE_NEG.replace('neg', 'text'))} IS NOT NULL
                            AND NOT contains({trunc_sql(PRE_NEG.replace('neg', 'text'))}, '[tex]') THEN 1 ELSE 0 END AS BIGINT) AS keep
   FROM documents
 """)
 def pair_quality_filter(spark, d):
-    from ..functions.text import any_contains, has, replace_chain, truncate_to_last_stop
     t = F.col("text")
-    pp = replace_chain(t, ST.POS_CLEAN)
-    pn = truncate_to_last_stop(replace_chain(t, ST.NEG_CLEAN))
-    ok = ((F.length(t) > 3) & (~has(pp, "=") | any_contains(pp, ("-", "+", "/", "*"))) & ~has(pp, ST.BAD_POSITIVE)
-          & pn.isNotNull() & ~has(pn, "[tex]"))
+    ok = (F.length(t) > 3) & ST.pair_kept(replace_chain(t, ST.POS_CLEAN), replace_chain(t, ST.NEG_CLEAN))
     return table(spark, d, "documents").select("doc_id", F.when(ok, 1).otherwise(0).cast("bigint").alias("keep"))
 
 
@@ -302,7 +303,7 @@ def claim_label_vote(spark, d):
 
 
 @register("claim_pos_rewrite", with_fx(f"""
-  SELECT doc_id, {q(ST.STEP_FINAL)} || label || '.' AS chosen FROM (
+  SELECT doc_id, {q(STEP_FINAL)} || label || '.' AS chosen FROM (
     SELECT doc_id, CASE WHEN contains(p, 'not enough') OR contains(p, 'no enough') THEN 'not enough information'
                         WHEN contains(p, 'refu') OR contains(p, 'reject') THEN 'refutes'
                         WHEN contains(p, 'suport') OR contains(p, 'support') THEN 'supports' END AS label
@@ -310,21 +311,42 @@ def claim_label_vote(spark, d):
   WHERE label IS NOT NULL
 """, "fact_pred"))
 def claim_pos_rewrite(spark, d):
-    p = F.concat(F.lit("step 3, "), F.col("prediction"))
-    lab = ST.claim_label_train(p, last_wins=True)
-    f = FX.fact_pred(spark, d).select("doc_id", F.when(lab.isNotNull(), F.concat(F.lit(ST.STEP_FINAL), lab, F.lit("."))).alias("chosen"))
+    f = FX.fact_pred(spark, d).select("doc_id", ST.claim_positive(F.concat(F.lit("step 3, "), F.col("prediction"))).alias("chosen"))
     return f.where(F.col("chosen").isNotNull())
 
 
 @register("math_step_filter", with_fx(f"""
   SELECT l_orderkey, l_linenumber, CAST(CASE WHEN NOT contains(pos, 'step 4') THEN 1
-       WHEN contains(pos, {q(ST.MATH_MARK)}) AND regexp_matches(replace(split_part(pos, {q(ST.MATH_MARK)}, 2), ',', ''), '\\p{{Nd}}') THEN 1
+       WHEN contains(pos, {q(MATH_MARK)}) AND regexp_matches(replace(split_part(pos, {q(MATH_MARK)}, 2), ',', ''), '\\p{{Nd}}') THEN 1
        ELSE 0 END AS BIGINT) AS keep
   FROM (SELECT l_orderkey, l_linenumber, 'step 4, ' || lower(split_part(prediction, ', ', 2)) AS pos FROM math_raw)
 """, "math_raw"))
 def math_step_filter(spark, d):
-    from ..functions.text import after_first, has
     pos = F.concat(F.lit("step 4, "), F.lower(F.split_part("prediction", F.lit(", "), F.lit(2))))
-    after = F.replace(after_first(pos, ST.MATH_MARK), F.lit(","), F.lit(""))
-    ok = ~has(pos, "step 4") | (has(pos, ST.MATH_MARK) & F.regexp_like(after, F.lit(r"\p{Nd}")))
-    return FX.math_raw(spark, d).select("l_orderkey", "l_linenumber", F.when(ok, 1).otherwise(0).cast("bigint").alias("keep"))
+    return FX.math_raw(spark, d).select("l_orderkey", "l_linenumber",
+                                        F.when(ST.number_given(pos), 1).otherwise(0).cast("bigint").alias("keep"))
+
+
+# The four-step form of a math task --------------------------------------------
+def _math_sql() -> dict[str, str]:
+    """The chain above with four steps, its own final phrase and no search."""
+    sel = (SEL_SQL.replace(FINAL, "answer (arabic numerals) is ").replace("step = 2", "step = 3")
+           .replace("HAVING sum(value) > 0", "HAVING sum(value) > 0 AND regexp_matches(answer, '[0-9]')"))
+    pos = (POS_SQL.replace("range(0, 3)", "range(0, 4)").replace("len(segs) >= 3", "len(segs) >= 4").replace("segs[3]", "segs[4]")
+           .replace(FINAL, "the answer (arabic numerals) is ").replace(CHAIN_A_SQL.replace(FINAL, "the answer (arabic numerals) is "), CHAIN_A_SQL))
+    cor = COR_SQL.replace(STEP_FINAL, MATH_FINAL).replace("l.step = 2", "l.step = 3")
+    number = (f"(NOT contains(pos, 'step 4') OR (contains(pos, {q(MATH_MARK)}) AND regexp_matches("
+              f"replace(split_part(pos, {q(MATH_MARK)}, 2), ',', ''), '[0-9]')))")
+    pairs = PAIRS_SQL.replace("FROM negd WHERE", f"FROM negd WHERE {number} AND").replace(
+        f"replace({q(COT_TEMPLATE)}, '{{input}}', qs.question) || prefix", f"{q(WORKED)} || 'Q: ' || qs.question || chr(10) || 'A: ' || prefix")
+    return {"lv": "SELECT * FROM math_trace", "sel": sel, "qs": "SELECT p_partkey AS question_id, p_name AS question FROM part",
+            "ans": ANS_SQL.replace(STEP_FINAL, MATH_FINAL), "cor": cor, "pos": pos, "neg": NEG_SQL, "negd": NEGD_SQL, "pairs": pairs}
+
+
+@register("math_step_pairs", with_fx("SELECT prompt, chosen, rejected FROM pairs", "math_trace", extra=_math_sql()))
+def math_step_pairs(spark, d):
+    lv = materialize(FX.math_trace(spark, d))
+    final = lv.where(F.col("step") == ST.MATH_STEPS.n_steps - 1).withColumnRenamed("score", "value")
+    sel = TR.answer_vote_value(final, final_sentence=TR.MATH_FINAL_SENTENCE, math=True).select("question_id", "item", "value")
+    qs = table(spark, d, "part").select(F.col("p_partkey").alias("question_id"), F.col("p_name").alias("question"))
+    return ST.step_pairs(lv, sel, qs, spec=ST.MATH_STEPS, prompt=worked_prompt(WORKED))

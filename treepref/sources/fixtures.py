@@ -124,6 +124,31 @@ def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("doc_id").alias("question_id"), "eval_id", out.alias("output"))
 
 
+def math_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-step candidates of a sum about every part, 2 + 4 + 8 + 16 per question; one final step in five
+    names no number."""
+    size = F.col("p_size").cast("int")
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("d"), size.alias("v"), F.lit(0).alias("path"), F.lit("").alias("y"))
+    out = None
+    for step in range(4):
+        rows = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("j"))
+        v, k = F.col("v").cast("string"), F.col("j") + 1
+        if step < 3:
+            op, nxt = ((" + ", F.col("v") + k), (" * ", F.col("v") * k), (" - ", F.col("v") - k))[step]
+            text = F.concat(F.lit(f"step {step + 1}, take "), v, F.lit(op), k.cast("string"), F.lit(" = "), nxt.cast("string"), F.lit("."))
+        else:
+            nxt = F.col("v")
+            none = (F.col("d") + F.col("path") + F.col("j")) % 5 == 0
+            text = F.concat(F.lit("step 4, the answer (arabic numerals) is "), F.when(none, F.lit("unknown")).otherwise(
+                F.concat(F.when(F.col("j") == 1, F.lit("1,")).otherwise(F.lit("")), v)), F.lit("."))
+        y = F.when(F.col("y") == "", text).otherwise(F.concat(F.col("y"), F.lit(" "), text))
+        rows = rows.select("d", nxt.alias("v"), (F.col("path") * 2 + F.col("j")).alias("path"), y.alias("y"))
+        level = rows.select(F.col("d").alias("question_id"), F.lit(step).alias("step"), F.col("path").alias("path_id"),
+                            F.col("y").alias("candidate"), ((F.col("d") * 3 + F.col("path") * 5 + step) % 6).alias("score"))
+        out = level if out is None else out.unionByName(level)
+    return out
+
+
 def path_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B4 for each candidate of B3: one to five judge outputs of the question."""
     t = trace(spark, sf_dir).select("question_id", "step", "path_id")

@@ -114,7 +114,7 @@ def scan_run_log(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
     # one bucket per input split, ordered by (file, block start); the number of
     # splits grows with the data, so the offsets are joined without a broadcast hint
-    pos = global_positions(raw, ["_m"], F.struct("_f", "_b"), bounded=False)
+    pos = global_positions(raw, ["_m"], F.struct("_f", "_b"))
     return pos.select(F.col("pos").alias("line_no"), "line", F.col("_f").alias("file"))
 
 

@@ -3,7 +3,9 @@ executors; nothing is gathered on the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 
@@ -23,13 +25,19 @@ def sink_columnar(df: DataFrame, path: str) -> str:
     return path
 
 
-def sink_eval_report(results: DataFrame, report: DataFrame, path: str) -> str:
-    """Result rows as a parquet table and the one-row report (accuracy,
-    counts, where the results are) as JSON next to it.  Results are never
-    folded into the report row."""
-    res_path = f"{path}/results"
-    results.write.mode("overwrite").parquet(res_path)
-    report.withColumn("results_path", F.lit(res_path)).coalesce(1).write.mode("overwrite").json(f"{path}/report")
+def sink_eval_report(results: DataFrame, metrics: Sequence[Column], path: str, correct: str = "n_correct",
+                     total: str = "n") -> str:
+    """Result rows as a parquet table and the one-row report (counts,
+    accuracy, where the results are) as JSON next to it.
+
+    The counts (``evaluate.preference_metrics`` or ``error_metrics``) are observed while the
+    results are written, so every row is read and scored once.  Results are never folded into the
+    report row."""
+    res_path, seen = f"{path}/results", Observation()
+    results.observe(seen, *metrics).write.mode("overwrite").parquet(res_path)
+    row = {k: v or 0 for k, v in seen.get.items()}
+    row |= {"accuracy": row[correct] / row[total] if row[total] else 0.0, "results_path": res_path}
+    results.sparkSession.createDataFrame([Row(**row)]).coalesce(1).write.mode("overwrite").json(f"{path}/report")
     return path
 
 
