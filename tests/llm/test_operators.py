@@ -115,6 +115,25 @@ def test_nnpu_learns_marker_words_without_negatives():
     assert got[0:200:2].all() and not got[1:200:2].any() and not got[200]
 
 
+def test_op2_learns_and_scores_beyond_the_beginning_of_a_text(spark):
+    r = np.random.default_rng(3)
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(500)]
+    rows, marks = [], []
+    for k in range(600):
+        bad = k % 5 == 0
+        rows.append((k, " ".join([*r.choice(words, 6000 if k % 3 == 0 else 80), *(["vile", "awful", "dreadful"] if bad else [])])))
+        marks.append((k, int(bad)))
+    marks += [(0, 0), (0, 1), (None, 1)]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    fold = F.col("id") % 7 != 0
+    for least_z in (toxicity.LEAST_Z, None):
+        got = {x["doc_id"]: x["score"] for x in toxicity.score(df, toxicity.train(df, labels, training=fold, least_z=least_z)).collect()}
+        held = [k for k in got if k % 7 == 0]
+        caught = [got[k] >= 0.5 for k in held if k % 5 == 0]
+        clean = [got[k] < 0.5 for k in held if k % 5]
+        assert np.mean(caught) >= (1 if least_z else 0.9) and np.mean(clean) >= 0.95
+
+
 def test_op2_odd_rows_empty_table_no_positives(spark, odd, none):
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 0)], "doc_id long, toxic int")
     for df, n in ((odd, 13), (none, 0)):

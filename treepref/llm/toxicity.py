@@ -11,12 +11,14 @@ Two numpy classifiers are trained on it, one on words and one on word
 beginnings (which finds inflected forms), and their logits are averaged.
 
 Features are hashed; the value of a feature is the logarithm of one plus its
-count.  Only features that toxic texts hold far more often than the rest are
-learnt, so that rare words of the training texts are not; the text's length is a
-feature too.  Training uses at most ``POSITIVES`` toxic and ``UNLABELLED`` other
-texts, those whose id hashes lowest; the bounds concern the fit alone and every
-row is scored over its whole text.  Only the weights (at most ``2**BITS`` for
-each classifier) travel to the tasks.
+count; the text's length is a feature too.  Training uses at most ``POSITIVES`` toxic
+and ``UNLABELLED`` other texts, those whose id hashes lowest, each of them whole, as
+every text is scored whole.  The texts stay with the tasks: these first count, for
+each feature, the texts that hold it, and then send the values of the features that
+are learnt.  With ``least_z`` (an option) those are the features that toxic texts hold
+more often than the rest by so many standard deviations; without it all that
+``LEAST_TEXTS`` toxic texts hold.  Only the weights (at most ``2**BITS`` for each
+classifier) travel to the tasks that score.
 
 Defined results: a null or empty text has no features and gets the score of the
 bias alone; repeated rows get equal scores; without any toxic training row every
@@ -33,12 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treepref.llm import textkernel as K
+from treepref.session import drop_path, materialize, scratch_path
 
+#: (weights, weight of the length, bias) of each classifier.
+Model = list[tuple[np.ndarray, float, float]]
 BITS = 18
 POSITIVES = 2000
 UNLABELLED = 6000
-#: Longest text (in bytes) that the fit reads; scoring has no such bound.
-FIT_BYTES = 16_384
 STEPS = 200
 RATE = 0.1
 DECAY = 2e-4
@@ -89,23 +92,21 @@ def features(buf: np.ndarray, offs: np.ndarray, wanted: tuple[np.ndarray, np.nda
     return out
 
 
-def evidence(rows: np.ndarray, idx: np.ndarray, positive: np.ndarray) -> np.ndarray:
-    """Features that toxic texts hold more often than the others, far beyond chance."""
-    pos = positive.astype(bool)
-    n_pos = pos.sum()
-    a = np.bincount(idx[pos[rows]], minlength=1 << BITS)
-    e = (np.bincount(idx[~pos[rows]], minlength=1 << BITS) + 0.5) / ((~pos).sum() + 1)
-    z = (a - n_pos * e) / np.sqrt(n_pos * e * (1 - np.minimum(e, 1)) + 0.5)
-    return np.flatnonzero((a >= LEAST_TEXTS) & (z >= LEAST_Z))
+def evidence(pos: np.ndarray, others: np.ndarray, n_pos: int, n_others: int, least_z: float | None) -> np.ndarray:
+    """Features to learn, from the numbers of toxic and of other texts that hold each."""
+    ok = pos >= LEAST_TEXTS
+    if least_z is not None:
+        e = (others + 0.5) / (n_others + 1)
+        ok &= (pos - n_pos * e) / np.sqrt(n_pos * e * (1 - np.minimum(e, 1)) + 0.5) >= least_z
+    return np.flatnonzero(ok)
 
 
 def fit_view(rows: np.ndarray, idx: np.ndarray, value: np.ndarray, length: np.ndarray, positive: np.ndarray,
-             prior: float) -> tuple[np.ndarray, float, float]:
-    """(weights, weight of the length, bias) of a linear classifier by the non-negative risk."""
+             prior: float, known: np.ndarray) -> tuple[np.ndarray, float, float]:
+    """(weights, weight of the length, bias) of a linear classifier of the known features by the non-negative risk."""
     n, pos = len(positive), positive.astype(bool)
     if not pos.any() or pos.all():
         return np.zeros(1 << BITS, np.float32), 0.0, float(np.log(prior / (1 - prior)))
-    known = evidence(rows, idx, positive)
     place = np.full(1 << BITS, -1, np.int64)
     place[known] = np.arange(len(known))
     use = place[idx] >= 0
@@ -133,31 +134,74 @@ def fit_view(rows: np.ndarray, idx: np.ndarray, value: np.ndarray, length: np.nd
     return out, float(w[-2]), float(w[-1])
 
 
-Model = list[tuple[np.ndarray, float, float]]
-
-
 def _length(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.log1p(np.diff(offs)) - LENGTH
 
 
-def fit(positives: list[str], others: list[str], prior: float) -> Model:
-    """The two classifiers.  Features that too few positives hold are never gathered from the others."""
-    got: list[list] = [[], []]
-    length, wanted, done = [np.zeros(0)], None, 0
-    for texts in (positives, others):
-        for i, _, buf, offs in K.chunks(pa.array(texts, pa.large_string())):
-            length.append(_length(buf, offs))
-            for view, (d, f, x) in enumerate(features(buf, offs, wanted)):
-                got[view].append((d + (done + i), f.astype(np.int32), x))
-        done += len(texts)
-        if wanted is None:
-            wanted = tuple(np.bincount(np.concatenate([np.zeros(0, np.int32), *[f for _, f, _ in parts]]),
-                                       minlength=1 << BITS) >= LEAST_TEXTS for parts in got)
-            got = [[(d[m], f[m], x[m]) for d, f, x in parts if (m := w[f]) is not None] for parts, w in zip(got, wanted)]
-    positive = np.arange(done) < len(positives)
-    empty = (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32))
-    return [fit_view(*(np.concatenate([p[k] for p in [empty, *parts]]) for k in range(3)), np.concatenate(length),
-                     positive, prior) for parts in got]
+def _batch(positives: list[str], others: list[str]) -> pa.RecordBatch:
+    texts = pa.array([*positives, *others], pa.large_string())
+    return pa.RecordBatch.from_arrays([texts, pa.array(np.arange(len(texts)) < len(positives))], ["text", "positive"])
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(view, feature, toxic texts, other texts) for the features of a task's texts; feature -1 counts the texts."""
+    n = np.zeros((2, 2, (1 << BITS) + 1), np.int64)  # view, toxic or not
+    for b in batches:
+        mark = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        for i, j, buf, offs in K.chunks(b.column(0)):
+            toxic = mark[i:j]
+            n[:, 0, -1] += int(toxic.sum())
+            n[:, 1, -1] += int((~toxic).sum())
+            for view, (d, f, _) in enumerate(features(buf, offs)):
+                for kind, m in enumerate((toxic[d], ~toxic[d])):
+                    n[view, kind, :-1] += np.bincount(f[m], minlength=1 << BITS)
+    for view in range(2):
+        at = np.flatnonzero(n[view].any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), view, np.int32)), pa.array(np.where(at == 1 << BITS, -1, at).astype(np.int32)),
+             pa.array(n[view, 0, at]), pa.array(n[view, 1, at])], ["view", "feature", "pos", "others"])
+
+
+def _values(known: list[np.ndarray]):
+    """(positive, length, features and values for each classifier) of every text, known features only."""
+    wanted = [np.zeros(1 << BITS, bool) for _ in known]
+    for w, k in zip(wanted, known):
+        w[k] = True
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, buf, offs in K.chunks(b.column(0)):
+                lists = []
+                for d, f, x in features(buf, offs, tuple(wanted)):
+                    ends = np.searchsorted(d, np.arange(j - i + 1)).astype(np.int32)
+                    lists += [pa.ListArray.from_arrays(ends, pa.array(y)) for y in (f.astype(np.int32), x)]
+                yield pa.RecordBatch.from_arrays([b.column(1).slice(i, j - i), pa.array(_length(buf, offs)), *lists],
+                                                 ["positive", "length", "f0", "x0", "f1", "x1"])
+    return rows
+
+
+def _known(counts: list[tuple[int, int, int, int]], least_z: float | None) -> list[np.ndarray]:
+    n = np.zeros((2, 2, (1 << BITS) + 1), np.int64)
+    for view, feature, pos, others in counts:
+        n[view, :, feature] += (pos, others)
+    return [evidence(n[v, 0, :-1], n[v, 1, :-1], n[v, 0, -1], n[v, 1, -1], least_z) for v in range(2)]
+
+
+def _fit(positive: np.ndarray, length: np.ndarray, lists: list[tuple[list, list]], known: list[np.ndarray], prior: float) -> Model:
+    out = []
+    for (f, x), k in zip(lists, known):
+        rows = np.repeat(np.arange(len(f)), [len(a) for a in f])
+        flat = [np.concatenate([np.zeros(0, t), *[np.asarray(a, t) for a in y]]) for y, t in ((f, np.int64), (x, np.float32))]
+        out.append(fit_view(rows, *flat, length, positive, prior, k))
+    return out
+
+
+def fit(positives: list[str], others: list[str], prior: float, least_z: float | None = LEAST_Z) -> Model:
+    """The two classifiers from texts at hand."""
+    batch = _batch(positives, others)
+    known = _known([tuple(r.values()) for b in _held(iter([batch])) for r in b.to_pylist()], least_z)
+    got = pa.Table.from_batches(list(_values(known)(iter([batch])))).to_pydict()
+    return _fit(np.array(got["positive"]), np.array(got["length"]), [(got["f0"], got["x0"]), (got["f1"], got["x1"])], known, prior)
 
 
 def logits(buf: np.ndarray, offs: np.ndarray, model: Model, wanted: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -168,27 +212,35 @@ def logits(buf: np.ndarray, offs: np.ndarray, model: Model, wanted: tuple[np.nda
 
 
 def train(df: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic",
-          training: Column | None = None) -> Model:
+          training: Column | None = None, least_z: float | None = LEAST_Z) -> Model:
     """The model from rows of ``labels`` marked 1 and the other texts, both among the ``training`` rows."""
-    docs = df.select(F.col(id).alias("id"), F.substring(F.coalesce(text, F.lit("")), 1, FIT_BYTES).alias("text"))
+    spark = df.sparkSession
+    docs = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     marks = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).where("label is not null")
     if training is not None:
         rule = F.expr("id is not null")  # ids are compared by the caller's rule on a column named id
         docs, marks = docs.where(rule & training), marks.where(rule & training)
     share = marks.agg(F.avg("label"), F.sum("label")).first()
+    prior = min(max(float(share[0] or 0), 1e-3), 0.5)
     if not share[1]:
-        prior = min(max(float(share[0] or 0), 1e-3), 0.5)
         return [(np.zeros(1 << BITS, np.float32), 0.0, float(np.log(prior / (1 - prior))))] * 2
-    prior = min(max(float(share[0]), 1e-3), 0.5)
     lowest = F.xxhash64("id")
     toxic = marks.where("label = 1").select("id").distinct()
     some = toxic.orderBy(lowest).limit(POSITIVES)
-    pos = docs.join(some, "id", "left_semi").select("text").limit(2 * POSITIVES)
+    pos = docs.join(some, "id", "left_semi").limit(2 * POSITIVES)
     # Unlabelled: a sample of all texts, of which about the prior's share is toxic too.
-    un = docs.join(docs.select("id").distinct().orderBy(lowest, "id").limit(UNLABELLED), "id", "left_semi").select(
-        "text").limit(2 * UNLABELLED)
-    p, u = [r["text"] for r in pos.collect()], [r["text"] for r in un.collect()]
-    return fit(p, u, prior)
+    un = docs.join(docs.select("id").distinct().orderBy(lowest, "id").limit(UNLABELLED), "id", "left_semi").limit(2 * UNLABELLED)
+    path = scratch_path(spark, "sample")
+    texts = materialize(pos.select("text", F.lit(True).alias("positive")).unionByName(
+        un.select("text", F.lit(False).alias("positive"))), path=path)
+    held = texts.mapInArrow(_held, "view int, feature int, pos long, others long").groupBy("view", "feature").agg(
+        F.sum("pos").alias("pos"), F.sum("others").alias("others"))
+    # A row for each feature that is learnt, 2**BITS for each classifier at most.
+    known = _known([tuple(r) for r in held.where((F.col("pos") >= LEAST_TEXTS) | (F.col("feature") < 0)).collect()], least_z)
+    got = texts.mapInArrow(_values(known), "positive boolean, length double, f0 array<int>, x0 array<float>, "
+                                           "f1 array<int>, x1 array<float>").toArrow().to_pydict()
+    drop_path(spark, path)
+    return _fit(np.array(got["positive"], bool), np.array(got["length"]), [(got["f0"], got["x0"]), (got["f1"], got["x1"])], known, prior)
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
