@@ -463,6 +463,26 @@ def test_op10_archive_round_trip(spark):
     assert warc.read_warcs(spark, empty).count() == 0
 
 
+def test_op10_repeated_rows_and_null_ids_give_one_record_each(spark):
+    data = [(1, "a"), (1, "a"), (2, "a"), (5, "b"), (5, "b"), (5, "b"), (5, "c"), (None, "a"), (None, "z"), (None, "z"), (7, None), (None, None)]
+    df = spark.createDataFrame([(p, "http://h/", h) for p, h in data], "page_id long, url string, html string").repartition(4)
+    folder = scratch_path(spark, "t")
+    warc.write_warcs(df, folder)
+    got = warc.read_warcs(spark, folder).collect()
+    name = lambda h: base64.b32encode(hashlib.sha1((h or "").encode()).digest()).decode()
+    want = Counter({(1, name("a"), "revisit", 2): 2, (2, name("a"), "response", None): 1, (5, name("b"), "response", None): 1,
+                    (5, name("b"), "revisit", 5): 2, (5, name("c"), "response", None): 1, (None, name("a"), "revisit", 2): 1,
+                    (None, name("z"), "response", None): 2, (7, name(""), "response", None): 1, (None, name(""), "revisit", 7): 1})
+    assert Counter((r.page_id, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+
+
+def test_op10_shuffles_the_pages_once(spark):
+    df = spark.createDataFrame([(1, "u", "h")], "page long, url string, html string")
+    plan = warc._with_roles(df, 0, 5)._jdf.queryExecution().executedPlan().toString()
+    wide = [x for x in plan.splitlines() if "Exchange" in x and "REPARTITION_BY_NUM" in x]
+    assert len(wide) == 1 and "REPARTITION_BY_NUM" in plan
+
+
 def test_op10_files_begin_with_the_dictionary():
     import zstandard
     samples = [warc.record(k, "http://h/", b"<p>some text here</p>" * 30, "D" * 32, None) for k in range(300)]

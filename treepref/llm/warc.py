@@ -9,11 +9,15 @@ offset.  Equal payloads are stored once: the record with the largest id is the
 response, the others are revisit records that name it.
 
 Payloads meet by their SHA-1: copies are counted by a partial aggregate before
-the shuffle, and only (id, digest) rows take part.
-
-Defined results: a null payload is an empty one; a null url is written as
-``urn:x-none``; an empty table writes nothing and reads as no rows.  Ids must be
-unique and not null, as they name the records.
+the shuffle, and only (id, digest) rows take part.  The pages are shuffled once, by
+(id, digest).
+
+Defined results: one record for every row.  A null payload is an empty one; a null
+url is written as ``urn:x-none``; a record with a null id has no page header and
+reads as a null id.  Of rows with equal id and payload one is the response, if no larger
+id has that payload, and the others revisit it.  Rows with a null id revisit the
+largest id that has their payload; where none has one, they are all responses.  An
+empty table writes nothing and reads as no rows.
 """
 
 from __future__ import annotations
@@ -44,15 +48,16 @@ DATE = "2024-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_id(page: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}')}>"
+def record_id(page: int | None, digest: str, copy: int = 0) -> str:
+    """Name of the record of a page's payload; ``copy`` counts rows that repeat."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}:{digest}:{copy}')}>"
 
 
 def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, copy: int = 0) -> bytes:
     """A response record, or a revisit record that keeps the HTTP head only."""
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
             ).encode()
@@ -60,11 +65,11 @@ def record(page: int, url: str | None, payload: bytes, digest: str, refers_to: i
     # A url may hold line ends; a header may not.
     target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url) if url else "urn:x-none"
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-            f"WARC-Record-ID: {record_id(page)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {target}",
-            f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Page-Id: {page}",
+            f"WARC-Record-ID: {record_id(page, digest, copy)}", f"WARC-Date: {DATE}", f"WARC-Target-URI: {target}",
+            f"WARC-Payload-Digest: sha1:{digest}", *([] if page is None else [f"WARC-Page-Id: {page}"]),
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     if refers_to is not None:
-        head[6:6] = [f"WARC-Refers-To: {record_id(refers_to)}", f"WARC-Refers-To-Page-Id: {refers_to}",
+        head[6:6] = [f"WARC-Refers-To: {record_id(refers_to, digest)}", f"WARC-Refers-To-Page-Id: {refers_to}",
                      f"WARC-Profile: {_PROFILE}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -107,14 +112,19 @@ def records(data: bytes) -> Iterator[bytes]:
         rest = memoryview(one.unused_data)
 
 
-def _with_roles(pages: DataFrame, least: int) -> DataFrame:
-    """(page, url, html, refers_to) with the response of equal payloads for its revisits."""
+def _with_roles(pages: DataFrame, least: int, parts: int) -> DataFrame:
+    """(page, url, html, refers_to, again) with the response of equal payloads for its revisits, dealt into ``parts``.
+
+    ``again``: the row is one of several that could be the response; they lie in one part."""
     html = F.coalesce("html", F.lit(""))
-    digests = pages.select("page", "html").where(F.octet_length(html) >= least).select(
-        "page", F.unhex(F.sha1(html.cast("binary"))).alias("d"))
-    top = digests.groupBy("d").agg(F.max("page").alias("top"), F.count("*").alias("c")).where("c > 1").drop("c")
-    revisits = digests.join(top, "d").where("page <> top").select("page", F.col("top").alias("refers_to"))
-    return pages.join(revisits, "page", "left").select("page", "url", "html", "refers_to")
+    # A null id is a name of its own, so that it joins.
+    named = pages.withColumns({"name": F.coalesce(F.col("page").cast("string"), F.lit("")),
+                               "d": F.unhex(F.sha1(html.cast("binary")))})
+    held = named.where(F.octet_length(html) >= least).groupBy("name", "page", "d").agg(F.count("*").alias("c"))
+    top = held.groupBy("d").agg(F.max("page").alias("top"), F.sum("c").alias("all")).where(F.col("all") > 1).drop("all")
+    roles = held.join(top, "d").where(F.col("top").isNotNull() & (F.col("page").isNull() | (F.col("page") != F.col("top")) | (F.col("c") > 1)))
+    roles = roles.select("name", "d", F.col("top").alias("refers_to"), F.col("page").eqNullSafe(F.col("top")).alias("again"))
+    return named.repartition(parts, "name", "d").join(roles, ["name", "d"], "left").select("page", "url", "html", "refers_to", "again")
 
 
 def write_warcs(df: DataFrame, folder: str, id: str = "page_id", url: str = "url", html: str = "html", least: int = 0,
@@ -137,6 +147,7 @@ def write_warcs(df: DataFrame, folder: str, id: str = "page_id", url: str = "url
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out, size, n = TaskContext.get().partitionId(), [], 0, 0
+        seen: dict[tuple[int, str], int] = {}
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
 
         def flush() -> None:
@@ -146,16 +157,20 @@ def write_warcs(df: DataFrame, folder: str, id: str = "page_id", url: str = "url
                 out, size, n = [], 0, n + 1
 
         for b in batches:
-            for page, address, text, refers in zip(*(c.to_pylist() for c in b.columns)):
+            for page, address, text, refers, again in zip(*(c.to_pylist() for c in b.columns)):
                 payload = (text or "").encode()
-                out.append(packer.compress(record(page, address, payload, sha1_base32(payload), refers)))
+                digest, copy = sha1_base32(payload), 0
+                if again:
+                    copy = seen[page, digest] = seen.get((page, digest), -1) + 1
+                    refers = refers if copy else None
+                out.append(packer.compress(record(page, address, payload, digest, refers, copy)))
                 size += len(payload)
                 if size >= file_bytes:
                     flush()
         flush()
         yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
 
-    roles = _with_roles(pages, least).repartition(max(1, -(-int(size or 0) // file_bytes)), "page")
+    roles = _with_roles(pages, least, max(1, -(-int(size or 0) // file_bytes)))
     roles.mapInArrow(write, "files long").agg(F.sum("files")).collect()
 
 
@@ -175,8 +190,8 @@ def read_warcs(spark: SparkSession, folder: str) -> DataFrame:
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if head["WARC-Type"] == "response" and (len(payload) != length or sha1_base32(payload) != digest):
                         raise ValueError(f"{name}: payload and digest differ")
-                    refers = head.get("WARC-Refers-To-Page-Id")
-                    out.append((int(head["WARC-Page-Id"]), length, digest, head["WARC-Type"],
+                    page, refers = head.get("WARC-Page-Id"), head.get("WARC-Refers-To-Page-Id")
+                    out.append((page and int(page), length, digest, head["WARC-Type"],
                                 refers and int(refers), head["WARC-Target-URI"], name.rpartition("/")[2]))
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays(
