@@ -29,7 +29,7 @@ _BYTE_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Bytes of a generation of the cache, and about so many of an entry beside its unit's characters.
 CACHE = 100 << 20
-SMALL_CACHE = 12 << 20
+SMALL_CACHE = 32 << 20
 ENTRY = 200
 JOINED = 4000
 
