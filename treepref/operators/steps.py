@@ -29,6 +29,8 @@ from .prompts import cot_prompt
 # --- fixed values (must equal the reference's behaviour) -------------------
 STEP_FINAL = "step 3, so the final answer is: "
 MATH_STEP_FINAL = "step 4, the answer (arabic numerals) is "
+FINAL_TAIL = "so the final answer is: "
+N_THOUGHTS = 3
 # A later candidate that already holds this step is cut before it.
 OVERRUN = "step 3"
 QMARK = "？"  # fullwidth question mark
@@ -69,7 +71,7 @@ MATH_MARK = "(arabic numerals) is "
 class StepSpec:
     """The steps of a task: how many a path has, the marker that begins the last one (``step n, ...``),
     and whether the answer after ``MATH_MARK`` must hold a number."""
-    n_steps: int = 3
+    n_steps: int = N_THOUGHTS
     final: str = STEP_FINAL
     number: bool = False
 
