@@ -1,6 +1,7 @@
 """Rules of the core at scale: cuts without sorts, even ranges, open steps, reports in the writing pass."""
 
 import json
+import random
 import re
 
 import pytest
@@ -193,3 +194,31 @@ def test_search_cues(spark):
 
 def test_materialized_table_is_read_back_whole(spark):
     assert materialize(spark.range(10)).count() == 10
+
+
+# --- J4
+
+
+def _held_prefixes(positives, levels):
+    """Negatives by comparing every positive with every candidate of its level."""
+    norm = F.when(F.col("step") == 0, steps.normalize_b(F.col("candidate"))).otherwise(steps.normalize_c(F.col("candidate")))
+    lv = levels.select("question_id", F.col("step").cast("bigint").alias("step"), norm.alias("norm"))
+    j = steps._with_remainder(steps._matchable(positives.join(lv, ["question_id", "step"])))
+    neg = F.when(F.col("step") == 0, F.col("norm")).when(F.instr("whole", F.col("prefix")) > 0, F.col("neg"))
+    j = j.withColumn("neg", neg).where("neg <> pos")
+    return {tuple(r) for r in j.select("question_id", "step", "pos", "prefix", "neg").distinct().collect()}
+
+
+def test_negatives_by_prefix_equal_the_pairwise_test(spark):
+    draw = random.Random(5)
+    part = lambda: "step" + draw.choice([" 1, a", " 1, ab", " 2, a b", "", " ste", "s", ", x. "])
+    text = lambda n: draw.choice(["", "so ", "st"]) + "".join(part() for _ in range(n))
+    pos = [(draw.randrange(4), k, part().strip(), "".join(part() for _ in range(k)).strip()) for k in (0, 1, 2) for _ in range(40)]
+    pos.append((1, 1, "step 2", None))
+    cand = [(draw.randrange(5), k, text(draw.choice([k, k + 1, k + 2]))) for k in (0, 1, 2) for _ in range(60)] + [(1, 1, None), (1, 2, "")]
+    p = spark.createDataFrame(pos, "question_id long, step long, pos string, prefix string").distinct()
+    c = spark.createDataFrame(cand, "question_id long, step int, candidate string")
+    got = [tuple(r) for r in steps.negatives_by_prefix(p, c).collect()]
+    assert len(got) == len(set(got)) and set(got) == _held_prefixes(p, c)
+    assert sum(r[1] > 0 for r in got) > 50
+    assert steps.negatives_by_prefix(p.where("false"), c).count() == steps.negatives_by_prefix(p, c.where("false")).count() == 0

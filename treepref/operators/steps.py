@@ -183,34 +183,67 @@ def split_reasoning_steps(correct: DataFrame, spec: StepSpec = QA_STEPS) -> Data
                      prefix.alias("prefix")).dropDuplicates()
 
 
-def _with_remainder(df: DataFrame, choice: str = "norm", prefix: str = "prefix", step: str = "step",
-                    out: str = "neg") -> DataFrame:
-    """Later-level candidate minus the prefix, re-anchored at ``step``;
-    null when it does not extend the prefix.  Each intermediate is its own
-    projection (each is read several times), so every split runs once per row."""
-    c, p, st = F.col(choice), F.col(prefix), F.col(step)
+def _matchable(df: DataFrame, choice: str = "norm", step: str = "step", out: str = "whole") -> DataFrame:
+    """P15, first half: the candidate without what overruns its level, the text that a prefix is sought in.
+    Each intermediate is its own projection (each is read several times), so every split runs once per row."""
+    c, st = F.col(choice), F.col(step)
     d = df.withColumn("_x1", F.when((st == 1) & has(c, OVERRUN), F.split_part(c, F.lit(OVERRUN), F.lit(1))).otherwise(c))
     d = d.withColumn("_p3", F.split(F.col("_x1"), OVERRUN))
-    d = d.withColumn("_x2", F.when(F.size("_p3") > 2, F.array_join(F.slice("_p3", 1, F.size("_p3") - 1), OVERRUN))
+    d = d.withColumn(out, F.when(F.size("_p3") > 2, F.array_join(F.slice("_p3", 1, F.size("_p3") - 1), OVERRUN))
                      .otherwise(F.col("_x1")))
-    d = d.withColumn("_cut", strip(F.replace(F.col("_x2"), p, F.lit(""))))
+    return d.drop("_x1", "_p3")
+
+
+def _with_remainder(df: DataFrame, whole: str = "whole", prefix: str = "prefix", out: str = "neg") -> DataFrame:
+    """P15, second half: the candidate minus a prefix that it holds, re-anchored at ``step``."""
+    d = df.withColumn("_cut", strip(F.replace(F.col(whole), F.col(prefix), F.lit(""))))
     anchored = F.when(F.startswith(strip(F.replace(F.col("_cut"), F.lit("answer: "), F.lit(""))), F.lit("step")),
                       F.col("_cut")).otherwise(
         F.concat(F.lit("step"), F.array_join(F.slice(F.split(F.col("_cut"), "step"), 2, 1 << 20), "step")))
-    d = d.withColumn(out, F.when(st == 0, c).when(F.instr(F.col("_x2"), p) > 0, anchored))
-    return d.drop("_x1", "_p3", "_x2", "_cut")
+    return d.withColumn(out, anchored).drop("_cut")
+
+
+def _prefix_starts(whole: Column) -> Column:
+    """1-based positions of every ``step`` in a text, where a prefix can begin."""
+    parts = F.split(whole, "step")
+    ends = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), F.array(F.lit(1)),
+                       lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 4)))
+    return F.transform(F.slice(ends, 2, 1 << 20), lambda e: e - 4)
 
 
 def negatives_by_prefix(positives: DataFrame, levels: DataFrame) -> DataFrame:
-    """Per (positive, prefix) the candidates of the same level that extend
-    the prefix and differ from the positive.  Equi-join on (question, level);
-    the prefix test is a residual."""
+    """Per (positive, prefix) the candidates of the same level that hold the
+    prefix and differ from the positive.
+
+    A prefix begins with ``step``, so it can only lie at one of a candidate's step
+    marks.  A candidate emits, for each mark and each length that the prefixes of
+    its (question, level) have, the hash of the text there; prefixes meet
+    candidates in an equi-join on (question, level, hash) and are verified on the
+    text.  So a question's candidates spread over tasks by their own beginnings,
+    and no candidate is compared with a prefix that it does not hold.  Positives
+    that share a prefix are joined once the candidates of the prefix are known.
+    Level 0 has no prefix: there all candidates answer, and the join is on the level.
+    A null prefix meets nothing.
+    """
     lv = levels.select("question_id", F.col("step").cast("bigint").alias("step"), "candidate").dropDuplicates()
     lv = lv.withColumn("norm", F.when(F.col("step") == 0, normalize_b(F.col("candidate")))
-                       .otherwise(normalize_c(F.col("candidate"))))
-    j = _with_remainder(positives.join(lv.drop("candidate"), ["question_id", "step"]))
-    j = j.where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos")))
-    return j.select("question_id", "step", "pos", "prefix", "neg").dropDuplicates()
+                       .otherwise(normalize_c(F.col("candidate")))).select("question_id", "step", "norm").dropDuplicates()
+    key = ["question_id", "step"]
+    first = positives.where("step = 0").join(lv.where("step = 0").withColumnRenamed("norm", "neg"), key)
+
+    later = _matchable(lv.where("step > 0"))
+    prefixes = positives.where("step > 0").select(*key, "prefix").dropDuplicates()
+    lengths = prefixes.groupBy(*key).agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    places = later.join(lengths, key).withColumn("at", F.explode(_prefix_starts(F.col("whole")))).withColumn(
+        "n", F.explode("lengths")).where(F.col("at") + F.col("n") - 1 <= F.length("whole"))
+    held = places.select(*key, "whole", F.xxhash64(F.substring("whole", F.col("at"), F.col("n"))).alias("hash"))
+    met = held.join(prefixes.withColumn("hash", F.xxhash64("prefix")), [*key, "hash"])
+    met = met.where(F.instr("whole", F.col("prefix")) > 0).select(*key, "prefix", "whole")
+    found = _with_remainder(met).select(*key, "prefix", "neg").dropDuplicates()
+    rest = positives.where("step > 0").join(found, [*key, "prefix"])
+    cols = ["question_id", "step", "pos", "prefix", "neg"]
+    out = first.select(*cols).unionByName(rest.select(*cols))
+    return out.where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos"))).dropDuplicates()
 
 
 def drop_positive_negatives(negs: DataFrame, positives: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as E
+from ..operators import trace as TR
 from ..operators.ratings import PAIR_COLUMNS
 from ..session import scratch_path, table
 from ..sources import fixtures as FX
@@ -13,12 +14,13 @@ from ..streaming import streams as ST
 from .oracle_fixtures import with_fx
 from .q_ratings import _PAIR_FX
 from .q_scoring import RESULTS_SQL
+from .q_steps import CHAIN, PAIRS_SQL, _questions, _selected
 from .registry import r6, register
 
 
-def _stage(df, spark, name, parts=4):
+def _stage(df, spark, name):
     path = scratch_path(spark, name)
-    df.repartition(parts).write.parquet(path)
+    df.write.parquet(path)
     return path, spark.read.parquet(path).schema
 
 
@@ -39,8 +41,7 @@ def stream_resume_dedup(spark, d):
                                           F.col("ts").cast("timestamp").alias("ts"))
     src, schema = _stage(ev, spark, "stream-tasks")
     sink, ck = scratch_path(spark, "stream-dedup"), scratch_path(spark, "stream-dedup-ck")
-    # The delay covers the whole event span, so state keeps every question seen.
-    ST.stream_resume_dedup(spark, src, schema, sink, ck, delay="3650 days")
+    ST.stream_resume_dedup(spark, src, schema, sink, ck)
     return spark.read.parquet(sink).select("question")
 
 
@@ -55,3 +56,14 @@ def stream_running_accuracy(spark, d):
     ST.stream_running_accuracy(spark, src, schema, sink, ck)
     return ST.latest_state(spark.read.parquet(sink), "run_id").select(
         "run_id", F.col("n").cast("bigint").alias("n"), F.col("n_correct").cast("bigint").alias("n_correct"))
+
+
+@register("stream_step_pairs", with_fx("SELECT prompt, chosen, rejected FROM pairs", "trace",
+                                       extra={**CHAIN["extra"], "pairs": PAIRS_SQL}))
+def stream_step_pairs(spark, d):
+    # Whole questions to a file.
+    src, schema = _stage(FX.trace_tree(spark, d).repartition("question_id"), spark, "stream-traces")
+    sink, ck = scratch_path(spark, "stream-steps"), scratch_path(spark, "stream-steps-ck")
+    ST.stream_step_pairs(spark, src, schema, sink, ck, _questions(spark, d), lambda lv: _selected(spark, d, lv),
+                         lambda t: TR.search(t).drop("parent_id"))
+    return spark.read.parquet(sink).select("prompt", "chosen", "rejected")
