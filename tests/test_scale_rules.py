@@ -1,5 +1,6 @@
 """Rules of the core at scale: cuts without sorts, even ranges, open steps, reports in the writing pass."""
 
+import csv
 import json
 import random
 import re
@@ -222,3 +223,39 @@ def test_negatives_by_prefix_equal_the_pairwise_test(spark):
     assert len(got) == len(set(got)) and set(got) == _held_prefixes(p, c)
     assert sum(r[1] > 0 for r in got) > 50
     assert steps.negatives_by_prefix(p.where("false"), c).count() == steps.negatives_by_prefix(p, c.where("false")).count() == 0
+
+
+# --- S3
+
+
+@pytest.mark.parametrize("split", [37, 400, 1 << 27])
+def test_csv_records_over_splits(spark, tmp_path, split):
+    draw = random.Random(split)
+    cell = lambda: "".join(draw.choice(["a", '"', "\n", ",", "é", "b c", "\r\n", "xyz"]) for _ in range(draw.choice([1, 3, 20])))
+    rows = [(cell().strip(), cell().strip()) for _ in range(150)] + [("x" * 300 + "\n" + "y" * 300, "long"), ("", "empty")]
+    for k, part in enumerate((rows[:90], rows[90:], [])):
+        with open(tmp_path / f"{k}.csv", "w", newline="") as f:
+            w = csv.writer(f, quoting=csv.QUOTE_ALL, lineterminator="\r\n" if k else "\n")
+            w.writerows([("Answer", "other", "Question"), *((a, "1", q) for q, a in part)])
+            f.write("\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert split > 1000 or spark.read.option("lineSep", "\n").text(str(tmp_path)).rdd.getNumPartitions() > 8
+        got = readers.scan_task_csv(spark, str(tmp_path)).orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.question, r.answer) for r in got] == rows
+
+
+def test_csv_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Question,Answer\n1,2\n3\n")
+    assert {(r.question, r.answer) for r in readers.scan_task_csv(spark, str(tmp_path)).collect()} == {("1", "2"), ("3", None)}
+    (tmp_path / "b.csv").write_text("Answer,Question\n1,2\n")
+    with pytest.raises(ValueError):
+        readers.scan_task_csv(spark, str(tmp_path))
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("")
+    assert readers.scan_task_csv(spark, str(tmp_path / "c")).count() == 0

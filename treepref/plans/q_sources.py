@@ -58,6 +58,15 @@ def scan_task_csv(spark, d):
     return RD.scan_task_csv(spark, path).drop("seq")
 
 
+@register("scan_text_csv", "SELECT text AS question, CAST(doc_id AS VARCHAR) AS answer FROM documents")
+def scan_text_csv(spark, d):
+    # Whole texts with quotes and newlines, in fields that reach over lines.
+    path = scratch_path(spark, "texts-csv")
+    table(spark, d, "documents").select(F.col("doc_id").alias("Answer"), F.col("text").alias("Question")) \
+        .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return RD.scan_task_csv(spark, path).drop("seq")
+
+
 @register("scan_claims_jsonl", with_fx("SELECT claim AS question, label AS answer FROM fact_pred", "fact_pred"))
 def scan_claims_jsonl(spark, d):
     path = scratch_path(spark, "claims-jsonl")

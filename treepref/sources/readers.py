@@ -3,11 +3,14 @@ column where the reference relies on list order, and never collects."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.ordering import global_positions
+from ..session import materialize
 
 TRACE_STEP = "struct<candiate:array<string>,values:array<double>>"
 #: Question -> key ("0", "1", ... or "correct") -> its JSON text, so that a record may have any steps.
@@ -32,12 +35,83 @@ def scan_pairs_json(spark: SparkSession, path: str, schema: StructType | str, mu
     return with_seq(spark.read.schema(schema).option("multiLine", multiline).json(path))
 
 
+#: What the CSV parser reports for an empty field without quotes.
+ABSENT = "\0absent\0"
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, row, record): the text of every CSV record, quoted newlines included.
+
+    Files are read as lines, so one file is split over many tasks.  Whether a line begins a
+    record depends on the number of quotes before it in the file: each split counts its own,
+    a prefix sum over the splits of a file (a row each) says how each begins, and a running
+    count within the split (one task's input) does the rest.  Records of one line, nearly
+    all, are done then; only the lines of longer ones meet in a second shuffle.  A record may
+    reach over any number of splits.
+
+    Quotes must be doubled inside quoted fields and absent from others, so that they come in
+    pairs; after a field that is never closed, the rest of the file is one record.  Lines end
+    in ``\\n`` or ``\\r\\n``; line ends inside a field stay as they are.  Blank records are left out.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
+    lines = with_seq(raw.withColumnRenamed("value", "line")).select(
+        F.col("seq.file").alias("file"), F.col("seq.block").alias("block"), F.col("seq.row").alias("row"), "line",
+        (quotes % 2).alias("odd"))
+    splits = Window.partitionBy("file").orderBy("block")
+    begins = lines.groupBy("file", "block").agg((F.sum("odd") % 2).alias("odd")).select(
+        "file", "block", (F.coalesce(F.sum("odd").over(splits.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2).alias("open"))
+    within = Window.partitionBy("file", "block").orderBy("row")
+    before = F.coalesce(F.sum("odd").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    held = lines.join(begins, ["file", "block"]).withColumn("start", ((F.col("open") + before) % 2 == 0).cast("int"))
+    # r: which of the split's records the line belongs to; 0: to one of an earlier split.
+    held = materialize(held.withColumns({
+        "r": F.sum("start").over(within.rowsBetween(Window.unboundedPreceding, 0)),
+        "alone": (F.col("start") == 1) & (F.col("odd") == 0)}).select("file", "block", "row", "line", "start", "r", "alone"), "csv-lines")
+
+    one = held.where("alone").select("file", "block", "row", F.col("line").alias("record"))
+    # The last record of the latest split before this one that begins any.
+    last = held.groupBy("file", "block").agg(F.max("r").alias("of")).withColumn(
+        "from", F.last(F.when(F.col("of") > 0, F.struct("block", "of")), ignorenulls=True).over(
+            splits.rowsBetween(Window.unboundedPreceding, -1))).select("file", "block", "from")
+    parts = held.where("not alone")
+    own = parts.where("r > 0").select("file", F.col("block").alias("b"), "r", "block", "row", "line")
+    carried = parts.where("r = 0").join(last, ["file", "block"]).select(
+        "file", F.col("from.block").alias("b"), F.col("from.of").alias("r"), "block", "row", "line")
+    many = own.unionByName(carried).groupBy("file", "b", "r").agg(
+        F.array_sort(F.collect_list(F.struct("block", "row", "line"))).alias("m"))
+    many = many.select("file", F.col("b").alias("block"), F.get("m", 0)["row"].alias("row"),
+                       F.array_join(F.transform("m", lambda x: x["line"]), "\n").alias("record"))
+    every = one.unionByName(many).withColumn("record", F.regexp_replace("record", "\\r\\z", ""))
+    return every.where(F.btrim("record") != "")
+
+
 def scan_task_csv(spark: SparkSession, path: str, question: str = "Question", answer: str = "Answer") -> DataFrame:
-    """S3: question/answer columns of a CSV with a header (quoted fields may
-    hold newlines)."""
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .schema(f"`{question}` string, `{answer}` string").csv(path))
-    return with_seq(df).select(F.col(question).alias("question"), F.col(answer).alias("answer"), "seq")
+    """S3: the question and answer columns, by name, of CSV files with a header (quoted fields may
+    hold newlines).  One file is read by many tasks, see :func:`csv_records`.
+
+    The first record of a file is its header; files with different headers, or without the
+    columns, are an error.  A record with fewer fields than the header has nulls for them; an
+    empty field is null and a quoted empty one an empty text.  No files, or files without a
+    record, give an empty table."""
+    records = csv_records(spark, path)
+    first = records.where("block = 0").groupBy("file").agg(F.min_by(F.struct("row", "record"), "row").alias("h"))
+    heads = first.select("file", F.col("h.row").alias("head"), F.col("h.record").alias("text"))
+    # Distinct headers: two are enough to know that they differ.
+    found = [r[0] for r in heads.select(F.replace(F.col("text"), F.lit("\ufeff"), F.lit(""))).distinct().limit(2).collect()]
+    if not found:
+        return spark.createDataFrame([], "question string, answer string, seq struct<file:string,block:long,row:long>")
+    if len(found) > 1:
+        raise ValueError(f"CSV files with different headers: {found}")
+    names = next(csv.reader([found[0]]))
+    if question not in names or answer not in names:
+        raise ValueError(f"CSV header {names} without {question!r} or {answer!r}")
+    schema = ", ".join(f"c{k} string" for k in range(len(names)))
+    body = records.join(heads.select("file", F.lit(0).cast("long").alias("block"), F.col("head").alias("row")),
+                        ["file", "block", "row"], "left_anti")
+    fields = body.withColumn("r", F.from_csv("record", schema, {"escape": '"', "maxCharsPerColumn": "-1", "nullValue": ABSENT}))
+    return fields.select(F.col(f"r.c{names.index(question)}").alias("question"), F.col(f"r.c{names.index(answer)}").alias("answer"),
+                         F.struct("file", "block", "row").alias("seq"))
 
 
 def scan_claims_jsonl(spark: SparkSession, path: str) -> DataFrame:
