@@ -278,6 +278,46 @@ def test_op5_containment_of_unequal_texts(spark):
     assert near > 0.9
 
 
+def brute_shingles(text):
+    w = WORD.findall(text or "")
+    return {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def test_op5_likeness_against_brute_force(spark, texts):
+    """Short texts are compared exactly, long ones within the error of a sample of their shingles."""
+    got = {r["doc_id"]: r for r in queries.op5(spark, SMALL).collect()}
+    order, short, off = sorted(texts), 0, []
+    for k, i in enumerate(order):
+        t, nxt = texts[i], texts[order[(k + 1) % len(order)]]
+        for other, near in ((t[:len(t) - len(t) // 4] + nxt[:len(t) // 4], "near_edited"), (nxt, "near_next")):
+            a, b = brute_shingles(t), brute_shingles(other)
+            least = min(len(a), len(b))
+            exact = len(a & b) / least if least else float(a == b)
+            if max(len(a), len(b)) <= sketch.WHOLE:
+                short += 1
+                assert got[i][near] == pytest.approx(exact)
+            elif least > sketch.WHOLE:
+                off.append(got[i][near] - exact)
+    assert short > 20 and abs(np.mean(off)) < 0.03 and np.std(off) < 0.15
+
+
+def test_op5_short_texts_and_merging(spark):
+    w = [f"w{k}" for k in range(2000)]
+    t = lambda a, b: " ".join(w[a:b])
+    cases = [(t(3, 8), t(0, 60), 1.0), (t(0, 12), t(0, 12), 1.0), (t(0, 12), t(20, 40), 0.0), ("", t(0, 9), 0.0), ("", " ", 1.0),
+             (t(0, 2), t(0, 2), 1.0), ("a " * 900, "a " * 900, 1.0), (t(0, 100), t(0, 1500), 1.0)]
+    df = spark.createDataFrame([(a, b, c) for a, b, c in cases], "a string, b string, c double")
+    s = sketch.sketch
+    for r in df.select("c", sketch.likeness(s(F.col("a")), s(F.col("b"))).alias("n"),
+                       sketch.likeness(s(F.col("b")), s(F.col("a"))).alias("m")).collect():
+        assert r["n"] == r["m"] == r["c"]
+    # Overlapping halves: merged sketches equal the sketch of the whole, short or long.
+    for n in (60, 125, 2000):
+        one = spark.createDataFrame([(t(0, n // 2 + 4), t(n // 2, n), t(0, n))], "a string, b string, c string")
+        r = one.select(sketch.merge(s(F.col("a")), s(F.col("b"))).alias("m"), s(F.col("c")).alias("s")).first()
+        assert r["m"] == r["s"] and r["m"]["whole"] == (n < 130)
+
+
 # --- op6
 
 

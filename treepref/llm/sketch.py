@@ -1,9 +1,11 @@
 """Operator 5, document fingerprints: threshold-scaled sketch.
 
 A sketch holds every shingle hash of a text below a fixed fraction of the hash
-range, and the smallest hash if that leaves none.  The fraction does not depend
-on the text, so sketches merge by union and a short text's containment in a
-very long one is estimated as well as that of two equals.
+range.  The fraction does not depend on the text, so sketches merge by union and
+a text's containment in a very long one is estimated as well as that of two
+equals.  A text of at most ``WHOLE`` distinct shingles, of which the fraction
+would leave few or none, keeps them all, and its sketch says so.  Two such
+sketches are compared exactly, any other two on the fraction that both hold.
 
 All of it is DataFrame expressions: words, shingle hashes and sketches are
 higher-order functions on arrays within a row.
@@ -14,7 +16,9 @@ following range is put at the end of each range as a copy, and a window within
 the range looks one row ahead.
 
 Defined results: a null or empty text (and one of white space) has an empty
-sketch, likeness 1 to another empty one and 0 to any other; fewer words than a
+sketch, likeness 1 to another empty one and 0 to any other; a short text without
+a hash below the fraction has likeness 0 to long ones, which tell nothing about
+its hashes, and equal sketches have likeness 1; fewer words than a
 shingle make one shingle; equal ids are ordered by text; null ids come first;
 one document alone is its own next; an empty table gives an empty result.
 """
@@ -30,6 +34,8 @@ from pyspark.sql.window import Window
 SHINGLE = 5
 #: One hash of so many is retained.
 SCALE = 8
+#: Distinct shingles up to which a text keeps all its hashes.
+WHOLE = 128
 #: About so many bytes of text form a range of ids.
 RANGE_BYTES = 8 << 20
 #: Most ranges; beyond them ranges grow, and their windows spill.
@@ -56,32 +62,48 @@ def shingle_hashes(text: Column, size: int = SHINGLE) -> Column:
     return _let(F.transform(words(text), lambda w: F.xxhash64(w)), body)
 
 
-def sketch(text: Column, size: int = SHINGLE, scale: int = SCALE) -> Column:
-    """Sorted distinct hashes in the lowest ``1 / scale`` of the range, or else the smallest."""
-    limit = F.lit(-(1 << 63) + (1 << 64) // scale).cast("bigint")
+def _limit(scale: int) -> Column:
+    return F.lit(-(1 << 63) + (1 << 64) // scale).cast("bigint")
 
-    def body(s: Column) -> Column:
-        low = _let(F.filter(s, lambda x: x < limit),
-                   lambda k: F.when(F.size(k) > 0, F.array_sort(F.array_distinct(k))).otherwise(F.array(F.array_min(s))))
-        return F.when(F.size(s) > 0, low).otherwise(s)
-    return _let(shingle_hashes(text, size), body)
 
+def _low(hashes: Column, scale: int) -> Column:
+    return F.filter(hashes, lambda x: x < _limit(scale))
 
-def merge(a: Column, b: Column) -> Column:
-    """Sketch of two texts together (up to the smallest hash of a text that retained none)."""
-    return F.array_sort(F.array_union(a, b))
 
+def _pack(hashes: Column, scale: int, whole: int) -> Column:
+    """Sketch of all the distinct hashes of a text."""
+    all_ = F.size(hashes) <= whole
+    return F.struct(all_.alias("whole"), F.array_sort(F.when(all_, hashes).otherwise(_low(hashes, scale))).alias("hashes"))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Containment of the smaller sketch in the larger, from 0 to 1."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(
-        F.when(F.size(a) == F.size(b), 1.0).otherwise(0.0)).cast("double")
+
+def sketch(text: Column, size: int = SHINGLE, scale: int = SCALE, whole: int = WHOLE) -> Column:
+    """(whole, hashes): sorted distinct hashes in the lowest ``1 / scale`` of the range, or all of
+    them if there are at most ``whole``."""
+    return _let(F.array_distinct(shingle_hashes(text, size)), lambda s: _pack(s, scale, whole))
+
+
+def merge(a: Column, b: Column, scale: int = SCALE, whole: int = WHOLE) -> Column:
+    """Sketch of two texts' shingles together, equal to that of their union."""
+    both = F.array_union(a["hashes"], b["hashes"])
+    rest = F.struct(F.lit(False).alias("whole"), F.array_sort(_low(both, scale)).alias("hashes"))
+    return F.when(a["whole"] & b["whole"], _pack(both, scale, whole)).otherwise(rest)
+
+
+def likeness(a: Column, b: Column, scale: int = SCALE) -> Column:
+    """Containment of the smaller sketch in the larger, from 0 to 1, on the range that both hold."""
+    def body(p: Column) -> Column:
+        x, y = p["x"], p["y"]
+        least = F.least(F.size(x), F.size(y))
+        return F.when(least > 0, F.size(F.array_intersect(x, y)) / least).otherwise(F.when(a == b, 1.0).otherwise(0.0))
+    exact = a["whole"] == b["whole"]
+    held = lambda s: F.when(exact, s["hashes"]).otherwise(_low(s["hashes"], scale))
+    return _let(F.struct(held(a).alias("x"), held(b).alias("y")), body).cast("double")
 
 
 def printed(s: Column) -> Column:
-    """A sketch as text: its hashes in hexadecimal."""
-    return F.array_join(F.transform(s, lambda x: F.lower(F.hex(x))), " ")
+    """A sketch as text: its hashes in hexadecimal, after ``all`` if it holds every hash of the text."""
+    hashes = F.transform(s["hashes"], lambda x: F.lower(F.hex(x)))
+    return F.array_join(F.when(s["whole"], F.concat(F.array(F.lit("all")), hashes)).otherwise(hashes), " ")
 
 
 def _ranges(docs: DataFrame) -> Column:
