@@ -103,26 +103,25 @@ def _class_keys(x: np.ndarray, first: np.ndarray, number: np.ndarray) -> np.ndar
 
 
 def _signatures(docs: DataFrame, size: int, k: int) -> DataFrame:
-    """(id, n, cls, sig) of every row of (id, text)."""
+    """(id, n, cls, sig) of every row of (id, text); the values of a signature have 64 bits."""
     mult, add = _coefficients(k)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, offs in K.chunks(b.column(1), rows=1000):
                 texts, first, number, x = _sets(buf, offs, size)
-                n, cls, sig = np.zeros(j - i, np.int64), np.zeros(j - i, np.int64), np.zeros((j - i, k), np.int32)
+                n, cls, sig = np.zeros(j - i, np.int64), np.zeros(j - i, np.int64), np.zeros((j - i, k), np.int64)
                 if len(texts):
                     n[texts], cls[texts] = number, _class_keys(x, first, number)
                     for c in range(k):
-                        low = np.minimum.reduceat((x * mult[c] + add[c]) >> np.uint64(32), first)
-                        sig[texts, c] = low.astype(np.uint32).view(np.int32)
+                        sig[texts, c] = _signed(np.minimum.reduceat(x * mult[c] + add[c], first))
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i + 1) * k, k, dtype=np.int32)),
                                                 pa.array(sig.ravel()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(n), pa.array(cls), flat],
                                                  ["id", "n", "cls", "sig"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(rows, f"id {kind}, n long, cls long, sig array<int>")
+    return docs.mapInArrow(rows, f"id {kind}, n long, cls long, sig array<long>")
 
 
 def _full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -182,10 +181,11 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _postings(classes: DataFrame, k: int, t: int) -> DataFrame:
     """(token, cls, weight): the prefix of each class in order of rarity, without tokens of one class.
 
+    A token is a hash of the coordinate and the whole 64-bit value: with fewer bits,
+    unrelated classes would share values, more of them the more classes there are.
     weight: how common the tokens of the class are; the same for all its rows.
     """
-    tokens = classes.select("cls", F.posexplode("sig").alias("c", "v")).select(
-        "cls", F.col("c").cast("long").bitwiseOR(F.shiftleft(F.col("v").cast("long"), 8)).alias("token"))
+    tokens = classes.select("cls", F.posexplode("full").alias("c", "v")).select("cls", F.xxhash64("c", "v").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     w = Window.partitionBy("cls")
     held = tokens.join(shared, "token").select(
@@ -333,7 +333,9 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", shing
     sigs = materialize(_signatures(docs, shingle, k), "sigs")
     paths = {x: scratch_path(spark, x) for x in ("classes", "posts", "star")}
     classes = materialize(sigs.where("n > 0").groupBy("cls").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), path=paths["classes"])
+        F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("full")).withColumn(
+        # Comparisons of signatures need their upper halves only.
+        "sig", F.transform("full", lambda v: F.shiftright(v, 32).cast("int"))), path=paths["classes"])
     posts = materialize(_postings(classes, k, t), path=paths["posts"])
 
     lead = posts.groupBy("token").agg(F.max(F.struct("weight", "cls")).getField("cls").alias("a"),
