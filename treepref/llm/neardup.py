@@ -54,6 +54,8 @@ BLOCK = 1024
 BEST = 4
 #: About so many bytes of shingle sets make a block of the exact check.
 SET_BYTES = 4 << 20
+#: Tasks that the members of one group are dealt to before their blocks are known.
+SALTS = 64
 _BITS = np.uint64(10)
 
 
@@ -254,8 +256,11 @@ def _within(members: DataFrame, percent: int) -> DataFrame:
     groups = groups.where("l <> top.link").groupBy("grp", "top", "grams").agg(F.sum("g").alias("asks"))
     per = lambda c: F.ceil(F.col(c) * 8 / SET_BYTES).cast("int")
     block = lambda c: F.pmod(F.xxhash64("cls", F.lit(c)), F.col(c).cast("long")).cast("int")
-    full = members.join(groups.select("grp", F.col("top.link").alias("main"), per("grams").alias("mb"),
-                                      per("asks").alias("ab")), "grp")
+    # A group's line is copied to each salt, so that its members, with their sets, meet it in many tasks.
+    sizes = groups.select("grp", F.col("top.link").alias("main"), per("grams").alias("mb"), per("asks").alias("ab"),
+                          F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("cls", "link"), F.lit(SALTS)).cast("int"))
+    full = salted.join(sizes, ["grp", "salt"]).drop("salt")
     key = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
     every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     asks = full.where("link <> main").withColumn("i", block("ab")).withColumn("j", F.explode(every("mb")))
