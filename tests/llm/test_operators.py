@@ -182,6 +182,22 @@ def test_op3_registered_query(spark):
     assert got.count() == spark.read.parquet(f"{SMALL}/pages.parquet").count() and got.where("n_chars = 0").count() == 0
 
 
+@pytest.mark.parametrize("page, kept", [
+    ("<main class='with-sidebar'><p>a b</p></main>", "a b"),
+    ("<article class='post comments-open'><p>a b</p></article>", "a b"),
+    ("<article><h2 id='search'>Search</h2><p data-id='ad'>a b</p></article>", "Search\na b"),
+    ("<article><section id='social-history'><p>a b</p></section></article>", "a b"),
+    ("<article><p>a <math><mi>x</mi></math> b</p></article>", "a x b"),
+    ("<div class='layout sidebar-right'><main><p>a b</p></main></div>", "a b"),
+    ("<article><p>a b</p><section class='comments'><article class='comment'>no</article></section></article>", "a b"),
+    ("<article><p>a b</p><div id='site-footer'>no</div><div class='share-buttons'>no</div></article>", "a b"),
+    ("<nav><main><p>no</p></main></nav><article class='comment'>no</article><main><p>a b</p></main>", "a b"),
+    ("<main><p>a b</p><div id='cookie-banner'>no</div><aside class='open'>no</aside><div role='search'>no</div></main>", "a b"),
+])
+def test_op3_names_of_state_and_anchors_are_no_furniture(page, kept):
+    assert "\n".join(t for role, t in htmltext.blocks(page) if role == htmltext.ARTICLE) == kept
+
+
 # --- op4
 
 
