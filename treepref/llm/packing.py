@@ -112,10 +112,10 @@ def plan(histogram: np.ndarray, window: int) -> np.ndarray:
     return np.array(sorted(out), np.int64).reshape(-1, 4)
 
 
-def _pieces(docs: DataFrame, path: str, kind: str, end: int, window: int) -> DataFrame:
+def _pieces(docs: DataFrame, path: str, kind: str, end: int, window: int, cache: int) -> DataFrame:
     """Pieces of every (id, text), with the task and the place among its pieces of that length."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task = T.encoder(path, kind, T.SMALL_CACHE), TaskContext.get().partitionId()
+        enc, task = T.encoder(path, kind, cache), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         tail = np.array([end], "<u4").tobytes()
         for b in batches:
@@ -149,10 +149,13 @@ def _pieces(docs: DataFrame, path: str, kind: str, end: int, window: int) -> Dat
 
 
 def pack(df: DataFrame, path: str, end: int = 0, window: int = 1024, kind: str = "byte", id: str = "doc_id",
-         text: str = "text") -> DataFrame:
-    """A row for each piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
+         text: str = "text", cache: int = T.SMALL_CACHE) -> DataFrame:
+    """A row for each piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
+
+    cache: bytes of a generation of a worker's token cache; more saves encoding and changes no row.
+    """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    pieces = materialize(_pieces(docs, path, kind, end, window), "pieces")
+    pieces = materialize(_pieces(docs, path, kind, end, window, cache), "pieces")
     counts = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("c")), "counts")
     histogram = np.zeros(window + 1, np.int64)
     for r in counts.groupBy("length").agg(F.sum("c").alias("c")).collect():  # at most a row for each length

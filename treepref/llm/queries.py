@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treepref.llm import (
-    bpe, collocations, htmltext, huffman, importance, licenses, neardup, packing, pii, quality, sketch, sql, toxicity, warc)
+    bpe, collocations, htmltext, huffman, importance, licenses, neardup, packing, pii, quality, sketch, sql, tokens, toxicity, warc)
 from treepref.session import scratch_path, table
 
 
@@ -88,7 +88,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_nnls_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0, window=1024)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end=0, window=1024, cache=tokens.CACHE)
 
 
 @register("op10_zstd_warc")
