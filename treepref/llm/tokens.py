@@ -130,15 +130,15 @@ class UnitEncoder:
         self.cache.turn()
 
 
-_ENCODERS: dict[tuple[str, str], UnitEncoder] = {}
+_ENCODERS: dict[tuple[str, str, int], UnitEncoder] = {}
 
 
 def encoder(path: str, kind: str, cache: int = CACHE) -> UnitEncoder:
     """The worker's encoder for a tokenizer file, with the cache of earlier tasks; others are let go."""
-    if (path, kind) not in _ENCODERS:
+    if (path, kind, cache) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, kind] = UnitEncoder(path, kind, cache=cache)
-    return _ENCODERS[path, kind]
+        _ENCODERS[path, kind, cache] = UnitEncoder(path, kind, cache=cache)
+    return _ENCODERS[path, kind, cache]
 
 
 def slices(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
