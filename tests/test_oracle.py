@@ -11,8 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 # The training-data operators have no oracle SQL; tests/llm holds them against brute force.
 QUERIES = {k: f for k, f in E.queries().items() if k in registry.QUERIES}
-MODEL_HOOK = {"batch_generate", "batch_judge", "clean_generation", "truncate_generation_lines",
-              "clean_math_generation", "split_proposals", "strip_prompt_prefix", "first_line_generation"}
+MODEL_HOOK = {"batch_generate", "batch_judge"}
 ORACLE = {k: q for k, q in E.oracle_sql().items() if k in registry.QUERIES}
 
 
@@ -33,7 +32,7 @@ def test_matches_oracle(spark, duck, name):
     # no query may pair rows without an equi-key
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
-    # Python runs only in the model-call hook (and what cleans its output)
+    # Python runs only in the model-call hook
     if name not in MODEL_HOOK:
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
     assert "BroadcastNestedLoopJoin" not in plan

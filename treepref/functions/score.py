@@ -110,12 +110,7 @@ def jaccard_sets(wa: Column, wb: Column) -> Column:
 
 def jaccard_words(a: Column | str, b: Column | str) -> Column:
     """word-set Jaccard; 1.0 when both are empty, 0.0 when one is."""
-    wa, wb = word_set(a), word_set(b)
-    na, nb = F.size(wa), F.size(wb)
-    j = F.size(F.array_intersect(wa, wb)) / F.size(F.array_union(wa, wb))
-    return (F.when((na == 0) & (nb == 0), F.lit(1.0))
-            .when((na == 0) | (nb == 0), F.lit(0.0))
-            .otherwise(j).cast("double"))
+    return jaccard_sets(word_set(a), word_set(b))
 
 
 def cosine_similarity(u: Column | str, v: Column | str) -> Column:
@@ -126,3 +121,10 @@ def cosine_similarity(u: Column | str, v: Column | str) -> Column:
     nu = F.sqrt(F.aggregate(u, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     nv = F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     return F.when((nu > 0) & (nv > 0), dot / (nu * nv)).otherwise(F.lit(0.0))
+
+
+def text_similarity(u: Column | str, v: Column | str, text_u: Column | str, text_v: Column | str) -> Column:
+    """F7 for texts with their vectors: 1.0 when both texts are empty, 0.0 when one is, else the
+    cosine.  A null text is empty; blanks are not."""
+    eu, ev = (F.coalesce(col(t), F.lit("")) == "" for t in (text_u, text_v))
+    return F.when(eu & ev, 1.0).when(eu | ev, 0.0).otherwise(cosine_similarity(u, v))

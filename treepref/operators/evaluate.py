@@ -7,6 +7,8 @@ aggregates (partial aggregation map-side, one tiny merge).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,15 +65,20 @@ def resume_anti_join(tasks: DataFrame, done: DataFrame, key: str = "question") -
 
 
 def accuracy_avg_any(scored: DataFrame, question: str, correct: str,
-                     n_total: Column | int | None = None) -> DataFrame:
+                     loaded: DataFrame | None = None) -> DataFrame:
     """Per question mean and any of the correctness flags, then their sums
-    divided by the number of loaded questions (quirk Q19: skipped questions
-    stay in the denominator).  ``n_total`` defaults to the scored questions."""
+    divided by the number of questions in ``loaded`` (quirk Q19: skipped questions
+    stay in the denominator; without ``loaded``, the scored ones).  Without
+    questions both shares are 0."""
     per_q = scored.groupBy(question).agg(F.avg(correct).alias("_avg"), F.max(correct).alias("_any"))
     agg = per_q.agg(F.count("*").alias("n_scored"), F.sum("_avg").alias("_s_avg"), F.sum("_any").alias("_s_any"))
-    tot = F.col("n_scored") if n_total is None else (n_total if isinstance(n_total, Column) else F.lit(n_total))
-    return agg.select(tot.cast("bigint").alias("n_total"), F.col("n_scored").cast("bigint").alias("n_scored"),
-                      (F.col("_s_avg") / tot).alias("acc_avg"), (F.col("_s_any") / tot).alias("acc_any"))
+    n = F.col("n_scored") if loaded is None else loaded.agg(F.countDistinct(question)).scalar()
+
+    def share(c):
+        return F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("n_total")), F.lit(0.0))
+
+    agg = agg.withColumn("n_total", n.cast("bigint"))
+    return agg.select("n_total", "n_scored", share("_s_avg").alias("acc_avg"), share("_s_any").alias("acc_any"))
 
 
 def preference_results(df: DataFrame, similarity=None) -> DataFrame:
@@ -132,3 +139,14 @@ def running_accuracy(results: DataFrame, seq: str, correct: str = "correct",
 def gate_final_answer(df: DataFrame, prediction: str = "prediction") -> DataFrame:
     """F9 as a filter: predictions without a final answer are skipped."""
     return df.where(has_final_answer(prediction))
+
+
+def gated_accuracy(preds: DataFrame, truth: DataFrame, score: Callable[[Column, Column], Column], key: str = "question",
+                   answer: str = "answer", seq: str = "seq", prediction: str = "prediction", gate: bool = True) -> DataFrame:
+    """J1, F9, scoring and A6 in one: predictions without a final answer are skipped (``gate``, which
+    math tasks do without), the others are scored against the last truth of their question, and both shares
+    are over all questions of ``truth``."""
+    kept = gate_final_answer(preds, prediction) if gate else preds
+    scored = join_ground_truth(kept.select(key, prediction), truth, key, answer, seq).select(
+        key, score(F.col(prediction), F.col(answer)).alias("correct"))
+    return accuracy_avg_any(scored, key, "correct", loaded=truth)

@@ -23,6 +23,7 @@ ModelFn = Callable[[list, int], list]
 # --- fixed values (must equal the reference's behaviour) -------------------
 SPECIAL_TOKENS = ("</s>", "<s>")
 CUT_MARKERS = ("question:", "claim:", "task:")
+MATH_CUT = "q:"
 FINAL_PHRASE = "so the final answer is"
 
 
@@ -95,7 +96,7 @@ def clean_generation(text: Column, prompt: Column | None = None, y: Column | Non
     ``step`` (quirk Q18).  The partial answer ``y`` is prefixed."""
     x = F.lower(_unwrap(text, prompt))
     for m in CUT_MARKERS:
-        x = F.when(has(x, m), before_first(x, m)).otherwise(x)
+        x = before_first(x, m)
     ok1 = F.length(strip(x)) >= 2
     x = _keep_two_step_pieces(x)
     ph = F.split(x, FINAL_PHRASE)
@@ -122,13 +123,16 @@ def truncate_generation_lines(text: Column, prompt: Column | None = None) -> Col
     return F.array_join(F.slice(lines, 1, n.cast("int")), "\n")
 
 
-def clean_math_generation(text: Column, prompt: Column | None = None, y: Column | None = None) -> Column:
+def clean_math_generation(text: Column, prompt: Column | None = None, y: Column | None = None,
+                          search: bool = True) -> Column:
     """Newlines to spaces, lower-case, cut at ``q:``, keep through the
-    second ``step`` piece."""
-    x = F.lower(F.replace(_unwrap(text, prompt), F.lit("\n"), F.lit(" ")))
-    x = F.when(has(x, "\n\nq:"), before_first(x, "\n\nq:")).otherwise(x)
-    x = F.when(has(x, "q:"), before_first(x, "q:")).otherwise(x)
-    x = F.when(has(x, "step"), _keep_two_step_pieces(x)).otherwise(x)
+    second ``step`` piece.  Without ``search`` (a whole answer, no single step): lines and steps
+    stay, and the text is cut at ``q:`` and at the first empty line."""
+    x = _unwrap(text, prompt)
+    if search:
+        x = _keep_two_step_pieces(before_first(F.lower(F.replace(x, F.lit("\n"), F.lit(" "))), MATH_CUT))
+    else:
+        x = before_first(before_first(F.lower(x), MATH_CUT), "\n\n")
     return x if y is None else F.concat(y, x)
 
 

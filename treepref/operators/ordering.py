@@ -138,14 +138,14 @@ def global_positions(df: DataFrame, order_by: Sequence[str], bucket: Column,
     ``<c>_cum`` for each column in ``running``.
 
     ``bucket`` must be non-decreasing in the sort order.  The buckets may grow in number with the
-    data, so the join of their offsets is left to AQE.
+    data: their offsets are running sums by ranges of buckets (:func:`range_positions`), and the
+    join of the offsets is left to AQE.
     """
     b = df.withColumn("_bucket", bucket)
+    sums = {"_off": "_n", **{f"_off_{c}": f"_s_{c}" for c in running}}
     stats = b.groupBy("_bucket").agg(F.count("*").alias("_n"), *[F.sum(c).alias(f"_s_{c}") for c in running])
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-                        *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
-                          for c in running])
+    offs = range_positions(stats, ["_bucket"], running=list(sums.values())).select(
+        "_bucket", *[(F.col(f"{c}_cum") - F.col(c)).alias(name) for name, c in sums.items()])
     j = b.join(offs, "_bucket")
     w = Window.partitionBy("_bucket").orderBy(*order_by)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

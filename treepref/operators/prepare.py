@@ -9,6 +9,7 @@ a seeded key ``md5('<seed>:' || id)``, the cut is found by counting leading digi
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,28 +80,25 @@ def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int = 42,
     return out.unionByName(df.where(cut.equal()).limit(cut.ties)) if cut.ties else out
 
 
+def _blank(required: Sequence[str]) -> Column:
+    """Whether any of the columns is null or holds white space only."""
+    return reduce(Column.__or__, [F.coalesce(strip(F.col(c)), F.lit("")) == "" for c in required])
+
+
 def validate_pairs(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """A10: one row: columns present, row count, rows with any blank field."""
     missing = [c for c in required if c not in df.columns]
     if missing:
         return df.sparkSession.createDataFrame([(False, 0, 0, ",".join(missing))],
                                                "columns_ok boolean, n_rows long, n_empty long, missing string")
-    blank = None
-    for c in required:
-        b = F.coalesce(strip(F.col(c)), F.lit("")) == ""
-        blank = b if blank is None else (blank | b)
-    return df.agg(F.count("*").alias("n_rows"), F.sum(F.when(blank, 1).otherwise(0)).cast("bigint").alias("n_empty")).select(
-        F.lit(True).alias("columns_ok"), "n_rows", F.coalesce("n_empty", F.lit(0)).alias("n_empty"),
-        F.lit("").alias("missing"))
+    return df.agg(F.lit(True).alias("columns_ok"), F.count("*").alias("n_rows"),
+                  F.count_if(_blank(required)).alias("n_empty"), F.lit("").alias("missing"))
 
 
 def first_blank_rows(df: DataFrame, seq: str, n: int = 5, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
-    """A10 report: the first ``n`` offending rows (a top-k report)."""
-    blank = None
-    for c in required:
-        b = F.coalesce(strip(F.col(c)), F.lit("")) == ""
-        blank = b if blank is None else (blank | b)
-    return df.where(blank).orderBy(seq).limit(n)
+    """A10 report: the first ``n`` offending rows in source order (a top-k report); rows of equal
+    ``seq`` are told apart by their fields."""
+    return df.where(_blank(required)).orderBy(seq, *required).limit(n)
 
 
 def training_plan(n_rows: Column, batch_size: int = 4, eval_steps: int = 50, pct_warmup: float = 0.1,

@@ -98,6 +98,18 @@ def next_step_cue(y: Column, math: bool = False) -> Column:
             .when(~has(low, "step 3, so the final answer is:"), F.lit(STEP3_CUE)))
 
 
+def continued_prompt(prompt: Column, y: Column, math: bool = False) -> Column:
+    """The prompt of the next call for a text generated so far: prompt, text and cue; without
+    a cue when the text is done.  A math text that reached step 4 without its answer goes on
+    from before that step."""
+    cue = F.coalesce(next_step_cue(y, math), F.lit(""))
+    if not math:
+        return F.concat(prompt, y, cue)
+    low = F.lower(y)
+    unanswered = has(low, "step 2") & has(low, "step 3") & has(low, "step 4") & ~has(low, "answer (arabic numerals")
+    return F.concat(prompt, F.when(unanswered, before_first(low, "step 4")).otherwise(y), cue)
+
+
 def worked_prompt(demos: str) -> Callable[[Column, Column], Column]:
     """Prompt of a math pair: worked examples, the question and the earlier steps."""
     return lambda question, partial: F.concat(F.lit(demos), F.lit("Q: "), question, F.lit("\nA: "), partial)

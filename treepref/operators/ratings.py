@@ -32,6 +32,8 @@ CHOSEN_OPEN, CHOSEN_CLOSE = "<chosen:", "</chosen:"
 REJECT_OPEN, REJECT_CLOSE = "<reject:", "</reject:"
 BOX_PREFIX = "<image>\n"
 BOX_SUFFIX = "\n\nFocus on this region: "
+# Column of the box, as texts or as numbers; tables of this library's own may call it ``bbox``.
+BOX_COLUMN = "Bbox coordinates normalized (X, Y, W, H)"
 # Language columns recognised by the multi-language probe.
 LANGUAGE_COLUMNS = ("vn", "fr", "de", "mandarin", "korean", "japanese", "vi")
 
@@ -61,9 +63,22 @@ def parse_rating(cell: Column) -> Column:
     return F.coalesce(num, tagged)
 
 
-def _rating(df: DataFrame, q: int, v: int, metric: str) -> Column:
-    """Completion rating first, rm_output as fallback."""
-    return F.coalesce(*[parse_rating(_c(df, f"QA{q}.{v}_{rt}_{metric}")) for rt in RATING_TYPES])
+def _box(df: DataFrame) -> Column:
+    """The box of a wide row as text; null where no box column holds one."""
+    cells = [_c(df, name).cast("string") for name in (BOX_COLUMN, "bbox")]
+    return F.coalesce(*[F.when(strip(c) != "", c) for c in cells])
+
+
+def unpivot_ratings(df: DataFrame) -> DataFrame:
+    """(row_id, q, v, metric, rating) for every rated cell of a wide row: the completion
+    rating, or the rm_output one where that is no rating.  Absent columns read as null."""
+    cells = [x for q in QUESTIONS for v in VARIATIONS for m in METRICS
+             for x in (F.lit(q).cast("bigint"), F.lit(v).cast("bigint"), F.lit(m),
+                       *[_c(df, f"QA{q}.{v}_{rt}_{m}") for rt in RATING_TYPES])]
+    n = F.lit(len(QUESTIONS) * len(VARIATIONS) * len(METRICS))
+    rows = df.select("row_id", F.stack(n, *cells).alias("q", "v", "metric", *RATING_TYPES))
+    rating = F.coalesce(*[parse_rating(F.col(rt)) for rt in RATING_TYPES])
+    return rows.select("row_id", "q", "v", "metric", rating.alias("rating")).where("rating IS NOT NULL")
 
 
 RAW_FIELDS = [f"{m}_{rt}" for m in METRICS for rt in RATING_TYPES]
@@ -191,8 +206,7 @@ def union_pairs(wide: DataFrame, languages: Sequence[str] = ("en",), legacy_posi
     never carried: only a derived path string.
     """
     img = F.col("image").isNotNull() if "image" in wide.columns else F.lit(False)
-    box = F.col("bbox") if "bbox" in wide.columns else F.lit(None).cast("string")
-    base = wide.withColumn("_img", img).withColumn("bbox", box)
+    base = wide.withColumn("_img", img).withColumn("bbox", _box(wide))
     carry = ("_img", "bbox")
     allp = None
     for lang in languages:

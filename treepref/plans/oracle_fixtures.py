@@ -121,6 +121,18 @@ FX["pref_eval"] = """
   JOIN documents c ON c.doc_id = a.doc_id + 2
 """
 
+FX["gens"] = """
+  SELECT doc_id, p AS prompt, CASE doc_id % 7
+      WHEN 0 THEN t
+      WHEN 1 THEN p || '<s>Step 1, ' || replace(t, '. ', '. Step 2, ') || '</s>'
+      WHEN 2 THEN p || 'Step 1, ' || t || chr(10) || CASE doc_id % 3 WHEN 0 THEN 'Question: ' WHEN 1 THEN 'Claim: ' ELSE 'Task: ' END || t
+      WHEN 3 THEN 'Input: ' || replace(replace(t, chr(10), chr(10) || 'Input: '), '. ', '.' || chr(10))
+      WHEN 4 THEN p || 'Step 1, ' || replace(t, ', ', ', so the final answer is: ') || ' Q: ' || t
+      WHEN 5 THEN 'Steps: ' || t || chr(10) || 'Answer: ' || t
+      ELSE 'Step 1, ' || t || ' Step 2, so. Step 3, ' || t || ' Step 4, it.' || chr(10) || chr(10) || t END AS text
+  FROM (SELECT doc_id, 'Question: document ' || CAST(doc_id AS VARCHAR) || chr(10) AS p, coalesce(text, '') AS t FROM documents)
+"""
+
 FX["pref_vectors"] = """
   SELECT a.vec_id AS sample_id, a.embedding AS generated, b.embedding AS chosen, c.embedding AS rejected
   FROM embeddings a

@@ -137,12 +137,11 @@ def clean_gen_sql(t: str, p: str) -> str:
             f"THEN {strip(x5)} END")
 
 
-@register("clean_generation", f"""
-  SELECT item_id, sample_id, {clean_gen_sql('text', 'prompt')} AS sample FROM ({GEN_SQL})
-""")
+@register("clean_generation", with_fx(f"""
+  SELECT doc_id, {clean_gen_sql('text', 'prompt')} AS sample FROM gens
+""", "gens"))
 def clean_generation(spark, d):
-    g = _gen(spark, d)
-    return g.select("item_id", "sample_id", G.clean_generation(F.col("text"), F.col("prompt")).alias("sample"))
+    return FX.generations(spark, d).select("doc_id", G.clean_generation(F.col("text"), F.col("prompt")).alias("sample"))
 
 
 def trunc_lines_sql(t: str, p: str) -> str:
@@ -156,12 +155,11 @@ def trunc_lines_sql(t: str, p: str) -> str:
     return f"array_to_string({lines}[1:{n}], chr(10))"
 
 
-@register("truncate_generation_lines", f"""
-  SELECT item_id, sample_id, {trunc_lines_sql('text', 'prompt')} AS sample FROM ({GEN_SQL})
-""")
+@register("truncate_generation_lines", with_fx(f"""
+  SELECT doc_id, {trunc_lines_sql('text', 'prompt')} AS sample FROM gens
+""", "gens"))
 def truncate_generation_lines(spark, d):
-    g = _gen(spark, d)
-    return g.select("item_id", "sample_id", G.truncate_generation_lines(F.col("text"), F.col("prompt")).alias("sample"))
+    return FX.generations(spark, d).select("doc_id", G.truncate_generation_lines(F.col("text"), F.col("prompt")).alias("sample"))
 
 
 def clean_math_sql(t: str, p: str) -> str:
@@ -170,35 +168,41 @@ def clean_math_sql(t: str, p: str) -> str:
     return f"CASE WHEN contains({x1}, 'step') THEN {_two_pieces_sql(x1)} ELSE {x1} END"
 
 
-@register("clean_math_generation", f"""
-  SELECT item_id, sample_id, {clean_math_sql('text', 'prompt')} AS sample FROM ({GEN_SQL})
-""")
+@register("clean_math_generation", with_fx(f"""
+  SELECT doc_id, {clean_math_sql('text', 'prompt')} AS sample FROM gens
+""", "gens"))
 def clean_math_generation(spark, d):
-    g = _gen(spark, d)
-    return g.select("item_id", "sample_id", G.clean_math_generation(F.col("text"), F.col("prompt")).alias("sample"))
+    return FX.generations(spark, d).select("doc_id", G.clean_math_generation(F.col("text"), F.col("prompt")).alias("sample"))
 
 
-@register("split_proposals", f"""
-  WITH g AS (SELECT item_id, sample_id, string_split(text, chr(10)) AS lines FROM ({GEN_SQL})),
+@register("clean_math_answer", with_fx(f"""
+  SELECT doc_id, split_part(split_part(lower({_unwrap_sql('text', 'prompt')}), 'q:', 1), chr(10) || chr(10), 1) AS sample FROM gens
+""", "gens"))
+def clean_math_answer(spark, d):
+    return FX.generations(spark, d).select(
+        "doc_id", G.clean_math_generation(F.col("text"), F.col("prompt"), search=False).alias("sample"))
+
+
+@register("split_proposals", with_fx(f"""
+  WITH g AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM gens),
   i AS (SELECT *, list_filter(list_transform(range(1, len(lines) + 1), lambda j: CASE WHEN contains(lines[j], 'Input') THEN j END),
                               lambda j: j IS NOT NULL) AS idx FROM g),
-  b AS (SELECT item_id, sample_id, CASE WHEN len(idx) > 2 THEN lines[idx[2] + 2:idx[3] - 1] ELSE lines[idx[2] + 2:] END AS block
+  b AS (SELECT doc_id, CASE WHEN len(idx) > 2 THEN lines[idx[2] + 2:idx[3] - 1] ELSE lines[idx[2] + 2:] END AS block
         FROM i WHERE len(idx) >= 2)
-  SELECT item_id, sample_id, CAST(generate_subscripts(block, 1) - 1 AS BIGINT) AS line_no, unnest(block) || chr(10) AS proposal FROM b
-""")
+  SELECT doc_id, CAST(generate_subscripts(block, 1) - 1 AS BIGINT) AS line_no, unnest(block) || chr(10) AS proposal FROM b
+""", "gens"))
 def split_proposals(spark, d):
-    return G.split_proposals(_gen(spark, d), keep=("item_id", "sample_id"))
+    return G.split_proposals(FX.generations(spark, d), keep=("doc_id",))
 
 
-@register("strip_prompt_prefix", f"""
-  SELECT item_id, sample_id,
+@register("strip_prompt_prefix", with_fx(f"""
+  SELECT doc_id,
          {strip("CASE WHEN starts_with(text, prompt) THEN substr(text, length(prompt) + 1) ELSE text END")} AS by_prefix,
          {strip("substr(text, length(prompt) + 1)")} AS by_length
-  FROM ({GEN_SQL})
-""")
+  FROM gens
+""", "gens"))
 def strip_prompt_prefix(spark, d):
-    g = _gen(spark, d)
-    return g.select("item_id", "sample_id", G.strip_prompt_prefix(F.col("text"), F.col("prompt")).alias("by_prefix"),
+    return FX.generations(spark, d).select("doc_id", G.strip_prompt_prefix(F.col("text"), F.col("prompt")).alias("by_prefix"),
                     G.strip_prompt_prefix(F.col("text"), F.col("prompt"), by_length=True).alias("by_length"))
 
 
@@ -209,12 +213,11 @@ def first_line_sql(t: str, p: str) -> str:
     return f"CASE WHEN length({strip(s)}) >= 2 THEN {s} END"
 
 
-@register("first_line_generation", f"""
-  SELECT item_id, sample_id, {first_line_sql('text', 'prompt')} AS sample FROM ({GEN_SQL})
-""")
+@register("first_line_generation", with_fx(f"""
+  SELECT doc_id, {first_line_sql('text', 'prompt')} AS sample FROM gens
+""", "gens"))
 def first_line_generation(spark, d):
-    g = _gen(spark, d)
-    return g.select("item_id", "sample_id", G.first_line_generation(F.col("text"), F.col("prompt")).alias("sample"))
+    return FX.generations(spark, d).select("doc_id", G.first_line_generation(F.col("text"), F.col("prompt")).alias("sample"))
 
 
 SPLIT_TRUTH = "split_part(answer, '####', 2)"

@@ -61,6 +61,17 @@ def validate_pairs(spark, d):
     return PR.validate_pairs(FX.pref_eval(spark, d))
 
 
+@register("first_blank_rows", with_fx(f"""
+  SELECT sample_id, prompt, chosen, rejected FROM (
+    SELECT sample_id, prompt, split_part(chosen, chr(10), 2) AS chosen, split_part(rejected, chr(10), 2) AS rejected FROM pref_eval)
+  WHERE coalesce({strip('prompt')}, '') = '' OR coalesce({strip('chosen')}, '') = '' OR coalesce({strip('rejected')}, '') = ''
+  ORDER BY sample_id LIMIT 5
+""", "pref_eval"))
+def first_blank_rows(spark, d):
+    second = [F.split_part(c, F.lit("\n"), F.lit(2)).alias(c) for c in ("chosen", "rejected")]
+    return PR.first_blank_rows(FX.pref_eval(spark, d).select("sample_id", "prompt", *second), "sample_id")
+
+
 @register("training_plan", f"""
   WITH n AS (
     SELECT CAST(count(*) AS DOUBLE) AS n FROM (

@@ -137,7 +137,7 @@ def scan_wide_parquet(spark, d):
     w = FX.wide_table(spark, d, image_bytes=True)
     cols = [F.col(f"`{c}`") for c in ["row_id"] + FX.wide_columns()]
     return w.select(*cols, F.col("image.path").alias("image_path"),
-                    F.length("image.bytes").cast("bigint").alias("image_bytes"), "bbox")
+                    F.length("image.bytes").cast("bigint").alias("image_bytes"), F.col(f"`{R.BOX_COLUMN}`").alias("bbox"))
 
 
 @register("unpivot_qa", with_fx("""
@@ -152,15 +152,7 @@ def unpivot_qa(spark, d):
   SELECT conv_id AS row_id, q, v, metric, round(rating, 6) AS rating FROM rating WHERE rating IS NOT NULL
 """, "rlhf_rating", extra={"rating": RATING_CTE}))
 def unpivot_ratings(spark, d):
-    w = _wide(spark, d)
-    args = [x for q in R.QUESTIONS for v in R.VARIATIONS for m in R.METRICS
-            for x in (F.lit(q).cast("bigint"), F.lit(v).cast("bigint"), F.lit(m),
-                      *[F.col(f"`QA{q}.{v}_{rt}_{m}`") for rt in R.RATING_TYPES])]
-    x = w.select("row_id", F.stack(F.lit(36), *args).alias("q", "v", "metric", *R.RATING_TYPES))
-    x = x.select("row_id", "q", "v", "metric",
-                 F.coalesce(*[R.parse_rating(F.col(rt)) for rt in R.RATING_TYPES]).alias("rating"))
-    x = x.where(F.col("rating").isNotNull())
-    return x.select("row_id", "q", "v", "metric", r6("rating").alias("rating"))
+    return R.unpivot_ratings(_wide(spark, d)).withColumn("rating", r6("rating"))
 
 
 @register("parse_rating", with_fx(f"""

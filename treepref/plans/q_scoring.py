@@ -148,6 +148,27 @@ def cosine_similarity(spark, d):
                     r6(S.cosine_similarity("generated", "rejected")).alias("rejected_similarity"))
 
 
+def text_cos(va: str, vb: str, a: str, b: str) -> str:
+    return (f"CASE WHEN coalesce({a}, '') = '' AND coalesce({b}, '') = '' THEN 1.0 "
+            f"WHEN coalesce({a}, '') = '' OR coalesce({b}, '') = '' THEN 0.0 ELSE {cos(va, vb)} END")
+
+
+@register("text_similarity", with_fx(f"""
+  SELECT sample_id, round({text_cos('v.generated', 'v.chosen', 't.g', 't.c')}, 6) AS chosen_similarity,
+         round({text_cos('v.generated', 'v.rejected', 't.g', 't.r')}, 6) AS rejected_similarity
+  FROM pref_vectors v JOIN (
+    SELECT sample_id, split_part(generated, chr(10), 2) AS g, split_part(chosen, chr(10), 2) AS c,
+           split_part(rejected, chr(10), 2) AS r FROM pref_eval) t USING (sample_id)
+""", "pref_vectors", "pref_eval"))
+def text_similarity(spark, d):
+    # The second lines of the texts: some texts have none.
+    names = ("generated", "chosen", "rejected")
+    texts = FX.pref_eval(spark, d).select("sample_id", *[F.split_part(c, F.lit("\n"), F.lit(2)).alias(f"{c}_text") for c in names])
+    p = FX.pref_vectors(spark, d).join(texts, "sample_id")
+    return p.select("sample_id", *[
+        r6(S.text_similarity("generated", c, "generated_text", f"{c}_text")).alias(f"{c}_similarity") for c in names[1:]])
+
+
 # F9 ------------------------------------------------------------------------
 @register("has_final_answer", with_fx("""
   SELECT item_id, CAST(CASE WHEN contains(lower(prediction), 'the final answer is') THEN 1 ELSE 0 END AS BIGINT) AS has_final
@@ -239,6 +260,30 @@ def accuracy_avg_any(spark, d):
     return a.select("n_total", "n_scored", r6("acc_avg").alias("acc_avg"), r6("acc_any").alias("acc_any"))
 
 
+@register("gated_accuracy", with_fx(f"""
+  WITH truth AS (
+    SELECT lower(split_part(text, ' ', 1)) AS question,
+           arg_max(split_part(text, ' ', 2) || ' ' || split_part(text, ' ', 3), item_id) AS answer
+    FROM benchmark GROUP BY 1),
+  s AS (
+    SELECT truth.question, CASE WHEN contains(prediction, 'answer is')
+             AND contains(lower({strip('prediction')}), 'so the final answer is')
+             AND {answer_match(QA_E, 'truth.answer')} THEN 1 ELSE 0 END AS correct
+    FROM qa_pred p JOIN benchmark b USING (item_id) JOIN truth ON truth.question = lower(split_part(b.text, ' ', 1))
+    WHERE contains(lower(prediction), 'the final answer is')),
+  per AS (SELECT question, avg(correct) AS a, max(correct) AS m FROM s GROUP BY question),
+  n AS (SELECT count(*) AS n FROM truth)
+  SELECT CAST(any_value(n.n) AS BIGINT) AS n_total, CAST(count(per.question) AS BIGINT) AS n_scored,
+         round(coalesce(sum(a), 0) / any_value(n.n), 6) AS acc_avg, round(coalesce(sum(m), 0) / any_value(n.n), 6) AS acc_any
+  FROM n LEFT JOIN per ON true
+""", "qa_pred"))
+def gated_accuracy(spark, d):
+    b = table(spark, d, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(1))).alias("question"))
+    preds = FX.qa_pred(spark, d).select("item_id", "prediction").join(b, "item_id")
+    a = E.gated_accuracy(preds, _truth_rows(spark, d), S.qa_correct)
+    return a.select("n_total", "n_scored", r6("acc_avg").alias("acc_avg"), r6("acc_any").alias("acc_any"))
+
+
 # A7 / A8 / W4 --------------------------------------------------------------
 RESULTS_SQL = f"""
   SELECT sample_id, prompt, generated, chosen, rejected,

@@ -150,3 +150,15 @@ def scan_run_log(spark, d):
 def image_manifest(spark, d):
     p = table(spark, d, "pages")
     return RD.image_manifest(p, "page_id", F.col("html").cast("binary"))
+
+
+@register("image_manifest_files", """
+  SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS n_bytes, upper(hex(substr(html, 1, 8))) AS magic, 'unknown' AS format FROM pages
+""")
+def image_manifest_files(spark, d):
+    # A file for each page; the text writer ends it with a newline.
+    path = scratch_path(spark, "image-files")
+    table(spark, d, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    files = RD.image_manifest_files(spark, path, pattern="*.txt")
+    page = F.regexp_extract("file", "/page_id=([0-9]+)/", 1).cast("bigint")
+    return files.select(page.alias("page_id"), "n_bytes", "magic", "format")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ratings import BOX_COLUMN
 from ..session import table
 
 METRICS = ("helpful", "honest", "harmless")
@@ -189,6 +190,31 @@ def qa_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
                             part(3), F.lit('".'))).alias("prediction"))
 
 
+def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text as a generation, in seven forms by its id: bare, with the prompt
+    echoed and steps, with a next question, as input lines, with final phrases, as steps and answer lines,
+    and as four steps around an empty line."""
+    t, nl = F.coalesce("text", F.lit("")), F.lit("\n")
+    prompt = F.concat(F.lit("Question: document "), _s("doc_id"), nl)
+    mark = F.get(F.array(*[F.lit(x) for x in ("Question: ", "Claim: ", "Task: ")]), (F.col("doc_id") % 3).cast("int"))
+
+    def each(old, new):
+        return F.replace(t, F.lit(old), F.lit(new))
+
+    forms = [
+        t,
+        F.concat(prompt, F.lit("<s>Step 1, "), each(". ", ". Step 2, "), F.lit("</s>")),
+        F.concat(prompt, F.lit("Step 1, "), t, nl, mark, t),
+        F.concat(F.lit("Input: "), F.replace(each("\n", "\nInput: "), F.lit(". "), F.lit(".\n"))),
+        F.concat(prompt, F.lit("Step 1, "), each(", ", ", so the final answer is: "), F.lit(" Q: "), t),
+        F.concat(F.lit("Steps: "), t, nl, F.lit("Answer: "), t),
+        F.concat(F.lit("Step 1, "), t, F.lit(" Step 2, so. Step 3, "), t, F.lit(" Step 4, it.\n\n"), t)]
+    text = forms[0]
+    for k, form in enumerate(forms[1:], 1):
+        text = F.when(F.col("doc_id") % len(forms) == k, form).otherwise(text)
+    return table(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"), text.alias("text"))
+
+
 def pref_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated / chosen / rejected texts (equi-joins on shifted keys)."""
     docs = table(spark, sf_dir, "documents")
@@ -248,7 +274,7 @@ def wide_columns() -> list[str]:
 
 
 def wide_table(spark: SparkSession, sf_dir: str, image_bytes: bool = False) -> DataFrame:
-    """A1 wide rated table: ``row_id, Q1..A4, Qq.v, Aq.v, QAq.v_type_metric, image, bbox``.
+    """A1 wide rated table: ``row_id, Q1..A4, Qq.v, Aq.v, QAq.v_type_metric, image`` and the box column.
 
     The long fixtures become (name, value) entries, collected into one map per
     row (one shuffle on the row id) and read out column by column.
@@ -283,7 +309,7 @@ def wide_table(spark: SparkSession, sf_dir: str, image_bytes: bool = False) -> D
     emb = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("box_key"),
         F.concat(F.lit("[0."), (F.col("vec_id") % 10).cast("string"), F.lit(", 0."),
-                 (F.col("label") % 10).cast("string"), F.lit(", 0.5, 0.5]")).alias("bbox"))
+                 (F.col("label") % 10).cast("string"), F.lit(", 0.5, 0.5]")).alias(BOX_COLUMN))
     out = wide.join(pages, wide["row_id"] * 3 == pages["img_key"], "left")
     out = out.join(emb, out["row_id"] * 7 == emb["box_key"], "left")
     return out.drop("img_key", "box_key")

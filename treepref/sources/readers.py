@@ -181,13 +181,12 @@ def scan_run_log(spark: SparkSession, path: str) -> DataFrame:
 
     Lines keep their split order (``_metadata.file_path``, block start, row in
     split); each input split is one bucket of the bucketed prefix count, so no
-    single task sorts the whole log (only the per-split counts are ordered).
+    single task sorts the log, nor the counts of its splits.
     """
     raw = spark.read.text(path).select(
         F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"),
         F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-    # one bucket per input split, ordered by (file, block start); the number of
-    # splits grows with the data, so the offsets are joined without a broadcast hint
+    # one bucket per input split, ordered by (file, block start)
     pos = global_positions(raw, ["_m"], F.struct("_f", "_b"))
     return pos.select(F.col("pos").alias("line_no"), "line", F.col("_f").alias("file"))
 
@@ -197,15 +196,32 @@ IMAGE_MAGIC = (("89504E470D0A1A0A", "png"), ("FFD8FF", "jpeg"), ("47494638", "gi
                ("424D", "bmp"))
 
 
+def _image_format(head: Column) -> Column:
+    fmt = F.lit("unknown")
+    for magic, name in reversed(IMAGE_MAGIC):
+        fmt = F.when(F.startswith(head, F.lit(magic)), F.lit(name)).otherwise(fmt)
+    return fmt
+
+
 def image_manifest(df: DataFrame, row_id: str, image_bytes: Column) -> DataFrame:
     """Per row with an image, the derived file name ``img_<row>.png``, the
     payload size and a format sniffed from the leading bytes; null when the
     image is absent.  (Decoding and re-encoding are not performed.)"""
     head = F.hex(F.substring(image_bytes, 1, 8))
-    fmt = F.lit("unknown")
-    for magic, name in reversed(IMAGE_MAGIC):
-        fmt = F.when(F.startswith(head, F.lit(magic)), F.lit(name)).otherwise(fmt)
     present = image_bytes.isNotNull()
     return df.select(row_id, F.when(present, F.concat(F.lit("img_"), F.col(row_id).cast("string"), F.lit(".png"))).alias("path"),
                      F.when(present, F.length(image_bytes)).cast("bigint").alias("n_bytes"),
-                     F.when(present, head).alias("magic"), F.when(present, fmt).alias("format"))
+                     F.when(present, head).alias("magic"), F.when(present, _image_format(head)).alias("format"))
+
+
+def image_manifest_files(spark: SparkSession, path: str, pattern: str = "*", sniff: bool = True) -> DataFrame:
+    """S9 from files: (file, n_bytes, magic, format) of every file below ``path`` whose name
+    matches ``pattern``; an empty folder gives no rows, and neither does a file without bytes, which
+    Spark's scans leave out.
+
+    Name and size come from the listing.  For the leading bytes Spark opens a file at a time and keeps eight
+    bytes of it; with ``sniff=False`` no file is opened, and ``magic`` and ``format`` are null."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    head = F.hex(F.substring("content", 1, 8)) if sniff else F.lit(None).cast("string")
+    out = files.select(F.col("path").alias("file"), F.col("length").alias("n_bytes"), head.alias("magic"))
+    return out.withColumn("format", F.when(F.col("magic").isNotNull(), _image_format(F.col("magic"))))
