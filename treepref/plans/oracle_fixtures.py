@@ -105,14 +105,23 @@ FX["math_raw"] = """
 """
 
 FX["qa_pred"] = """
-  SELECT b.item_id, 'Q' || CAST(b.item_id AS VARCHAR) AS question,
+  SELECT b.item_id, 'Q' || CAST(b.item_id AS VARCHAR) || ': ' || b.text AS question,
          split_part(b.text, ' ', 2) || ' ' || split_part(b.text, ' ', 3) AS ground_truth,
-         CASE WHEN b.item_id % 5 = 0 THEN 'step 1, no conclusion.'
+         'step 1, ' || b.text || chr(10) ||
+         CASE WHEN b.item_id % 5 = 0 THEN 'step 2, no conclusion.'
               WHEN b.item_id % 5 = 1 THEN 'step 3, so the final answer is: ' || split_part(b.text, ' ', 4) || '.'
               ELSE 'Step 3, So the final answer is: "' || lower(split_part(b.text, ' ', 2)) || '-' || split_part(b.text, ' ', 3) || '".' END AS prediction
   FROM benchmark b
 """
 
+FX["verdict_text"] = """
+  SELECT d.doc_id AS question_id, v.e AS eval_id, coalesce(d.text, '') || chr(10) ||
+         CASE (d.doc_id * 3 + v.e) % 6 WHEN 0 THEN 'The thought helps.' || chr(10) || 'Likely' WHEN 1 THEN 'Impossible'
+              WHEN 2 THEN 'So this is unlikely to help.' WHEN 3 THEN 'I am sure of it' WHEN 4 THEN 'no verdict at all'
+              ELSE 'likely, or impossible' END AS output
+  FROM documents d, (SELECT unnest(range(0, 5)) AS e) v
+"""
+
 FX["pref_eval"] = """
   SELECT a.doc_id AS sample_id, a.lang AS prompt, a.text AS generated,
          b.text AS chosen, c.text AS rejected
@@ -151,8 +160,9 @@ FX["run_log"] = """
 """
 
 FX["fact_pred"] = """
-  SELECT doc_id, 'Claim ' || CAST(doc_id AS VARCHAR) AS claim,
+  SELECT doc_id, 'Claim ' || CAST(doc_id AS VARCHAR) || ': ' || coalesce(text, '') AS claim,
          CASE doc_id % 3 WHEN 0 THEN 'SUPPORTS' WHEN 1 THEN 'REFUTES' ELSE 'NOT ENOUGH INFO' END AS label,
+         'step 1, ' || coalesce(text, '') || chr(10) ||
          'so the final answer is: ' || CASE doc_id % 7 WHEN 0 THEN 'suports' WHEN 1 THEN 'it is rejected' WHEN 2 THEN 'refutes' WHEN 3 THEN 'not enough info' WHEN 4 THEN 'no enough info' WHEN 5 THEN 'correct' ELSE 'maybe' END || '.' AS prediction
   FROM documents
 """

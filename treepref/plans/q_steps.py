@@ -302,16 +302,21 @@ def claim_label_vote(spark, d):
     return f.where(F.col("label").isNotNull())
 
 
-@register("claim_pos_rewrite", with_fx(f"""
-  SELECT doc_id, {q(STEP_FINAL)} || label || '.' AS chosen FROM (
-    SELECT doc_id, CASE WHEN contains(p, 'not enough') OR contains(p, 'no enough') THEN 'not enough information'
-                        WHEN contains(p, 'refu') OR contains(p, 'reject') THEN 'refutes'
-                        WHEN contains(p, 'suport') OR contains(p, 'support') THEN 'supports' END AS label
-    FROM (SELECT doc_id, 'step 3, ' || prediction AS p FROM fact_pred))
-  WHERE label IS NOT NULL
+@register("claim_pos_rewrite", with_fx("""
+  SELECT doc_id, chosen FROM (
+    SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN p
+                        WHEN contains(p, 'not enough') OR contains(p, 'no enough') THEN 'step 3, so the final answer is: not enough information.'
+                        WHEN contains(p, 'refu') OR contains(p, 'reject') THEN 'step 3, so the final answer is: refutes.'
+                        WHEN contains(p, 'suport') OR contains(p, 'support') THEN 'step 3, so the final answer is: supports.' END AS chosen
+    FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN prediction
+                              ELSE replace(prediction, 'so the final', 'step 3, so the final') END AS p FROM fact_pred))
+  WHERE chosen IS NOT NULL
 """, "fact_pred"))
 def claim_pos_rewrite(spark, d):
-    f = FX.fact_pred(spark, d).select("doc_id", ST.claim_positive(F.concat(F.lit("step 3, "), F.col("prediction"))).alias("chosen"))
+    # Final steps, and other texts that stay as they are.
+    last = F.replace("prediction", F.lit("so the final"), F.lit("step 3, so the final"))
+    pos = F.when(F.col("doc_id") % 4 == 0, F.col("prediction")).otherwise(last)
+    f = FX.fact_pred(spark, d).select("doc_id", ST.claim_positive(pos).alias("chosen"))
     return f.where(F.col("chosen").isNotNull())
 
 

@@ -49,8 +49,8 @@ def _cv(spark, d):
 
 
 @register("verdict_value", with_fx(f"""
-  SELECT question_id, CAST(eval_id AS BIGINT) AS eval_id, {verdict_sql('output')} AS value FROM verdict
-""", "verdict"))
+  SELECT question_id, CAST(eval_id AS BIGINT) AS eval_id, {verdict_sql('output')} AS value FROM verdict_text
+""", "verdict_text"))
 def verdict_value(spark, d):
     return TR.with_verdict_value(FX.verdict(spark, d)).select("question_id", F.col("eval_id").cast("bigint").alias("eval_id"),
                                                               r6("value").alias("value"))

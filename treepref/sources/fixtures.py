@@ -117,11 +117,12 @@ VERDICT_TEXTS = (
 
 
 def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five raw judge outputs per question."""
-    c = table(spark, sf_dir, "documents").select("doc_id")
-    e = c.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("eval_id"))
+    """Five raw judge outputs per question, each with the document's whole text before its verdict."""
+    c = table(spark, sf_dir, "documents").select("doc_id", "text")
+    e = c.select("doc_id", "text", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("eval_id"))
     k = (F.col("doc_id") * 3 + F.col("eval_id")) % 6
     out = F.element_at(F.array(*[F.lit(t) for t in VERDICT_TEXTS]), (k + 1).cast("int"))
+    out = F.concat(F.coalesce("text", F.lit("")), F.lit("\n"), out)
     return e.select(F.col("doc_id").alias("question_id"), "eval_id", out.alias("output"))
 
 
@@ -175,19 +176,20 @@ def math_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def qa_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Free-text answers against a ground truth."""
+    """Free-text answers that quote the whole item, against a ground truth."""
     b = table(spark, sf_dir, "benchmark")
+    thought = F.concat(F.lit("step 1, "), F.col("text"), F.lit("\n"))
 
     def part(i):
         return F.split_part(F.col("text"), F.lit(" "), F.lit(i))
 
     return b.select(
-        "item_id", F.concat(F.lit("Q"), _s("item_id")).alias("question"),
+        "item_id", F.concat(F.lit("Q"), _s("item_id"), F.lit(": "), F.col("text")).alias("question"),
         F.concat(part(2), F.lit(" "), part(3)).alias("ground_truth"),
-        F.when(F.col("item_id") % 5 == 0, F.lit("step 1, no conclusion."))
-        .when(F.col("item_id") % 5 == 1, F.concat(F.lit("step 3, so the final answer is: "), part(4), F.lit(".")))
-        .otherwise(F.concat(F.lit('Step 3, So the final answer is: "'), F.lower(part(2)), F.lit("-"),
-                            part(3), F.lit('".'))).alias("prediction"))
+        F.concat(thought, F.when(F.col("item_id") % 5 == 0, F.lit("step 2, no conclusion."))
+                 .when(F.col("item_id") % 5 == 1, F.concat(F.lit("step 3, so the final answer is: "), part(4), F.lit(".")))
+                 .otherwise(F.concat(F.lit('Step 3, So the final answer is: "'), F.lower(part(2)), F.lit("-"),
+                                     part(3), F.lit('".')))).alias("prediction"))
 
 
 def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,12 +256,12 @@ CLAIM_ANSWERS = ("suports", "it is rejected", "refutes", "not enough info", "no
 
 
 def fact_pred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three-way claim labels and free-text predictions."""
-    d = table(spark, sf_dir, "documents").select("doc_id")
+    """Three-way claim labels and free-text predictions; claims and predictions hold the document's whole text."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lab = F.element_at(F.array(*[F.lit(x) for x in CLAIM_LABELS]), (F.col("doc_id") % 3 + 1).cast("int"))
     ans = F.element_at(F.array(*[F.lit(x) for x in CLAIM_ANSWERS]), (F.col("doc_id") % 7 + 1).cast("int"))
-    return d.select("doc_id", F.concat(F.lit("Claim "), _s("doc_id")).alias("claim"), lab.alias("label"),
-                    F.concat(F.lit("so the final answer is: "), ans, F.lit(".")).alias("prediction"))
+    return d.select("doc_id", F.concat(F.lit("Claim "), _s("doc_id"), F.lit(": "), F.col("text")).alias("claim"), lab.alias("label"),
+                    F.concat(F.lit("step 1, "), F.col("text"), F.lit("\nso the final answer is: "), ans, F.lit(".")).alias("prediction"))
 
 
 # ---------------------------------------------------------------------------
