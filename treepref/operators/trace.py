@@ -139,25 +139,39 @@ def answer_line_join(y: Column, claim: bool = False, final_sentence: str = FINAL
     then drop trailing lines without the final phrase and join lines by a
     space.  Null when the final phrase is missing (or, for claims, when only
     one line is left of several)."""
+    x = _vote_text(y, claim)
+    return F.when(_has_vote(x, claim, final_sentence), _joined_lines(x, final_sentence))
+
+
+def _vote_text(y: Column, claim: bool) -> Column:
     x = replace_chain(y, CLAIM_VOTE_REWRITES if claim else VOTE_REWRITES)
-    x = F.replace(F.lower(F.split_part(x, F.lit("\n\n"), F.lit(1))), F.lit(FINAL_PHRASE_FIX[0]),
-                  F.lit(FINAL_PHRASE_FIX[1]))
-    lines = F.split(x, "\n")
-    last = F.array_max(F.transform(lines, lambda ln, i: F.when(F.instr(ln, final_sentence) > 0, i + 1).otherwise(0)))
-    n = F.size(lines)
-    kept = F.array_join(F.slice(lines, 1, F.greatest(last, F.lit(1))), " ")
+    return F.replace(F.lower(F.split_part(x, F.lit("\n\n"), F.lit(1))), F.lit(FINAL_PHRASE_FIX[0]), F.lit(FINAL_PHRASE_FIX[1]))
+
+
+def _last_final_line(lines: Column, final_sentence: str) -> Column:
+    return F.array_max(F.transform(lines, lambda ln, i: F.when(F.instr(ln, final_sentence) > 0, i + 1).otherwise(0)))
+
+
+def _has_vote(x: Column, claim: bool, final_sentence: str) -> Column:
     ok = has(x, final_sentence)
-    if claim:
-        ok = ok & ((n == 1) | (last > 1))
-    else:
-        ok = ok & ((n == 1) | (last >= 1))
-    return F.when(ok, F.when(n == 1, x).otherwise(kept))
+    if not claim:
+        return ok
+    lines = F.split(x, "\n")
+    return ok & ((F.size(lines) == 1) | (_last_final_line(lines, final_sentence) > 1))
+
+
+def _joined_lines(x: Column, final_sentence: str) -> Column:
+    """The lines up to the last one with the final phrase, which must occur."""
+    lines = F.split(x, "\n")
+    return F.array_join(F.slice(lines, 1, _last_final_line(lines, final_sentence)), " ")
 
 
 def _vote_items(final: DataFrame, value: str, claim: bool, final_sentence: str) -> DataFrame:
-    it = final.select("question_id", answer_line_join(F.col("candidate"), claim, final_sentence).alias("item"),
-                      F.bround(F.col(value).cast("double"), 3).cast("decimal(18,3)").alias("v"))
-    it = it.where(F.col("item").isNotNull())
+    # The rewritten text has its own projection and its own test, so that neither repeats the joining.
+    v = F.bround(F.col(value).cast("double"), 3).cast("decimal(18,3)").alias("v")
+    it = final.select("question_id", _vote_text(F.col("candidate"), claim).alias("_x"), v)
+    it = it.where(_has_vote(F.col("_x"), claim, final_sentence))
+    it = it.select("question_id", _joined_lines(F.col("_x"), final_sentence).alias("item"), "v")
     return it.groupBy("question_id", "item").agg(
         F.try_divide(F.sum("v").cast("double"), F.count("v")).alias("value"))
 

@@ -72,12 +72,12 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     whatever quotes, marks and line ends they have, and one in seven final candidates
     lacks the final phrase."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
-    # A few words from the middle and the end of the whole text.
-    d = d.select("d", *[F.split_part("text", F.lit(" "), F.lit(1) + F.floor(
-        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))) * F.lit(k) / 8).cast("int")).alias(f"w{k}")
-        for k in range(9)])
-    words = F.array(*[f"w{k}" for k in range(9)])
-    l0 = d.select("d", words.alias("w"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j0"))
+    # A few words from the middle and the end of the whole text.  What is left of a question is small and is
+    # dealt by question, which the windows, joins and aggregates after it ask for anyhow.
+    d = d.select("d", F.split("text", " ").alias("parts"))
+    d = d.select("d", F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: F.get(
+        "parts", F.floor((F.size("parts") - 1) * k / 8).cast("int"))).alias("w")).repartition("d")
+    l0 = d.select("d", "w", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j0"))
     l0 = l0.withColumn("y", F.concat(F.lit("step 1, find entity "), F.get("w", ((F.col("d") * 7 + F.col("j0")) % 5).cast("int")), F.lit(".")))
     l1 = l0.select("d", "w", "j0", "y", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j1"))
     l1 = l1.withColumn("y", F.concat(F.col("y"), F.lit(" step 2, use fact "),
