@@ -68,8 +68,9 @@ def validate_pairs(spark, d):
   ORDER BY sample_id LIMIT 5
 """, "pref_eval"))
 def first_blank_rows(spark, d):
-    second = [F.split_part(c, F.lit("\n"), F.lit(2)).alias(c) for c in ("chosen", "rejected")]
-    return PR.first_blank_rows(FX.pref_eval(spark, d).select("sample_id", "prompt", *second), "sample_id")
+    # The second lines of the texts: some texts have none.
+    lines = FX.pref_eval(spark, d, line=2).select("sample_id", "prompt", "chosen", "rejected")
+    return PR.first_blank_rows(lines, "sample_id")
 
 
 @register("training_plan", f"""

@@ -163,7 +163,7 @@ def text_cos(va: str, vb: str, a: str, b: str) -> str:
 def text_similarity(spark, d):
     # The second lines of the texts: some texts have none.
     names = ("generated", "chosen", "rejected")
-    texts = FX.pref_eval(spark, d).select("sample_id", *[F.split_part(c, F.lit("\n"), F.lit(2)).alias(f"{c}_text") for c in names])
+    texts = FX.pref_eval(spark, d, line=2).select("sample_id", *[F.col(c).alias(f"{c}_text") for c in names])
     p = FX.pref_vectors(spark, d).join(texts, "sample_id")
     return p.select("sample_id", *[
         r6(S.text_similarity("generated", c, "generated_text", f"{c}_text")).alias(f"{c}_similarity") for c in names[1:]])

@@ -217,9 +217,12 @@ def generations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"), text.alias("text"))
 
 
-def pref_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated / chosen / rejected texts (equi-joins on shifted keys)."""
+def pref_eval(spark: SparkSession, sf_dir: str, line: int | None = None) -> DataFrame:
+    """Generated / chosen / rejected texts (equi-joins on shifted keys), or the given line of each,
+    taken before the joins so that whole texts are not shuffled for it."""
     docs = table(spark, sf_dir, "documents")
+    if line:
+        docs = docs.withColumn("text", F.split_part("text", F.lit("\n"), F.lit(line)))
     # Hash-partition the driving side on the join key: the joins need exactly
     # this distribution when they shuffle (large inputs), and when AQE
     # broadcasts the other sides the per-row text work still spreads over tasks.
