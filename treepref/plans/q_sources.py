@@ -153,12 +153,14 @@ def image_manifest(spark, d):
 
 
 @register("image_manifest_files", """
-  SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS n_bytes, upper(hex(substr(html, 1, 8))) AS magic, 'unknown' AS format FROM pages
+  SELECT page_id // 100 AS folder, CAST(sum(strlen(html) + 1) AS BIGINT) AS n_bytes,
+         upper(hex(substr(arg_min(html, page_id), 1, 8))) AS magic, 'unknown' AS format FROM pages GROUP BY 1
 """)
 def image_manifest_files(spark, d):
-    # A file for each page; the text writer ends it with a newline.
+    # A file for every hundred page ids, each page ended by a newline.
     path = scratch_path(spark, "image-files")
-    table(spark, d, "pages").select("page_id", "html").write.partitionBy("page_id").text(path)
+    pages = table(spark, d, "pages").select(F.floor(F.col("page_id") / 100).alias("folder"), "page_id", "html")
+    pages.repartition("folder").sortWithinPartitions("folder", "page_id").drop("page_id").write.partitionBy("folder").text(path)
     files = RD.image_manifest_files(spark, path, pattern="*.txt")
-    page = F.regexp_extract("file", "/page_id=([0-9]+)/", 1).cast("bigint")
-    return files.select(page.alias("page_id"), "n_bytes", "magic", "format")
+    folder = F.regexp_extract("file", "/folder=([0-9]+)/", 1).cast("bigint")
+    return files.select(folder.alias("folder"), "n_bytes", "magic", "format")
