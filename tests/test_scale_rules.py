@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from treepref.functions.score import verdict_value
 from treepref.operators import evaluate, ordering, prepare, prompts, steps, trace
-from treepref.session import materialize, scratch_path
-from treepref.sources import readers, sinks
+from treepref.session import dealt, materialize, scratch_path
+from treepref.sources import fixtures, readers, sinks
 
 
 def plan(df):
@@ -197,6 +197,23 @@ def test_materialized_table_is_read_back_whole(spark):
     assert materialize(spark.range(10)).count() == 10
 
 
+# --- tables whose rows become many
+
+
+def test_rows_are_dealt_by_their_number(spark):
+    out = dealt(spark.range(1000), "id", 100)
+    assert out.groupBy(F.spark_partition_id()).count().count() == 10 and out.distinct().count() == 1000
+
+
+def test_traces_are_not_folded_into_one_task(spark, tmp_path):
+    d = str(tmp_path)
+    spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), "id").alias("text")).coalesce(1).write.parquet(f"{d}/documents.parquet")
+    spark.range(400).select(F.col("id").alias("p_partkey"), F.lit(7).alias("p_size")).coalesce(1).write.parquet(f"{d}/part.parquet")
+    for t, each in ((fixtures.trace(spark, d), 40), (fixtures.math_trace(spark, d), 30)):
+        tasks = [r[1] for r in t.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 400 * each and max(tasks) < 200 * each
+
+
 # --- J4
 
 

@@ -7,6 +7,7 @@ This module only builds a session for tests, bench and the CLI-free examples.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -132,6 +133,20 @@ def materialize(df: DataFrame, name: str = "stage", path: str | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task gets of a table whose rows become many (:func:`dealt`).
+ROWS_PER_TASK = 10_000
+
+
+def dealt(df: DataFrame, key: str, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """Rows dealt by ``key`` over tasks of about ``rows`` rows each, one task a core at least.
+
+    For a narrow table whose rows become many, or cost much, in the same stage: AQE would
+    fold its few bytes into one task, however many rows they stand for, and does not fold
+    partitions whose number is given."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(df.count() / rows))
+    return df.repartition(n, key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

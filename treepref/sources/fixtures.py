@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ratings import BOX_COLUMN
-from ..session import table
+from ..session import dealt, table
 
 METRICS = ("helpful", "honest", "harmless")
 RATING_TYPES = ("completion", "rm_output")
@@ -72,11 +72,11 @@ def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     whatever quotes, marks and line ends they have, and one in seven final candidates
     lacks the final phrase."""
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("d"), F.coalesce("text", F.lit("")).alias("text"))
-    # A few words from the middle and the end of the whole text.  What is left of a question is small and is
-    # dealt by question, which the windows, joins and aggregates after it ask for anyhow.
+    # A few words from the middle and the end of the whole text.  What is left of a question is small, becomes
+    # 40 rows, and is dealt by question, which the windows, joins and aggregates after it ask for anyhow.
     d = d.select("d", F.split("text", " ").alias("parts"))
-    d = d.select("d", F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: F.get(
-        "parts", F.floor((F.size("parts") - 1) * k / 8).cast("int"))).alias("w")).repartition("d")
+    d = dealt(d.select("d", F.transform(F.sequence(F.lit(0), F.lit(8)), lambda k: F.get(
+        "parts", F.floor((F.size("parts") - 1) * k / 8).cast("int"))).alias("w")), "d")
     l0 = d.select("d", "w", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("j0"))
     l0 = l0.withColumn("y", F.concat(F.lit("step 1, find entity "), F.get("w", ((F.col("d") * 7 + F.col("j0")) % 5).cast("int")), F.lit(".")))
     l1 = l0.select("d", "w", "j0", "y", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("j1"))
@@ -130,7 +130,9 @@ def math_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-step candidates of a sum about every part, 2 + 4 + 8 + 16 per question; one final step in five
     names no number."""
     size = F.col("p_size").cast("int")
-    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("d"), size.alias("v"), F.lit(0).alias("path"), F.lit("").alias("y"))
+    # A part is a few bytes and becomes 30 candidates.
+    rows = dealt(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("d"), size.alias("v")), "d")
+    rows = rows.select("*", F.lit(0).alias("path"), F.lit("").alias("y"))
     out = None
     for step in range(4):
         rows = rows.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("j"))
