@@ -242,6 +242,28 @@ def test_negatives_by_prefix_equal_the_pairwise_test(spark):
     assert steps.negatives_by_prefix(p.where("false"), c).count() == steps.negatives_by_prefix(p, c.where("false")).count() == 0
 
 
+def test_chains_run_once_a_row(spark, tmp_path):
+    # A filter on a rewritten text, or a null test of a join key, must not repeat the rewriting below a shuffle.
+    rows = [(1, k, f"step 1, x. step {k + 1}, y {j}.") for k in (0, 1) for j in range(3)]
+    spark.createDataFrame(rows, "question_id long, step int, candidate string").write.parquet(f"{tmp_path}/c")
+    spark.createDataFrame([(1, 0, "p.", ""), (1, 1, "p.", "step 1, x."), (1, 1, "p.", "step 1, x.")],
+                          "question_id long, step long, pos string, prefix string").write.parquet(f"{tmp_path}/p")
+    p, c = spark.read.parquet(f"{tmp_path}/p"), spark.read.parquet(f"{tmp_path}/c")
+    qs = spark.createDataFrame([(1, "why?")], "question_id long, question string")
+    runs = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("therefore, the final answer is,")
+    negs = steps.negatives_by_prefix(p, c)
+    assert negs.count() == negs.distinct().count() == 6 and runs(negs) == 2  # level 0, later levels
+    assert runs(steps.drop_positive_negatives(negs, p).where("length(neg) > 3")) == runs(negs) + 1
+    pairs = steps.explode_pairs(steps.drop_positive_negatives(negs, p), qs)
+    assert pairs.count() == 6 and runs(pairs) == runs(negs) + 1
+
+
+def test_vote_rewrites_an_item_once(spark):
+    c = spark.range(6).selectExpr("id % 2 question_id", "'So the final answer is: The ' || (id % 3) || '.' candidate", "1 value")
+    v = trace.answer_vote_value(c)
+    assert "lower(" not in plan(v) and {(r.question_id, r.answer) for r in v.collect()} == {(0, "0"), (1, "0")}
+
+
 # --- S3
 
 

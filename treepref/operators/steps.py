@@ -203,12 +203,10 @@ def _with_remainder(df: DataFrame, whole: str = "whole", prefix: str = "prefix",
     return d.withColumn(out, anchored).drop("_cut")
 
 
-def _prefix_starts(whole: Column) -> Column:
-    """1-based positions of every ``step`` in a text, where a prefix can begin."""
-    parts = F.split(whole, "step")
-    ends = F.aggregate(F.slice(parts, 1, F.size(parts) - 1), F.array(F.lit(1)),
-                       lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x) + 4)))
-    return F.transform(F.slice(ends, 2, 1 << 20), lambda e: e - 4)
+def _once(df: DataFrame, keep: list[str], **texts: Column) -> DataFrame:
+    """Columns ``keep`` and the named texts, each computed once a row: a filter on the output of a
+    one-row generator is not pushed below it, where it would compute the text again."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(name) for name, c in texts.items()]))))
 
 
 def negatives_by_prefix(positives: DataFrame, levels: DataFrame) -> DataFrame:
@@ -225,31 +223,36 @@ def negatives_by_prefix(positives: DataFrame, levels: DataFrame) -> DataFrame:
     Level 0 has no prefix: there all candidates answer, and the join is on the level.
     A null prefix meets nothing.
     """
-    lv = levels.select("question_id", F.col("step").cast("bigint").alias("step"), "candidate").dropDuplicates()
-    lv = lv.withColumn("norm", F.when(F.col("step") == 0, normalize_b(F.col("candidate")))
-                       .otherwise(normalize_c(F.col("candidate")))).select("question_id", "step", "norm").dropDuplicates()
-    key = ["question_id", "step"]
-    first = positives.where("step = 0").join(lv.where("step = 0").withColumnRenamed("norm", "neg"), key)
-
-    later = _matchable(lv.where("step > 0"))
+    key, cols = ["question_id", "step"], ["question_id", "step", "pos", "prefix", "neg"]
+    lv = _once(levels.select("question_id", F.col("step").cast("bigint").alias("step"), "candidate"), key,
+               norm=F.when(F.col("step") == 0, normalize_b(F.col("candidate"))).otherwise(normalize_c(F.col("candidate"))))
+    lv = lv.dropDuplicates()
+    # Distinct positives that meet distinct negatives give distinct rows.
+    distinct = positives.select(*cols[:4]).dropDuplicates()
+    first = distinct.where("step = 0").join(lv.where("step = 0").withColumnRenamed("norm", "neg"), key)
+
+    later = _matchable(lv.where("step > 0")).where(has("whole", "step"))
     prefixes = positives.where("step > 0").select(*key, "prefix").dropDuplicates()
     lengths = prefixes.groupBy(*key).agg(F.collect_set(F.length("prefix")).alias("lengths"))
-    places = later.join(lengths, key).withColumn("at", F.explode(_prefix_starts(F.col("whole")))).withColumn(
-        "n", F.explode("lengths")).where(F.col("at") + F.col("n") - 1 <= F.length("whole"))
+    # A prefix can begin at the k-th "step" of a text.
+    marks = later.join(lengths, key).select(*key, "whole", "lengths", F.explode(
+        F.sequence(F.lit(1), F.size(F.split("whole", "step")) - 1)).alias("k"))
+    at = F.length(F.call_function("substring_index", "whole", F.lit("step"), "k")) + 1
+    places = marks.select(*key, "whole", F.length("whole").alias("size"), at.alias("at"), F.explode("lengths").alias("n"))
+    places = places.where(F.col("at") + F.col("n") - 1 <= F.col("size"))
     held = places.select(*key, "whole", F.xxhash64(F.substring("whole", F.col("at"), F.col("n"))).alias("hash"))
     met = held.join(prefixes.withColumn("hash", F.xxhash64("prefix")), [*key, "hash"])
     met = met.where(F.instr("whole", F.col("prefix")) > 0).select(*key, "prefix", "whole")
-    found = _with_remainder(met).select(*key, "prefix", "neg").dropDuplicates()
-    rest = positives.where("step > 0").join(found, [*key, "prefix"])
-    cols = ["question_id", "step", "pos", "prefix", "neg"]
+    found = _once(_with_remainder(met, out="_neg"), [*key, "prefix"], neg=F.col("_neg")).dropDuplicates()
+    rest = distinct.where("step > 0").join(found, [*key, "prefix"])
     out = first.select(*cols).unionByName(rest.select(*cols))
-    return out.where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos"))).dropDuplicates()
+    return out.where(F.col("neg").isNotNull() & (F.col("neg") != F.col("pos")))
 
 
 def drop_positive_negatives(negs: DataFrame, positives: DataFrame) -> DataFrame:
     """Rewrite negatives (chain D) and drop those equal to any positive of
     the same question and level (``left_anti``)."""
-    n = negs.withColumn("neg", normalize_d(F.col("neg")))
+    n = _once(negs, [c for c in negs.columns if c != "neg"], neg=normalize_d(F.col("neg")))
     p = positives.select("question_id", "step", F.col("pos").alias("neg")).dropDuplicates()
     return n.join(p, ["question_id", "step", "neg"], "left_anti")
 
@@ -300,11 +303,7 @@ def explode_pairs(negs: DataFrame, questions: DataFrame, claim: bool = False, sp
     j = j.withColumn("chosen_raw", claim_positive(F.col("pos"), spec) if claim else F.col("pos")).where(F.col("chosen_raw").isNotNull())
     if spec.number:
         j = j.where(number_given(F.col("chosen_raw"), spec))
-    # A one-row generator evaluates each chain once: filters on its output are
-    # not pushed below it, which would copy the chains into every test.
-    j = j.select("prompt", F.inline(F.array(F.struct(
-        replace_chain(F.col("chosen_raw"), POS_CLEAN).alias("pre_pos"),
-        replace_chain(F.col("neg"), NEG_CLEAN).alias("pre_neg")))))
+    j = _once(j, ["prompt"], pre_pos=replace_chain(F.col("chosen_raw"), POS_CLEAN), pre_neg=replace_chain(F.col("neg"), NEG_CLEAN))
     j = j.where(pair_kept(F.col("pre_pos"), F.col("pre_neg")))
     return j.select("prompt", truncate_to_last_stop("pre_pos").alias("chosen"),
                     truncate_to_last_stop("pre_neg").alias("rejected")).distinct()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.score import verdict_value
 from ..functions.text import after_first, any_contains, extract_number_last, has, normalize_answer, replace_chain
+from ..session import materialize
 from .ordering import grouped_positions, range_bucket, value_bucket
 
 # --- fixed values (must equal the reference's behaviour) -------------------
@@ -187,8 +188,9 @@ def answer_vote_value(final: DataFrame, value: str = "value", final_sentence: st
     the winner's items with their values.
     """
     items = _vote_items(final, value, False, final_sentence)
-    items = items.withColumn("answer", normalize_answer(F.replace(after_first("item", final_sentence),
-                                                                    F.lit("."), F.lit(""))))
+    # Read by the vote and again by its winners.
+    items = materialize(items.withColumn("answer", normalize_answer(F.replace(after_first("item", final_sentence),
+                                                                                F.lit("."), F.lit("")))), "items")
     # Decimal sums do not depend on the order of the rows, so a tie is a tie in every run.
     s = F.bround(F.sum(F.col("value").cast("decimal(28,12)")), 9)
     groups = items.groupBy("question_id", "answer").agg(s.alias("s"), F.min("value").alias("m"))

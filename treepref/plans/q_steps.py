@@ -352,6 +352,7 @@ def _math_sql() -> dict[str, str]:
 def math_step_pairs(spark, d):
     lv = materialize(FX.math_trace(spark, d))
     final = lv.where(F.col("step") == ST.MATH_STEPS.n_steps - 1).withColumnRenamed("score", "value")
-    sel = TR.answer_vote_value(final, final_sentence=TR.MATH_FINAL_SENTENCE, math=True).select("question_id", "item", "value")
+    # Read by the best answer and again by the positives.
+    sel = materialize(TR.answer_vote_value(final, final_sentence=TR.MATH_FINAL_SENTENCE, math=True).select("question_id", "item", "value"))
     qs = table(spark, d, "part").select(F.col("p_partkey").alias("question_id"), F.col("p_name").alias("question"))
     return ST.step_pairs(lv, sel, qs, spec=ST.MATH_STEPS, prompt=worked_prompt(WORKED))

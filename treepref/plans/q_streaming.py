@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as E
 from ..operators import trace as TR
 from ..operators.ratings import PAIR_COLUMNS
-from ..session import scratch_path, table
+from ..session import ROWS_PER_TASK, dealt, scratch_path, table
 from ..sources import fixtures as FX
 from ..streaming import streams as ST
 from .oracle_fixtures import with_fx
@@ -61,8 +61,8 @@ def stream_running_accuracy(spark, d):
 @register("stream_step_pairs", with_fx("SELECT prompt, chosen, rejected FROM pairs", "trace",
                                        extra={**CHAIN["extra"], "pairs": PAIRS_SQL}))
 def stream_step_pairs(spark, d):
-    # Whole questions to a file.
-    src, schema = _stage(FX.trace_tree(spark, d).repartition("question_id"), spark, "stream-traces")
+    # Whole questions to a file, 40 rows each.
+    src, schema = _stage(dealt(FX.trace_tree(spark, d), "question_id", 40 * ROWS_PER_TASK), spark, "stream-traces")
     sink, ck = scratch_path(spark, "stream-steps"), scratch_path(spark, "stream-steps-ck")
     ST.stream_step_pairs(spark, src, schema, sink, ck, _questions(spark, d), lambda lv: _selected(spark, d, lv),
                          lambda t: TR.search(t).drop("parent_id"))
