@@ -176,6 +176,17 @@ def test_suffix_array_counts_pages_of_each_run():
     assert dict(zip(keys.tolist(), pages.tolist())) == dict(want)
 
 
+def test_op3_runs_decide_beside_an_article_too(spark):
+    notice = "we publish a new story every day of the week at noon"
+    pages = [(k, "http://h.org/x", f"<div>{notice}</div><div>Lead {k} of the story</div><article><p>{notice}</p><p>Body {k}</p></article>")
+             for k in range(3)]
+    pages.append((3, "http://h.org/y", "<nav>menu</nav><article><p>alone</p></article>"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = dict(rows(htmltext.main_text(df), "page_id", "text"))
+    # The repeated block goes, in the article it stays; what one page alone says stays, in page order.
+    assert got == {**{k: f"Lead {k} of the story\n{notice}\nBody {k}" for k in range(3)}, 3: "alone"}
+
+
 def test_op3_registered_query(spark):
     got = queries.op3(spark, SMALL)
     assert got.columns == ["page_id", "url", "text", "n_chars"]

@@ -10,8 +10,8 @@ sorted as a suffix array by prefix doubling; neighbours that share ``RUN``
 tokens or more and belong to distinct pages are repeated runs.  A block without
 a role is boilerplate if repeated runs cover at least half of it, and is kept
 otherwise.  Blocks of an article are kept even where they repeat (copies of an
-article are articles), and furniture goes even where it does not.  So on a page
-with an article element the markup decides, on others the suffix array does.
+article are articles), and furniture goes even where it does not.  The blocks
+without a role are judged so on every page, whether it has an article element or not.
 
 A host of any size is dealt into shards of about ``SHARD_TOKENS``; each shard
 sorts its own suffixes and names its distinct runs with the number of pages they
@@ -216,27 +216,29 @@ def suffix_runs(streams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """For each page: id, url, host, the article's text or null, the other blocks, the stream."""
+    """For each page: id, url, host, the text if all its blocks have a role (else null), the blocks that are
+    no furniture, whether each lies in an article, the stream."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, others, streams = [], [], []
+            texts, kept, fixed, streams = [], [], [], []
             for page in b.column(3):
                 found = blocks(page.as_py() or "")
-                article = [t for role, t in found if role == ARTICLE]
-                out = [t for role, t in found if role != ARTICLE]
-                texts.append("\n".join(article) if article else None)
-                others.append([] if article else [t for role, t in found if role == OTHER])
+                body = [(role == ARTICLE, t) for role, t in found if role != FURNITURE]
+                open_ = not body or not all(f for f, _ in body)
+                texts.append(None if open_ else "\n".join(t for _, t in body))
+                kept.append([t for _, t in body] if open_ else [])
+                fixed.append([f for f, _ in body] if open_ else [])
                 # Blocks without a role come last, so that their tokens are the end of the stream.
-                if not article:
-                    out = [t for role, t in found if role == FURNITURE] + others[-1]
+                out = [t for role, t in found if role == FURNITURE] + [t for f, t in body if not f]
                 streams.append(stream_hashes(out)[0].tobytes() if out else b"")
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(texts, pa.string()), pa.array(others, pa.list_(pa.string())),
-                 pa.array(streams, pa.binary())], ["id", "url", "host", "text", "others", "stream"])
+                [*b.columns[:3], pa.array(texts, pa.string()), pa.array(kept, pa.list_(pa.string())),
+                 pa.array(fixed, pa.list_(pa.bool_())), pa.array(streams, pa.binary())],
+                ["id", "url", "host", "text", "blocks", "fixed", "stream"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     return pages.mapInArrow(rows, f"id {kinds['id']}, url {kinds['url']}, host string, text string, "
-                                  "others array<string>, stream binary")
+                                  "blocks array<string>, fixed array<boolean>, stream binary")
 
 
 def _host_runs(streams: DataFrame) -> DataFrame:
@@ -261,7 +263,7 @@ def _host_runs(streams: DataFrame) -> DataFrame:
 
 
 def _unrepeated(rows_in: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(id, url, text) of pages without an article: their blocks that repeated runs do not cover."""
+    """(id, url, text) of pages with blocks without a role: their articles' blocks and those that repeated runs do not cover."""
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for key, host, stream in zip(*(c.to_pylist() for c in b.columns)):
@@ -273,12 +275,13 @@ def _unrepeated(rows_in: DataFrame, repeated: DataFrame) -> DataFrame:
     held = rows_in.select("key", "host", "stream").mapInArrow(places, "key long, host string, run long, place long")
     # A page's places are bounded by its own length.
     covered = held.join(repeated, ["host", "run"], "left_semi").groupBy("key").agg(F.collect_list("place").alias("places"))
-    both = rows_in.join(covered, "key", "left").select("id", "url", "others", "stream", "places")
+    both = rows_in.join(covered, "key", "left").select("id", "url", "blocks", "fixed", "stream", "places")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for others, stream, places in zip(*(c.to_pylist() for c in b.columns[2:])):
+            for body, fixed, stream, places in zip(*(c.to_pylist() for c in b.columns[2:])):
+                others = [t for t, f in zip(body, fixed) if not f]
                 n = len(stream) // 8
                 hit = np.zeros(n + 1, np.int64)
                 at = np.array(places or [], np.int64)
@@ -286,8 +289,8 @@ def _unrepeated(rows_in: DataFrame, repeated: DataFrame) -> DataFrame:
                 np.add.at(hit, at + RUN, -1)
                 inside = np.cumsum(hit[:n]) > 0
                 ends = n - np.cumsum([0, *[len(t.split(' ')) for t in reversed(others)]])[::-1]
-                out.append("\n".join(t for t, f, e in zip(others, ends[:-1], ends[1:])
-                                     if 2 * inside[f:e].sum() < max(1, e - f)))
+                unique = iter([2 * inside[f:e].sum() < max(1, e - f) for f, e in zip(ends[:-1], ends[1:])])
+                out.append("\n".join(t for t, f in zip(body, fixed) if f or next(unique)))
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(out, pa.string())], ["id", "url", "text"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows_in.schema.fields}
@@ -302,7 +305,7 @@ def main_text(df: DataFrame, id: str = "page_id", url: str = "url", html: str =
     parsed = materialize(_parsed(pages).withColumn("key", F.monotonically_increasing_id()), "parsed")
     repeated = materialize(_host_runs(parsed.where(F.octet_length("stream") > 0).select("key", "host", "stream")), "runs")
     settled = parsed.where("text is not null").select("id", "url", "text")
-    open_ = parsed.where("text is null").select("id", "url", "host", "others", "stream", "key")
+    open_ = parsed.where("text is null").select("id", "url", "host", "blocks", "fixed", "stream", "key")
     out = settled.unionByName(_unrepeated(open_, repeated))
     return out.select(F.col("id").alias(id), F.col("url").alias(url), "text",
                       F.length("text").cast("long").alias("n_chars"))
