@@ -183,7 +183,8 @@ def grouped_positions(df: DataFrame, keys: Sequence[str], order_by: Sequence, bu
     if totals:
         cols += [F.sum(f"_s_{c}").over(Window.partitionBy(*keys)).alias(f"{c}_total") for c in running]
     offs = stats.select(*keys, *bcols, *cols)
-    j = b.join(offs, [*keys, *bcols])
+    # With small groups the offsets are as many as the rows, and no table to broadcast; the window asks for this shuffle anyhow.
+    j = b.join(offs.hint("merge"), [*keys, *bcols])
     w = Window.partitionBy(*keys, *bcols).orderBy(*order_by)
     wr = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = j.withColumn("pos", (F.col("_off") + F.row_number().over(w) - 1).cast("bigint"))
