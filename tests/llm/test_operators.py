@@ -89,6 +89,26 @@ def test_units_agree_with_the_library(name, kind, texts):
         assert np.frombuffer(got, "<u2").tolist() == library_ids(name, t)
 
 
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+def test_columns_agree_with_the_library_and_look_a_unit_up_once(name, kind, texts):
+    odd = [None, "", " ", "\n\n a  b \n c", "a\x1cb c", "Don't 'so we'll, it's.  ", "İ ΣΑΣ ½Ⅷ é, E\u0301, a=\u0338b", "a\tb\r\nc d",
+           "x\u2003y z\xa0", "<|endoftext|> a<|endoftext|>b", "_a_1 --- ''s 2'5's,ok... (a.b):c\nD'S end.", "\x01 a\x00b", "\n"]
+    some = odd + list(texts.values())[:8] + odd + ["Plain words, plain words.\nOnce more"]
+    library = tokens.UnitEncoder(public.path(name), kind).tokenizer
+    want = [library.encode(t or "", add_special_tokens=False).ids + [7] for t in some]
+    for limit in (1, 300, tokens.COLUMN_BYTES):
+        enc, got = tokens.UnitEncoder(public.path(name), kind, cache=2000), []
+        for first, ids, ends in enc.column(pa.array(some), b"\7\0", limit):
+            assert first == len(got)
+            got += [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == want
+    enc, asked, learn = tokens.UnitEncoder(public.path(name), kind), [], tokens.UnitEncoder._learn
+    enc._learn = lambda units: (asked.extend(units), learn(enc, units))
+    assert len(list(enc.column(pa.array(["one two, three.\nfour one", "two, one three"] * 1000), b"\7\0"))) == 1
+    assert len(asked) == len(set(asked)) < 12
+    assert not list(enc.column(pa.array([], pa.string()), b"\7\0"))
+
+
 # --- op2
 
 

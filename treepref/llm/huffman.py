@@ -158,10 +158,11 @@ def _encoded(docs: DataFrame, path: str, kind: str, end: int) -> DataFrame:
         enc = T.encoder(path, kind)
         tail = np.array([end], enc.type).tobytes()
         for b in batches:
-            for first, texts in T.slices(b.column(1).to_pylist()):
-                ids = [x + tail for x in enc.encode(texts)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(ids)), pa.array(ids, pa.binary())],
-                                                 ["id", "ids"])
+            for first, ids, ends in enc.column(b.column(1), tail):
+                where = pa.py_buffer(np.append(0, ends * ids.itemsize).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(first, len(ends)),
+                     pa.Array.from_buffers(pa.binary(), len(ends), [None, where, pa.py_buffer(ids)])], ["id", "ids"])
 
     return docs.mapInArrow(rows, "id long, ids binary")
 

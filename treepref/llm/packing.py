@@ -117,31 +117,29 @@ def _pieces(docs: DataFrame, path: str, kind: str, end: int, window: int, cache:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, task = T.encoder(path, kind, cache), TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
-        tail = np.array([end], "<u4").tobytes()
+        tail = np.array([end], enc.type).tobytes()
         for b in batches:
-            for first, texts in T.slices(b.column(1).to_pylist()):
-                doc, start, length, crc, total = [], [], [], [], []
-                for k, ids in enumerate(enc.encode(texts)):
-                    raw = np.frombuffer(ids, enc.type).astype("<u4").tobytes() + tail
-                    n = len(raw) // 4
-                    for s in range(0, n, window):
-                        m = min(window, n - s)
-                        doc.append(first + k)
-                        start.append(s)
-                        length.append(m)
-                        crc.append(zlib.crc32(raw[4 * s:4 * (s + m)]))
-                        total.append(n)
-                size = np.array(length)
+            for first, ids, ends in enc.column(b.column(1), tail):
+                total = np.diff(ends, prepend=0)
+                raw = memoryview(ids.astype("<u4").tobytes())
+                several = -(-total // window)
+                doc = np.repeat(np.arange(len(total)), several)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(several) - several, several)) * window
+                size = np.minimum(window, total[doc] - start)
+                at = 4 * ((ends - total)[doc] + start)
+                crc = [zlib.crc32(raw[f:t]) for f, t in zip(at.tolist(), (at + 4 * size).tolist())]
                 order = np.argsort(size, kind="stable")
                 names, begin, count = np.unique(size[order], return_index=True, return_counts=True)
                 place = np.empty(len(size), np.int64)
                 place[order] = np.arange(len(size)) - np.repeat(begin, count) + np.repeat(seen[names], count)
                 seen[names] += count
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(doc)), pa.array(start, pa.int64()), pa.array(size),
-                     pa.array(crc, pa.int64()), pa.array(total, pa.int64()),
+                    [b.column(0).take(pa.array(first + doc)), pa.array(start), pa.array(size),
+                     pa.array(crc, pa.int64()), pa.array(total[doc]),
                      pa.array(np.full(len(size), task, np.int64)), pa.array(place)],
                     ["id", "start", "length", "ids_crc32", "doc_tokens", "task", "place"])
+        if cache <= T.SMALL_CACHE:
+            T.let_go()
 
     kind_of = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(rows, f"id {kind_of}, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -152,7 +150,9 @@ def pack(df: DataFrame, path: str, end: int = 0, window: int = 1024, kind: str =
          text: str = "text", cache: int = T.SMALL_CACHE) -> DataFrame:
     """A row for each piece: (id, start, length, ids_crc32, doc_tokens, sequence_id, offset).
 
-    cache: bytes of a generation of a worker's token cache; more saves encoding and changes no row.
+    cache: bytes of a generation of a worker's token cache; more saves encoding and changes no row.  A cache
+    of at most ``tokens.SMALL_CACHE`` bytes is let go with its tokenizer at the end of a task, for jobs whose workers
+    go on with other stages.
     """
     docs = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     pieces = materialize(_pieces(docs, path, kind, end, window, cache), "pieces")

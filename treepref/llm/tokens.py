@@ -12,6 +12,10 @@ process; new ones go to the library in one call for many units, with a mark
 between them that is always one token of its own.  Texts with the control characters on which Python
 and the library disagree about white space (U+001C to U+001F) go to the library
 whole.
+
+Columns of texts (``UnitEncoder.column``) are cut by numpy and each distinct unit of a
+chunk is looked up once; only texts with white space beyond the plain kind take
+the path by text.
 """
 
 from __future__ import annotations
@@ -20,6 +24,10 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from treepref.llm import textkernel as K
 
 #: White space other than a space or \n, and the marks used to cut texts.
 _OTHER = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000\\x00\\x01]")
@@ -27,9 +35,22 @@ _ODD = re.compile("[\x1c-\x1f]")
 _BYTE_UNIT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: ASCII characters that are neither letters, digits nor white space: such a run after letters is split off.
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Texts that numpy does not cut, by kind: other white space or control characters, or, where
+#: white space is kept, more than one together or at an end.
+_WIDE = "\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
+_ASIDE = {"word": f"[\\x00-\\x08\\x0e-\\x1f{_WIDE}]",
+          "byte": f"[\\x00-\\x09\\x0b-\\x1f{_WIDE}]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\z"}
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(_MARKS.encode())] = True
+_IS_PLAIN = np.zeros(256, bool)
+_IS_PLAIN[[c for c in range(128) if chr(c).isalnum()]] = True
+#: Bytes of text whose distinct units are looked up together.
+COLUMN_BYTES = 4 << 20
 #: Bytes of a generation of the cache, and about so many of an entry beside its unit's characters.
 CACHE = 100 << 20
-SMALL_CACHE = 32 << 20
+SMALL_CACHE = 12 << 20
 ENTRY = 200
 JOINED = 4000
 
@@ -130,9 +151,78 @@ class UnitEncoder:
         self.cache.turn()
 
 
+    def _cut(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes, first byte of each unit, units before the end of each text) of plain texts.
+
+        A unit also ends where a mark follows an ASCII letter or digit, since every tokenizer splits there."""
+        if not len(buf):
+            return buf, np.zeros(0, np.int64), np.zeros(len(offs) - 1, np.int64)
+        first = np.zeros(len(buf), bool)
+        first[offs[:-1][offs[:-1] < offs[1:]]] = True
+        first[1:] |= _IS_PLAIN[buf[:-1]] & _IS_MARK[buf[1:]]
+        if self.kind == "byte":
+            line = buf == 0x0A
+            first |= line | (buf == 0x20)
+            first[1:] |= line[:-1]
+            starts = np.flatnonzero(first)
+            return buf, starts, np.searchsorted(starts, offs[1:])
+        space = _IS_SPACE[buf]
+        first[1:] |= space[:-1]
+        kept = np.flatnonzero(~space)
+        starts = np.flatnonzero(first[kept])
+        ends = np.searchsorted(starts, np.searchsorted(kept, offs[1:]))
+        buf = buf[kept]
+        if len(starts):
+            # As by text: lower case merges cache entries of ASCII units.
+            ascii_only = np.maximum.reduceat(buf, starts) < 128
+            buf = np.where(np.repeat(ascii_only, np.diff(np.append(starts, len(buf)))), K.LOWER[buf], buf)
+        return buf, starts, ends
+
+    def _plain(self, buf: np.ndarray, offs: np.ndarray, tail: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the tail after it, end of each text's ids)."""
+        buf, starts, ends = self._cut(buf, offs)
+        where = np.append(starts, len(buf)).astype(np.int32)
+        found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(where), pa.py_buffer(buf)).dictionary_encode()
+        units = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        young = self.cache.young
+        ids = list(map(young.get, units))
+        todo = self.cache.missing([u for u, x in zip(units, ids) if x is None])
+        if todo:
+            self._learn(todo)
+        ids = [young[u] if x is None else x for u, x in zip(units, ids)]
+        self.cache.turn()
+        at = np.insert(found.indices.to_numpy(), ends, len(units))
+        out = pa.array([*ids, tail], pa.binary()).take(pa.array(at))
+        _, where, data = out.buffers()
+        where = np.frombuffer(where, np.int32, len(out) + 1, 4 * out.offset) // self.type.itemsize
+        flat = np.frombuffer(data, self.type, where[-1]) if where[-1] else np.zeros(0, self.type)
+        return flat, where[1:][ends + np.arange(len(ends))].astype(np.int64)
+
+    def column(self, column: pa.Array, tail: bytes, limit: int = COLUMN_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first text, ids, end of each text's ids) of chunks of a text column, the tail after each text; nulls as empty texts."""
+        column = K.strings(column)
+        for i, j, buf, offs in K.chunks(column, limit):
+            part = column.slice(i, j - i)
+            aside = pc.match_substring_regex(part, _ASIDE[self.kind]).to_numpy(zero_copy_only=False)
+            if not aside.any():
+                yield i, *self._plain(buf, offs, tail)
+                continue
+            other = iter([x + tail for _, texts in slices(part.filter(pa.array(aside)).to_pylist()) for x in self.encode(texts)])
+            size = np.diff(offs)
+            flat, ends = self._plain(buf[~np.repeat(aside, size)], np.concatenate([[0], np.cumsum(size[~aside])]), tail)
+            plain = iter(np.split(flat, ends[:-1]) if len(ends) else [])
+            ids = [np.frombuffer(next(other), self.type) if a else next(plain) for a in aside]
+            yield i, np.concatenate(ids), np.cumsum([len(x) for x in ids])
+
+
 _ENCODERS: dict[tuple[str, str, int], UnitEncoder] = {}
 
 
+def let_go() -> None:
+    """End of a task after which the worker goes on with other stages: it keeps neither tokenizer nor cache."""
+    _ENCODERS.clear()
+
+
 def encoder(path: str, kind: str, cache: int = CACHE) -> UnitEncoder:
     """The worker's encoder for a tokenizer file, with the cache of earlier tasks; others are let go."""
     if (path, kind, cache) not in _ENCODERS:
