@@ -113,6 +113,20 @@ def test_op11_equals_brute_force(spark, prose, top, held):
     assert got == sorted(brute_collocations(prose, 3, top, held))
 
 
+def test_op11_ranges_are_in_the_order_of_the_runs_and_make_the_runs_once(spark, prose):
+    r = np.random.default_rng(4)
+    some = sorted({b" ".join(r.choice([b"a", b"aaaa", b"the", b"then", "é".encode(), b"b" * 40, b"x"], r.integers(1, 9))) + b" " for _ in range(900)})
+    ends = np.cumsum([len(x) for x in some])
+    starts, buf = ends - [len(x) for x in some], np.frombuffer(b"".join(some), np.uint8)
+    for n in (0, 1, 40):
+        bounds = np.unique(np.array(some[5::20][:n], f"S{collocations.BOUND_BYTES}"))
+        got = collocations.ranges(buf, starts, ends, bounds)
+        cut = [x[:collocations.BOUND_BYTES] for x in some]
+        assert got.tolist() == [sum(b <= x for b in bounds.tolist()) for x in cut] and (np.diff(got) >= 0).all()
+    df = spark.createDataFrame(prose, "lang string, text string")
+    assert "rangepartitioning" not in collocations.frequent(df, least=3)._jdf.queryExecution().toString().lower()
+
+
 def test_op11_compacts_a_long_passage(spark):
     passage = " ".join(f"w{k}" for k in range(90))
     df = spark.createDataFrame([("en", f"{k} {passage} {k + 1}") for k in range(40)], "lang string, text string")

@@ -6,7 +6,8 @@ that leads from its first three words to its last three.
 1. Every piece gives one row for each of its words: an edge where four words
    begin, and else the piece's last three, two or one words (piece ends).
    Equal rows of a stretch of text are summed in the task.
-2. One shuffle sorts the rows by ranges.  A shorter run's count is the flow out of
+2. One shuffle sorts the rows by ranges, whose bounds come from the runs of some texts; these
+   bounds decide on the tasks' sizes alone.  A shorter run's count is the flow out of
    its node: the counts of the edges that begin with it, plus the pieces that end
    in it.  In sorted rows these follow one another, so one pass gives the counts of all
    lengths; what lies on the border of a stretch is added up by an aggregate.
@@ -52,6 +53,11 @@ SCALE = 2_000_000
 #: Bytes of text whose equal runs are counted together, and rows of a batch sent.
 STRETCH = 1 << 19
 SENT = 50_000
+#: Texts and runs for each range from which the bounds of the ranges are taken, most runs, and bytes of a bound.
+BOUND_TEXTS = 20
+BOUND_RUNS = 50
+BOUND_MOST = 100_000
+BOUND_BYTES = 32
 #: Parts of a language in the first round of ranks.
 PARTS = 64
 _BLANK = np.zeros(256, bool)
@@ -121,8 +127,42 @@ def runs(buf: np.ndarray, offs: np.ndarray, lang: np.ndarray, longest: int) -> t
     return flat, first[one], first[one + m[one]], doc[one], np.diff(np.append(place, len(order)))
 
 
-def _counted(longest: int):
-    """Counts of the runs of each stretch of texts."""
+def _beginnings(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = BOUND_BYTES) -> np.ndarray:
+    """The first ``size`` bytes of spans, shorter ones filled with zeros: a row each."""
+    at = starts[:, None] + np.arange(size)
+    return np.where(at < ends[:, None], buf[np.minimum(at, len(buf) - 1)], 0).astype(np.uint8)
+
+
+def ranges(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each span the number of ``bounds`` (sorted, of type S) that are not above its first bytes."""
+    if not len(bounds):
+        return np.zeros(len(starts), np.int32)
+    first = lambda x: np.ascontiguousarray(x[:, :8]).view(">u8").ravel().astype(np.uint64)
+    keys = first(bounds.view(np.uint8).reshape(len(bounds), BOUND_BYTES))
+    head = first(_beginnings(buf, starts, ends, 8))
+    out = np.searchsorted(keys, head, side="right")
+    # Spans that share a bound's first eight bytes are compared further.
+    tied = np.flatnonzero(np.searchsorted(keys, head) < out)
+    more = _beginnings(buf, starts[tied], ends[tied]).view(bounds.dtype).ravel()
+    out[tied] = np.searchsorted(bounds, more, side="right")
+    return out.astype(np.int32)
+
+
+def _bounds(df: DataFrame, longest: int, parts: int) -> np.ndarray:
+    """Bounds of ``parts`` ranges of about equally many runs, from the runs of some texts."""
+    texts, there = BOUND_TEXTS * parts, df.count()
+    some = df.sample(min(1.0, texts / there), seed=11) if there > texts else df
+    runs = some.mapInArrow(_counted(longest, np.zeros(0, f"S{BOUND_BYTES}")), _COUNTED).orderBy(F.xxhash64("run", "lang"))
+    runs = runs.select(F.substring("run", 1, BOUND_BYTES).alias("run")).limit(min(BOUND_RUNS * parts, BOUND_MOST))
+    got = np.sort(np.array([r["run"].encode() for r in runs.collect()], f"S{BOUND_BYTES}"))
+    return np.unique(got[np.arange(1, parts) * len(got) // parts]) if len(got) else got
+
+
+_COUNTED = "lang string, run string, f long, part int"
+
+
+def _counted(longest: int, bounds: np.ndarray):
+    """Counts of the runs of each stretch of texts, with the number of their range."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             langs = b.column(0).fill_null("und").dictionary_encode()
@@ -133,7 +173,7 @@ def _counted(longest: int):
                     part = slice(k, k + SENT)
                     yield pa.RecordBatch.from_arrays(
                         [names.take(pa.array(code[i:j][doc[part]].astype(np.int64))), _texts(flat, starts[part], ends[part]),
-                         pa.array(n[part])], ["lang", "run", "f"])
+                         pa.array(n[part]), pa.array(ranges(flat, starts[part], ends[part], bounds))], ["lang", "run", "f", "part"])
     return rows
 
 
@@ -185,11 +225,12 @@ def _flows(longest: int, least: int):
 
 def frequent(df: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST) -> DataFrame:
     """(lang, m, gram, f): runs of m = 1 to ``longest`` words with count f >= least, and with m = 0 each language's words."""
-    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
-        _counted(longest), "lang string, run string, f long")
+    texts, parts = df.select(F.col(lang).alias("lang"), F.col(text).alias("text")), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.mapInArrow(_counted(longest, _bounds(texts, longest, parts)), _COUNTED)
     # In the order of the runs the edges out of a node and the pieces that end in it follow one another.
     # The run comes first in the order, since sorting compares the first bytes of the first column.
-    rows = rows.repartitionByRange("run", "lang").sortWithinPartitions("run", "lang")
+    # Ranges by bounds of our own, as ``repartitionByRange`` would make all runs twice to find its bounds.
+    rows = rows.repartitionById(parts, "part").select("lang", "run", "f").sortWithinPartitions("run", "lang")
     rows = rows.mapInArrow(_flows(longest, least), "lang string, m int, gram string, f long")
     rows = rows.groupBy("lang", "m", "gram").agg(F.sum("f").alias("f"))
     return rows.where((F.col("f") >= least) | (F.col("m") == 0))
