@@ -109,6 +109,18 @@ def test_columns_agree_with_the_library_and_look_a_unit_up_once(name, kind, text
     assert not list(enc.column(pa.array([], pa.string()), b"\7\0"))
 
 
+def test_packing_with_a_small_cache_leaves_no_tokenizer_in_the_workers(spark, odd):
+    assert packing.pack(odd, public.path("byte_bpe_50k.json")).count() >= 13
+
+    def left(batches):
+        for _ in batches:
+            n = sum(k[2] == tokens.SMALL_CACHE for k in tokens._ENCODERS)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    got = spark.range(64).repartition(16).mapInArrow(left, "n long").collect()
+    assert got and not any(r["n"] for r in got)
+
+
 # --- op2
 
 

@@ -221,6 +221,7 @@ _ENCODERS: dict[tuple[str, str, int], UnitEncoder] = {}
 def let_go() -> None:
     """End of a task after which the worker goes on with other stages: it keeps neither tokenizer nor cache."""
     _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def encoder(path: str, kind: str, cache: int = CACHE) -> UnitEncoder:
